@@ -11,10 +11,11 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import on_arrow
+from .common import SLICE, on_arrow
 
 #: A word bound is one space; anything but letters is a bound.
 NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -157,3 +158,23 @@ def identify(df: DataFrame, folds: int = 4, held_fold: int = 2, **how) -> DataFr
     held = remainder("doc_id", folds) == held_fold
     model = fit(df.filter(~held), **how)
     return predict(df, model, [F.col("doc_id"), held], ["doc_id", "held_out"])
+
+
+def keep_identified(docs: DataFrame, folds: int = 4, held_fold: int = 2, least_share: float = 0.0) -> DataFrame:
+    """The rows of docs, with their columns, whose text has a learned language with a share over `least_share`.
+
+    Rows go if their text is null or has no letter, or if no language holds any of its n-grams beyond chance. The
+    decision is made in one pass that carries whole rows, so that equal ids can't be mixed up and nothing is shuffled.
+    """
+    model = fit(docs.filter(remainder("doc_id", folds) != held_fold))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches):
+        held = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                found = [decide(held, t) for t in part.column(part.schema.get_field_index("text")).to_pylist()]
+                yield part.filter(pa.array([x != "und" and s > least_share for x, s in found], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import language_id
+from . import language_id, token_counts
 
 QUERIES = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -27,3 +29,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query()
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.count(table(spark, sf_dir, "documents"), path, [F.col("doc_id")], ["doc_id"])
