@@ -24,7 +24,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 SEGMENT = regex.compile(r"(?=[ ]\S)", regex.V1)
 SPACE = regex.compile(r"\s", regex.V1).match
 #: Segments whose counts a task keeps between slices.
-KEPT = 400_000
+KEPT = 800_000
 
 
 def byte_alphabet() -> dict[str, int]:
