@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, token_counts
+from . import language_id, packing, token_counts
 
 QUERIES = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -35,3 +35,8 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.count(table(spark, sf_dir, "documents"), path, [F.col("doc_id")], ["doc_id"])
+
+
+@query()
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
