@@ -38,31 +38,28 @@ def priced(sizes: np.ndarray, values: np.ndarray, length: int) -> tuple[float, l
 
     One unbounded knapsack, solved by dynamic programming over all capacities, serves all of them.
     """
-    best, took = np.zeros(length + 1), np.full(length + 1, -1)
+    best, took, at = np.zeros(length + 1), np.full(length + 1, -1), np.zeros(length + 1, np.int64)
     order = np.argsort(sizes)
     small, worth = sizes[order], values[order]
     fits = np.searchsorted(small, np.arange(length + 1), side="right")
     for c in range(int(small[0]), length + 1):
-        best[c] = best[c - 1]
+        best[c], at[c] = best[c - 1], at[c - 1]
         got = best[c - small[: fits[c]]] + worth[: fits[c]]
         k = got.argmax()
         if got[k] > best[c] + 1e-12:
-            best[c], took[c] = got[k], order[k]
+            best[c], took[c], at[c] = got[k], order[k], c
     out = []
     for k in np.argsort(-(values + best[length - sizes])):
         pattern, c = np.zeros(len(sizes), np.int64), length - sizes[k]
         pattern[k] = 1
-        while c > 0:
-            if took[c] < 0:
-                c -= 1
-            else:
-                pattern[took[c]] += 1
-                c -= sizes[took[c]]
+        while c := at[c]:  # the least capacity of the same value
+            pattern[took[c]] += 1
+            c -= sizes[took[c]]
         out.append(pattern)
     return float(best[length]), out
 
 
-def solve(sizes: np.ndarray, demand: np.ndarray, length: int, gap: float = 2e-4, rounds: int = 60, pull: float = 0.7) -> tuple[np.ndarray, np.ndarray]:
+def solve(sizes: np.ndarray, demand: np.ndarray, length: int, gap: float = 5e-4, rounds: int = 60, pull: float = 0.7) -> tuple[np.ndarray, np.ndarray]:
     """The linear program's patterns (columns) and how often each is used, by the revised simplex method.
 
     The first columns are those of a first-fit filling. Each round prices a new column for every size, at prices pulled
@@ -118,7 +115,7 @@ def solve(sizes: np.ndarray, demand: np.ndarray, length: int, gap: float = 2e-4,
     return basis.astype(np.int64), used
 
 
-def plan(histogram: dict[int, int], length: int, gap: float = 2e-4) -> list[tuple[dict[int, int], int]]:
+def plan(histogram: dict[int, int], length: int, gap: float = 5e-4) -> list[tuple[dict[int, int], int]]:
     """Patterns {size: pieces} with the whole number of sequences that use each; every piece of the histogram has a place."""
     left = {s: n for s, n in histogram.items() if n}
     out: list[tuple[dict[int, int], int]] = []
@@ -201,7 +198,7 @@ def pieces(df: DataFrame, tokenizer: str, length: int, end: int, id_col: str = "
     return on_arrow(df, [F.col(id_col), F.col(text)], make, f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint")
 
 
-def pack(df: DataFrame, tokenizer: str, length: int = 4096, end: int = 2, id_col: str = "doc_id", text: str = "text", gap: float = 2e-4) -> DataFrame:
+def pack(df: DataFrame, tokenizer: str, length: int = 4096, end: int = 2, id_col: str = "doc_id", text: str = "text", gap: float = 5e-4) -> DataFrame:
     """The pieces with sequence_id, from 0, and offset in the sequence, gapless from 0.
 
     Each document's ids, with `end` after them, lie in exactly one piece each; null and empty texts are the end id alone.
