@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, packing, simhash, token_counts
+from . import chunks, language_id, packing, simhash, token_counts
 
 QUERIES = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -46,3 +46,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query()
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chunks.spans(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.explode("spans").alias("s")).select("doc_id", "s.source_doc_id", "s.start", "s.length", "s.n_words")
