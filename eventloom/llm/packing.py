@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import checkpointed, on_arrow
+from .common import on_arrow, stored
 from .ranks import hash32, ranked
 
 #: Words whose ids a task keeps.
@@ -208,7 +208,7 @@ def pack(df: DataFrame, tokenizer: str, length: int = 4096, end: int = 2, id_col
     spark = df.sparkSession
     sizes = sizes_up_to(length)
     cut = pieces(df, tokenizer, length, end, id_col, text)
-    held = checkpointed(cut.withColumn("h", hash32(F.col("doc_id"), F.col("start"))))
+    held = stored(cut.withColumn("h", hash32(F.col("doc_id"), F.col("start"))))
     size = F.element_at(F.array(*[F.lit(s) for s in _size_table(sizes)]), F.col("length").cast("int"))
     sized = held.withColumn("size", size)
     histogram = {r["size"]: r["n"] for r in sized.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}

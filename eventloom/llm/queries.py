@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunks, language_id, packing, simhash, token_counts
+from . import chunks, language_id, mixing, packing, simhash, token_counts
 
 QUERIES = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -52,3 +52,9 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = chunks.spans(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.explode("spans").alias("s")).select("doc_id", "s.source_doc_id", "s.start", "s.length", "s.n_words")
+
+
+@query(mixing.SQL)
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.copies(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpointed, on_arrow, utf8
+from .common import checkpointed, on_arrow, stored, utf8
 from .components import components
 
 SEED = 42
@@ -155,7 +155,7 @@ def groups(df: DataFrame, n: int = 3, id_col: str = "doc_id", text: str = "text"
     Rows with equal fingerprints are one node; documents without words have fingerprint 0 and link like any other.
     Null ids take part in the search but no component is named after them unless it has no other id. Repeated rows stay.
     """
-    held = checkpointed(fingerprints(df, n, id_col, text))
+    held = stored(fingerprints(df, n, id_col, text))
     nodes = checkpointed(held.groupBy("fp").agg(F.min("doc_id").alias("node")))
     named = nodes.filter(F.col("node").isNotNull())
     roots = components(linked(named))
