@@ -8,12 +8,14 @@ filled first-fit by decreasing size, and pieces take their places in the pattern
 
 from __future__ import annotations
 
+import functools
 import os
 import zlib
 from bisect import bisect_left
 from pathlib import Path
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -21,7 +23,7 @@ from tokenizers import Tokenizer
 from .common import on_arrow, stored
 from .ranks import hash32, ranked
 
-#: Words whose ids a task keeps.
+#: Words, and parts of words, whose ids a worker keeps.
 KEPT = 800_000
 
 
@@ -59,7 +61,7 @@ def priced(sizes: np.ndarray, values: np.ndarray, length: int) -> tuple[float, l
     return float(best[length]), out
 
 
-def solve(sizes: np.ndarray, demand: np.ndarray, length: int, gap: float = 5e-4, rounds: int = 60, pull: float = 0.7) -> tuple[np.ndarray, np.ndarray]:
+def solve(sizes: np.ndarray, demand: np.ndarray, length: int, gap: float = 5e-4, rounds: int = 20, pull: float = 0.7) -> tuple[np.ndarray, np.ndarray]:
     """The linear program's patterns (columns) and how often each is used, by the revised simplex method.
 
     The first columns are those of a first-fit filling. Each round prices a new column for every size, at prices pulled
@@ -152,26 +154,57 @@ def fill(left: dict[int, int], length: int) -> list[tuple[dict[int, int], int]]:
 
 
 class Ids:
-    """Token ids of texts, by words between ASCII white space, across which no token of the vocabulary runs."""
+    """Token ids of texts, by words between ASCII white space, across which no token of the vocabulary runs.
+
+    Words of plain letters, digits and marks are lower-cased and cut into the library's pre-tokens here, so that
+    `word,` and `Word.` share the ids of `word`; all other words go to the library whole.
+    """
+
+    #: Fixed value: the vocabulary's pre-token pattern.
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    #: ASCII and the Latin-1 letters, which NFC leaves as they are.
+    PLAIN = regex.compile(r"[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 
     def __init__(self, content: str):
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[bytes, bytes] = {}
+        self.findall = regex.compile(self.PATTERN).findall
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[bytes]) -> None:
+        if len(self.parts) > KEPT:
+            self.parts.clear()
+        texts = [w.decode() for w in new]
+        whole = self.PLAIN.fullmatch
+        cut = [self.findall(t.lower()) if whole(t) and "<|" not in t else None for t in texts]
+        parts = list({p for x in cut if x for p in x}.difference(self.parts))
+        self.parts.update(zip(parts, self._encoded(parts)))
+        other = [i for i, x in enumerate(cut) if x is None]
+        library = dict(zip(other, self._encoded([texts[i] for i in other])))
+        of = self.parts.__getitem__
+        self.words.update((w, library[i] if x is None else b"".join(map(of, x))) for i, (w, x) in enumerate(zip(new, cut)))
 
     def of(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids, none for null."""
         if not text:
             return b""
         words = text.encode("utf-8", "replace").split()
-        if len(self.known) > KEPT:
-            self.known.clear()
-        known = self.known
-        if new := list(set(words).difference(known)):  # bytes.split cuts at ASCII white space alone
-            for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, words))
+        if len(self.words) > KEPT:
+            self.words.clear()
+        if new := list(set(words).difference(self.words)):  # bytes.split cuts at ASCII white space alone
+            self._learn(new)
+        return b"".join(map(self.words.__getitem__, words))
+
+
+@functools.lru_cache(maxsize=2)
+def _ids(content: str) -> Ids:
+    """One for each worker process, so that what it has learned serves all of the worker's tasks."""
+    return Ids(content)
 
 
 def pieces(df: DataFrame, tokenizer: str, length: int, end: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -181,7 +214,7 @@ def pieces(df: DataFrame, tokenizer: str, length: int, end: int, id_col: str = "
 
     def make():
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        ids = Ids(shared.value)
+        ids = _ids(shared.value)
 
         def apply(keys, texts):
             rows = []

@@ -8,6 +8,7 @@ the others go through the merges. Distinct segments are counted once for each sl
 from __future__ import annotations
 
 from collections import Counter
+import functools
 import os
 from pathlib import Path
 
@@ -23,7 +24,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: A segment starts at a space before something that isn't white space: the pattern never runs across such a place.
 SEGMENT = regex.compile(r"(?=[ ]\S)", regex.V1)
 SPACE = regex.compile(r"\s", regex.V1).match
-#: Segments whose counts a task keeps between slices.
+#: Segments, and pre-tokens, whose counts a worker keeps.
 KEPT = 800_000
 
 
@@ -116,7 +117,7 @@ def count(df: DataFrame, tokenizer: str, keys: list[Column], names: list[str], t
     def make():
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         held, proven = shared.value
-        counts = Counts(plain(held), proven)
+        counts = _counts(held, proven)
 
         def apply(*c):
             n = counts.of(c[-1])
@@ -129,6 +130,12 @@ def count(df: DataFrame, tokenizer: str, keys: list[Column], names: list[str], t
     return on_arrow(df, [*keys, F.col(text)], make, schema)
 
 
+@functools.lru_cache(maxsize=2)
+def _counts(content: str, proven: frozenset[str]) -> Counts:
+    """One for each worker process, so that what it has learned serves all of the worker's tasks."""
+    return Counts(plain(content), proven)
+
+
 def plain(content: str) -> Tokenizer:
     """The library's tokenizer without truncation and padding."""
     out = Tokenizer.from_str(content)
