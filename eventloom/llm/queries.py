@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunks, language_id, mixing, packing, simhash, token_counts
+from . import chunks, language_id, media, mixing, packing, simhash, token_counts
 
 QUERIES = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -58,3 +58,8 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.copies(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query()
+def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.digests(table(spark, sf_dir, "documents"))
