@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunks, language_id, media, merkle, mixing, packing, simhash, token_counts
+from . import chunks, language_id, lattice, media, merkle, mixing, packing, simhash, token_counts
 
 QUERIES = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -68,3 +68,8 @@ def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.compare_next(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
