@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunks, language_id, lattice, media, merkle, mixing, packing, simhash, token_counts
+from . import chunks, html_text, language_id, lattice, media, merkle, mixing, packing, simhash, token_counts
 
 QUERIES = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -73,3 +73,8 @@ def op1_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.score(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
