@@ -13,12 +13,13 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpointed, on_arrow, stored, utf8
+from .common import _arrow_schema, checkpointed, on_arrow, stored, utf8
 from .components import components
 
 SEED = 42
@@ -161,3 +162,174 @@ def groups(df: DataFrame, n: int = 3, id_col: str = "doc_id", text: str = "text"
     roots = components(linked(named))
     whole = checkpointed(nodes.join(roots, "node", "left").select(F.col("fp").alias("_fp"), F.coalesce("root", "node").alias("component_id")))
     return held.join(whole, F.col("fp") == F.col("_fp")).drop("_fp")
+
+
+# Similar texts rather than nearly equal fingerprints: longer fingerprints, met by parts of permuted rings.
+
+#: Bits of a long fingerprint, by as many hashes of 64 bits as needed.
+LONG = 256
+#: Rows of one run that are compared with each other at a time.
+RUN = 4096
+
+
+def long_fingerprint(text: str | None, n: int = 5) -> bytes:
+    """LONG bits, as bytes, of a text's lower-cased (A-Z) words in shingles of n; zeros without words."""
+    found = shingles(utf8(text).lower().split(), n)
+    if not found:
+        return bytes(LONG // 8)
+    set_bits = np.zeros(LONG, np.int64)
+    for at in range(0, len(found), 1 << 13):
+        part = found[at : at + (1 << 13)]
+        h = np.frombuffer(b"".join(x for s in part for x in (xxhash.xxh3_128_digest(s, seed=SEED), xxhash.xxh3_128_digest(s, seed=SEED + 1))), np.uint8)
+        set_bits += np.unpackbits(h).reshape(-1, LONG).sum(axis=0, dtype=np.int64)
+    return np.packbits(set_bits * 2 > len(found)).tobytes()
+
+
+def differing(similarity: float) -> int:
+    """Bits of LONG in which texts of that Jaccard similarity differ at most, but for one in six.
+
+    The angle between sets of similarity s has the cosine 2s / (1 + s); each bit differs with the angle over pi. One standard
+    deviation more is allowed.
+    """
+    p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    return int(LONG * p + (LONG * p * (1 - p)) ** 0.5)
+
+
+def rings(tables: int, bits: int) -> np.ndarray:
+    """[tables, LONG]: for each table the order of the bits on its ring; a table's first `bits` are its key.
+
+    Tables take turns on the segments of one permuted ring after another, each starting at its own segment.
+    """
+    per, out, generator = LONG // bits, [], np.random.default_rng(SEED)
+    while len(out) < tables:
+        ring = generator.permutation(LONG)
+        out += [np.roll(ring, -bits * k) for k in range(per)]
+    return np.array(out[:tables])
+
+
+def _near(x: np.ndarray, ring: np.ndarray, bits: int, limit: int) -> np.ndarray:
+    """Which of the fingerprints' differences (bytes [n, LONG / 8]) stay within the budgets of growing chains of segments."""
+    left = np.arange(len(x))
+    for chain in (LONG // 4, LONG // 2, LONG):
+        mask = np.zeros(LONG, np.uint8)
+        mask[ring[:chain]] = 1
+        # a chain's budget is its share of the limit, with what chance adds to it but once in a thousand
+        share = limit * chain / LONG
+        most = limit if chain == LONG else share + 3 * (share * (1 - chain / LONG)) ** 0.5
+        counts = np.bitwise_count((x[left] & np.packbits(mask)).view(np.uint64)).sum(axis=1, dtype=np.int64)
+        left = left[counts <= most]
+        if not len(left):
+            break
+    return left
+
+
+def similar_links(nodes: DataFrame, similarity: float, bits: int, tables: int) -> DataFrame:
+    """Edges a, b between nodes (node, fp: distinct long fingerprints) that connect what is similar.
+
+    Two fingerprints meet where one of `tables` keys of `bits` is equal. Rows of a key are sorted next to each other and
+    compared in their task, RUN at a time; of earlier rows of the key only those that nothing linked stay for comparison,
+    so that a task's memory is bounded by the texts of a key that are not alike.
+    """
+    spark = nodes.sparkSession
+    kind = nodes.schema["node"].dataType.simpleString()
+    limit, orders = differing(similarity), rings(tables, bits)
+    powers = (1 << np.arange(bits, dtype=np.int64))[::-1]
+    key_fields = spark.createDataFrame([], f"table int, key bigint, node {kind}, fp binary").schema
+    edge_fields = spark.createDataFrame([], f"a {kind}, b {kind}").schema
+    key_arrow, edge_arrow = _arrow_schema(key_fields), _arrow_schema(edge_fields)
+
+    def keyed(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                node, fp = part.column(0), part.column(1)
+                every = np.unpackbits(np.frombuffer(b"".join(fp.to_pylist()), np.uint8).reshape(-1, LONG // 8), axis=1)
+                for t in range(tables):
+                    keys = every[:, orders[t, :bits]].astype(np.int64) @ powers
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), t, np.int32)), pa.array(keys), node, fp], schema=key_arrow)
+
+    def compare(batches):
+        held: list = []  # table, key and then (node, fingerprint) of the rows that nothing linked
+        for batch in batches:
+            table, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            node = batch.column(2)
+            fps = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, LONG // 8)
+            edges_of = np.flatnonzero((table[1:] != table[:-1]) | (key[1:] != key[:-1])) + 1
+            starts, ends = np.append(0, edges_of), np.append(edges_of, batch.num_rows)
+            a, b = [], []
+            for s, e in zip(starts.tolist(), ends.tolist()):
+                here = (int(table[s]), int(key[s]))
+                if held and held[0] == here:
+                    nodes_here, prints = list(held[1]), held[2]
+                else:
+                    nodes_here, prints = [], np.zeros((0, LONG // 8), np.uint8)
+                last = e == batch.num_rows
+                if e - s + len(nodes_here) == 1 and not last:
+                    continue
+                for at in range(s, e, RUN):
+                    stop = min(e, at + RUN)
+                    nodes_here += node.slice(at, stop - at).to_pylist()
+                    prints = np.concatenate([prints, fps[at:stop]])
+                    links_here, roots = _forest(prints, orders[here[0]], bits, limit)
+                    a += [nodes_here[i] for i, _ in links_here]
+                    b += [nodes_here[j] for _, j in links_here]
+                    nodes_here, prints = [nodes_here[i] for i in roots], prints[roots]
+                held = [here, nodes_here, prints] if last else []
+            yield pa.RecordBatch.from_arrays([pa.array(a, edge_arrow.field("a").type), pa.array(b, edge_arrow.field("b").type)], schema=edge_arrow)
+
+    rows = nodes.select("node", "fp").mapInArrow(keyed, key_fields)
+    dealt = rows.repartition("table", "key").sortWithinPartitions("table", "key", "node")
+    return dealt.mapInArrow(compare, edge_fields).distinct()
+
+
+def _forest(prints: np.ndarray, ring: np.ndarray, bits: int, limit: int) -> tuple[list[tuple[int, int]], list[int]]:
+    """A spanning forest of the similar fingerprints and its roots."""
+    out, roots, left = [], [], np.arange(len(prints))
+    while len(left):
+        front, left = [left[0]], left[1:]
+        roots.append(int(front[0]))
+        while front and len(left):
+            at = front.pop()
+            near = _near(prints[left] ^ prints[at], ring, bits, limit)
+            if len(near):
+                out += [(int(at), int(k)) for k in left[near]]
+                front += list(left[near])
+                left = np.delete(left, near)
+    return out, roots
+
+
+def similar_groups(df: DataFrame, n: int = 5, similarity: float = 0.8, found: float = 0.91, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id and component_id, the least doc_id of the row's group of similar texts, for each row.
+
+    Similarity is that of the sets of n-word shingles, as long fingerprints estimate it. Keys have two bits more than the
+    number of distinct texts has digits, so that texts that aren't alike seldom meet whatever the size; there are as many tables as
+    find a pair of exactly that similarity with probability `found` (one of 0.9 similarity then with over 0.999).
+    Texts with equal fingerprints are always one group. Rows without id have component_id null.
+    """
+    kind = df.schema[id_col].dataType.simpleString()
+
+    def make():
+        return lambda keys, texts: {"doc_id": keys, "fp": [long_fingerprint(t, n) for t in texts]}
+
+    held = stored(on_arrow(df, [F.col(id_col), F.col(text)], make, f"doc_id {kind}, fp binary"))
+    nodes = stored(held.filter(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min("doc_id").alias("node")))
+    bits = max(16, nodes.count().bit_length() + 2)
+    p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    tables = int(np.ceil(np.log(1 - found) / np.log1p(-((1 - p) ** bits))))
+    roots = components(similar_links(nodes, similarity, bits, tables))
+    whole = checkpointed(nodes.join(roots, "node", "left").select(F.col("fp").alias("_fp"), F.coalesce("root", "node").alias("component_id")))
+    return held.join(whole, F.col("fp") == F.col("_fp"), "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, **how) -> DataFrame:
+    """The rows of docs, with their columns, that have the least id of their group of similar texts.
+
+    Rows without id stay; of repeated rows (equal id and text) one stays.
+    """
+    found = stored(similar_groups(docs, **how))
+    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
+    left = docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    twice = found.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1")
+    if twice.isEmpty():
+        return left
+    return left.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text"]).unionByName(left.filter(F.col("doc_id").isNull()))
