@@ -24,7 +24,9 @@ from .common import on_arrow, stored
 from .ranks import hash32, ranked
 
 #: Words, and parts of words, whose ids a worker keeps.
-KEPT = 800_000
+KEPT = 1_200_000
+#: Places of the filter that tells which words have been learned before.
+SEEN = 1 << 23
 
 
 def sizes_up_to(length: int, exact: int = 64, step: float = 1.015) -> list[int]:
@@ -172,13 +174,17 @@ class Ids:
         self.findall = regex.compile(self.PATTERN).findall
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.seen = bytearray(SEEN)
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[bytes]) -> None:
+    def _learned(self, new: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of words not known yet. A word is kept from the second time that it is learned: most never come again."""
         if len(self.parts) > KEPT:
             self.parts.clear()
+        if len(self.words) > KEPT:
+            self.words.clear()
         texts = [w.decode() for w in new]
         whole = self.PLAIN.fullmatch
         cut = [self.findall(t.lower()) if whole(t) and "<|" not in t else None for t in texts]
@@ -187,18 +193,34 @@ class Ids:
         other = [i for i, x in enumerate(cut) if x is None]
         library = dict(zip(other, self._encoded([texts[i] for i in other])))
         of = self.parts.__getitem__
-        self.words.update((w, library[i] if x is None else b"".join(map(of, x))) for i, (w, x) in enumerate(zip(new, cut)))
+        out = {w: library[i] if x is None else b"".join(map(of, x)) for i, (w, x) in enumerate(zip(new, cut))}
+        seen, words = self.seen, self.words
+        for w, ids in out.items():
+            h = hash(w) % SEEN
+            if seen[h]:
+                words[w] = ids
+            else:
+                seen[h] = 1
+        return out
 
     def of(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids, none for null."""
         if not text:
             return b""
-        words = text.encode("utf-8", "replace").split()
-        if len(self.words) > KEPT:
-            self.words.clear()
-        if new := list(set(words).difference(self.words)):  # bytes.split cuts at ASCII white space alone
-            self._learn(new)
-        return b"".join(map(self.words.__getitem__, words))
+        words = text.encode("utf-8", "replace").split()  # bytes.split cuts at ASCII white space alone
+        found = list(map(self.words.get, words))
+        missing, at = [], -1
+        while True:
+            try:
+                at = found.index(None, at + 1)
+            except ValueError:
+                break
+            missing.append(at)
+        if missing:
+            learned = self._learned(list({words[i] for i in missing}))
+            for i in missing:
+                found[i] = learned[words[i]]
+        return b"".join(found)
 
 
 @functools.lru_cache(maxsize=2)
