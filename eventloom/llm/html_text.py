@@ -181,26 +181,36 @@ def host_of(url: str):
     return F.nullif(F.lower(F.regexp_extract(F.col(url), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
 
 
-def pages_of(df: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """page_id, url, host, blocks and tokens of each page, parsed once and kept in the shared folder."""
+def page_tokens(df: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+    """page_id, url, host and tokens (with their occurrences) of each page."""
     kind = df.schema[id_col].dataType.simpleString()
 
     def make():
         def apply(keys, urls, hosts, texts):
-            found = [parsed(t) for t in texts]
-            return {
-                "page_id": keys, "url": urls, "host": hosts,
-                "blocks": [[{"token": a, "text": b, "article": c, "out": d} for a, b, c, d in x] for x, _ in found],
-                "tokens": [[{"token": t, "times": n} for t, n in x.items()] for _, x in found],
-            }
+            return {"page_id": keys, "url": urls, "host": hosts, "tokens": [[{"token": t, "times": n} for t, n in parsed(t)[1].items()] for t in texts]}
 
         return apply
 
-    schema = f"page_id {kind}, url string, host string, blocks array<struct<token:bigint,text:string,article:boolean,out:boolean>>, tokens array<struct<token:bigint,times:int>>"
-    return stored(on_arrow(df, [F.col(id_col), F.col(url), host_of(url), F.col(html)], make, schema))
+    schema = f"page_id {kind}, url string, host string, tokens array<struct<token:bigint,times:int>>"
+    return on_arrow(df, [F.col(id_col), F.col(url), host_of(url), F.col(html)], make, schema)
 
 
-def templates(pages: DataFrame, support: float = SUPPORT, least: int = PAGES) -> DataFrame:
+def page_blocks(df: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+    """page_id, url, host and blocks of each page, in order."""
+    kind = df.schema[id_col].dataType.simpleString()
+
+    def make():
+        def apply(keys, urls, hosts, texts):
+            blocks = [[{"token": a, "text": b, "article": c, "out": d} for a, b, c, d in parsed(t)[0]] for t in texts]
+            return {"page_id": keys, "url": urls, "host": hosts, "blocks": blocks}
+
+        return apply
+
+    schema = f"page_id {kind}, url string, host string, blocks array<struct<token:bigint,text:string,article:boolean,out:boolean>>"
+    return on_arrow(df, [F.col(id_col), F.col(url), host_of(url), F.col(html)], make, schema)
+
+
+def templates(tokens: DataFrame, support: float = SUPPORT, least: int = PAGES) -> DataFrame:
     """host, class and tokens of each valid equivalence class: its template.
 
     A class is the tokens of a host with equal occurrence vectors, kept as the number of pages, the number of occurrences
@@ -209,8 +219,8 @@ def templates(pages: DataFrame, support: float = SUPPORT, least: int = PAGES) ->
     no accident. The tokens that a host can have in so many of its pages are bounded by a page's length.
     """
     page = F.xxhash64("page_id", "url")
-    every = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    token = pages.select("host", page.alias("page"), F.explode("tokens").alias("t")).select("host", "page", "t.token", "t.times")
+    every = tokens.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    token = tokens.select("host", page.alias("page"), F.explode("tokens").alias("t")).select("host", "page", "t.token", "t.times")
     vectors = token.groupBy("host", "token").agg(F.count(F.lit(1)).alias("in_pages"), F.sum("times").alias("times"), F.bit_xor(F.xxhash64("page", "times")).alias("vector"))
     often = vectors.join(every.withColumnRenamed("host", "_host"), F.col("host").eqNullSafe(F.col("_host"))).filter((F.col("in_pages") >= least) & (F.col("in_pages") >= support * F.col("pages")))
     classes = often.groupBy("host", "in_pages", "times", "vector").agg(F.collect_list("token").alias("tokens"))
@@ -225,9 +235,9 @@ def main_text(df: DataFrame, id_col: str = "page_id", url: str = "url", html: st
     of the host. If the page marks an article, only its blocks are taken. Null and empty pages have empty text. Pages
     without a host share a template as one host. Rows with equal ids are pages of their own; an empty table gives none.
     """
-    pages = pages_of(df, id_col, url, html)
-    fixed = templates(pages).groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("fixed")).withColumnRenamed("host", "_host")
-    met = pages.select("page_id", "url", "host", "blocks").join(fixed, F.col("host").eqNullSafe(F.col("_host")), "left")
+    # pages are parsed twice rather than kept; the stored templates' size is known, so that small ones are broadcast
+    fixed = stored(templates(page_tokens(df, id_col, url, html)).groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("fixed")).withColumnRenamed("host", "_host"))
+    met = page_blocks(df, id_col, url, html).join(fixed, F.col("host").eqNullSafe(F.col("_host")), "left")
     free = F.filter("blocks", lambda b: ~b["out"])
     article = F.filter(free, lambda b: b["article"])
     slots = F.filter(free, lambda b: ~F.array_contains(F.coalesce(F.col("fixed"), F.array().cast("array<bigint>")), b["token"]))
