@@ -31,7 +31,6 @@ GERMAN_DATE = r"(\d{1,2})\.\s*(\p{L}+)\.?\s*(\d{4})"
 GERMAN_RANGE = rf"(?iuU){GERMAN_DATE}\s*(?:-|–|bis)\s*{DAY}{GERMAN_DATE}(?:,?\s*{TIME})?"
 GERMAN_SINGLE = rf"(?iuU){DAY}{GERMAN_DATE}(?:,?\s*{TIME})?"
 NUMERIC_RANGE = r"^\s*(\d{2}\.\d{2}\.\d{4})\s*-\s*(\d{2}\.\d{2}\.\d{4})\s*$"
-TIME_KIND = "struct<start_date:date,end_date:date,start_at:timestamp,end_at:timestamp,precision:string>"
 
 
 def month_number(c: Column) -> Column:
@@ -85,52 +84,75 @@ def _time(start_date: Column, end_date: Column, start_at: Column, end_at: Column
     )
 
 
-def _german(c: Column, pattern: str, base: int) -> Column:
-    return calendar_date(extract(c, pattern, base), month_number(extract(c, pattern, base + 1)), extract(c, pattern, base + 2))
+def _bound(value: Column, function) -> Column:
+    """The function of a value that is computed once, however often the function uses it."""
+    return F.get(F.transform(F.array(value), function), F.lit(0))
+
+
+def _groups(c: Column, pattern: str, n: int) -> Column:
+    """The n groups of the first match, empty ones where a group has none; null without a match."""
+    found = F.regexp_extract(c, pattern, 0)
+    joined = F.regexp_replace(found, pattern, "\u0001".join(f"${i}" for i in range(1, n + 1)))
+    return F.when(found != "", F.split(joined, "\u0001", -1))
+
+
+def _german(p: Column, at: int) -> Column:
+    return calendar_date(p[at], month_number(p[at + 1]), p[at + 2])
+
+
+def _utc(date: Column, p: Column, at: int, zone: str) -> Column:
+    return F.when(p[at] != "", local_to_utc(date, p[at], p[at + 1], zone))
 
 
 def german_range(c: Column, zone: str = ZONE) -> Column:
     """`6. Jan. 2026 - 10. Feb. 2026, 14.00 Uhr - 14.45 Uhr`: times are those of the first and the last day."""
-    p = GERMAN_RANGE
-    start, end = _german(c, p, 1), _german(c, p, 4)
-    time = lambda d, h: local_to_utc(d, extract(c, p, h), extract(c, p, h + 1), zone)
-    return F.when(c.rlike(p) & end.isNotNull(), _time(start, end, time(start, 7), time(end, 9)))
+
+    def of(p: Column) -> Column:
+        start, end = _german(p, 0), _german(p, 3)
+        return F.when(end.isNotNull(), _time(start, end, _utc(start, p, 6, zone), _utc(end, p, 8, zone)))
+
+    return _bound(_groups(c, GERMAN_RANGE, 10), of)
 
 
 def german_single(c: Column, zone: str = ZONE) -> Column:
     """`Samstag, 29. März 2026, 15:00 Uhr bis 16:30 Uhr`, with or without times."""
-    p = GERMAN_SINGLE
-    day = _german(c, p, 1)
-    time = lambda h: local_to_utc(day, extract(c, p, h), extract(c, p, h + 1), zone)
-    end = time(6)
-    return F.when(c.rlike(p), _time(day, F.when(end.isNotNull(), day), time(4), end))
+
+    def of(p: Column) -> Column:
+        day = _german(p, 0)
+        return _time(day, F.when(p[5] != "", day), _utc(day, p, 3, zone), _utc(day, p, 5, zone))
+
+    return _bound(_groups(c, GERMAN_SINGLE, 7), of)
 
 
 def numeric_range(c: Column) -> Column:
     """`06.01.2026 - 10.02.2026`, without times."""
     none = F.lit(None).cast("timestamp")
-    start, end = (F.try_to_date(extract(c, NUMERIC_RANGE, g), "dd.MM.yyyy") for g in (1, 2))
-    return F.when(start.isNotNull() & end.isNotNull(), _time(start, end, none, none))
+
+    def of(p: Column) -> Column:
+        start, end = (F.try_to_date(x, "dd.MM.yyyy") for x in (p[0], p[1]))
+        return F.when(end.isNotNull(), _time(start, end, none, none))
+
+    return _bound(_groups(c, NUMERIC_RANGE, 2), of)
 
 
 def numeric_single(c: Column, zone: str = ZONE) -> Column:
     """`Sa, 24.01.2026, 15:00`, with or without a time."""
-    p = r"(?iuU)^(?:\p{L}+\.?,?\s+)?(\d{1,2})\.(\d{1,2})\.(\d{4})(?:,?\s+(\d{1,2})[:.](\d{2})(?:\s*Uhr)?)?$"
-    s = strip(c)
-    day = calendar_date(extract(s, p, 1), extract(s, p, 2), extract(s, p, 3))
-    return F.when(s.rlike(p), _time(day, F.lit(None).cast("date"), local_to_utc(day, extract(s, p, 4), extract(s, p, 5), zone), F.lit(None).cast("timestamp")))
+    pattern = r"(?iuU)^(?:\p{L}+\.?,?\s+)?(\d{1,2})\.(\d{1,2})\.(\d{4})(?:,?\s+(\d{1,2})[:.](\d{2})(?:\s*Uhr)?)?$"
+
+    def of(p: Column) -> Column:
+        day = calendar_date(p[0], p[1], p[2])
+        return _time(day, F.lit(None).cast("date"), _utc(day, p, 3, zone), F.lit(None).cast("timestamp"))
+
+    return _bound(_groups(strip(c), pattern, 5), of)
 
 
 def iso_range(c: Column, zone: str = ZONE) -> Column:
     """`2026-01-22T15:00 | 2026-01-22T17:00`; times without offset are local."""
-    p = rf"^\s*({ISO})\s*\|\s*({ISO})"
-    a, b = extract(c, p, 1), extract(c, p, 2)
-    return F.when(c.rlike(p), _iso(a, b, zone))
+    return _bound(_groups(c, rf"^\s*({ISO})\s*\|\s*({ISO})", 2), lambda p: _iso(p[0], p[1], zone))
 
 
 def iso_single(c: Column, zone: str = ZONE) -> Column:
-    s = strip(c)
-    return F.when(s.rlike(f"^{ISO}$"), _iso(s, F.lit(None).cast("string"), zone))
+    return _bound(_groups(c, rf"^\s*({ISO})\s*$", 1), lambda p: _iso(p[0], F.lit(None).cast("string"), zone))
 
 
 def _iso(a: Column, b: Column, zone: str) -> Column:
@@ -146,7 +168,7 @@ def parse_time(c: Column, zone: str = ZONE) -> Column:
 
 def explicit_date(c: Column) -> Column:
     """The first German date in text, whatever stands around it."""
-    return _german(c, rf"(?iuU){GERMAN_DATE}", 1)
+    return _bound(_groups(c, rf"(?iuU){GERMAN_DATE}", 3), lambda p: _german(p, 0))
 
 
 def event_type(t: Column) -> Column:
