@@ -24,7 +24,7 @@ from .common import on_arrow, stored
 from .ranks import hash32, ranked
 
 #: Words, and parts of words, whose ids a worker keeps.
-KEPT = 1_200_000
+KEPT = 500_000
 #: Places of the filter that tells which words have been learned before.
 SEEN = 1 << 23
 
