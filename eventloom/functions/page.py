@@ -42,7 +42,7 @@ def description(page: Column, most: int = 4000) -> Column:
 
 
 def image(page: Column, url: Column) -> Column:
-    listed = first_of(F.flatten(F.transform(page["jsonld"], R.events)), lambda e: F.coalesce(R.text_field(e, "$.image"), R.text_field(e, "$.image[0]"), R.text_field(e, "$.image.url")))
+    listed = first_of(F.flatten(F.transform(page["jsonld"], lambda d: R.events(d))), lambda e: F.coalesce(R.text_field(e, "$.image"), R.text_field(e, "$.image[0]"), R.text_field(e, "$.image.url")))
     shown = first_of(page["images"], lambda i: F.when(L.is_picture(i["src"], i["alt"], i["classes"], i["width"], i["height"]), i["src"]))
     return L.resolve(url, F.coalesce(page["og_image"], listed, shown))
 
@@ -78,17 +78,17 @@ def registration(page: Column) -> Column:
 
 
 def category(page: Column) -> Column:
-    data = first_of(F.flatten(F.transform(page["jsonld"], R.events)), lambda e: F.coalesce(R.named(e, "$.eventCategory"), R.named(e, "$.about")))
+    data = first_of(F.flatten(F.transform(page["jsonld"], lambda d: R.events(d))), lambda e: F.coalesce(R.named(e, "$.eventCategory"), R.named(e, "$.about")))
     return F.coalesce(data, T.blank_to_null(F.array_join(page["categories"], ", ")))
 
 
 def location(page: Column) -> Column:
-    listed = first_of(F.flatten(F.transform(page["jsonld"], R.events)), lambda e: R.named(e, "$.location"))
+    listed = first_of(F.flatten(F.transform(page["jsonld"], lambda d: R.events(d))), lambda e: R.named(e, "$.location"))
     return F.coalesce(listed, T.swiss_address(page["lines"])["prefix"], T.labelled_line(F.array_join(page["lines"], "\n"), ("Ort", "Wo", "Veranstaltungsort")), T.title_venue(title(page)))
 
 
 def organizer(page: Column) -> Column:
-    listed = first_of(F.flatten(F.transform(page["jsonld"], R.events)), lambda e: R.named(e, "$.organizer"))
+    listed = first_of(F.flatten(F.transform(page["jsonld"], lambda d: R.events(d))), lambda e: R.named(e, "$.organizer"))
     field = labelled(page, ORGANIZER_LABELS)["text"]
     line = T.labelled_line(F.array_join(page["lines"], "\n"), ("Veranstalter(?:in)?", "Organisator(?:in)?"))
     found = F.coalesce(page["address"]["name"], listed, field, line, page["author"])
@@ -110,7 +110,8 @@ def link_summary(links: Column) -> Column:
     """struct(classes, registration_url, organizer_url) of an array of (url, text): counts by class, and the first URLs."""
     kinds = F.transform(links, lambda a: T.link_class(a["url"], a["text"]))
     names = ("document", "organizer", "other", "registration", "ticket", "venue")
-    counts = F.map_filter(F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*[F.size(F.filter(kinds, lambda k, n=n: k == n)) for n in names])), lambda _, v: v > 0)
+    times = lambda name: F.size(F.filter(kinds, lambda k: k == name))
+    counts = F.map_filter(F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*[times(n) for n in names])), lambda _, v: v > 0)
     first = lambda kind: F.get(F.transform(F.filter(links, lambda a: T.link_class(a["url"], a["text"]) == kind), lambda a: a["url"]), F.lit(0))
     return F.struct(counts.alias("classes"), first("registration").alias("registration_url"), first("organizer").alias("organizer_url"))
 
