@@ -22,6 +22,7 @@ from tokenizers import Tokenizer
 
 from .common import on_arrow, stored
 from .ranks import hash32, ranked
+from .token_counts import byte_alphabet
 
 #: Words, and parts of words, whose ids a worker keeps.
 KEPT = 500_000
@@ -175,6 +176,11 @@ class Ids:
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.seen = bytearray(SEEN)
+        self.characters = {b: c for c, b in byte_alphabet().items()}
+
+    def spelled(self, part: str) -> str:
+        """A pre-token in the vocabulary's characters for bytes, as the library's merges take it."""
+        return part if part.isascii() else part.encode().decode("latin-1").translate(self.characters)
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -188,8 +194,9 @@ class Ids:
         texts = [w.decode() for w in new]
         whole = self.PLAIN.fullmatch
         cut = [self.findall(t.lower()) if whole(t) and "<|" not in t else None for t in texts]
-        parts = list({p for x in cut if x for p in x}.difference(self.parts))
-        self.parts.update(zip(parts, self._encoded(parts)))
+        model, spelled = self.tokenizer.model.tokenize, self.spelled
+        for p in {p for x in cut if x for p in x}.difference(self.parts):
+            self.parts[p] = b"".join([t.id.to_bytes(4, "little") for t in model(spelled(p))])
         other = [i for i, x in enumerate(cut) if x is None]
         library = dict(zip(other, self._encoded([texts[i] for i in other])))
         of = self.parts.__getitem__
