@@ -59,13 +59,15 @@ class Counts:
         self.known: dict[str, int] = {}  # by what follows a space
         self.bare: dict[str, int] = {}  # by the segment itself
         self.merged: dict[str, int] = {}
+        self.characters = {b: c for c, b in byte_alphabet().items()}
 
     def _merge(self, pieces: list[str]) -> None:
         if len(self.merged) > KEPT:
             self.merged.clear()
-        new = [p for p in dict.fromkeys(pieces) if p not in self.merged]
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.merged[p] = len(e.ids)
+        merge, characters = self.tokenizer.model.tokenize, self.characters
+        for p in set(pieces).difference(self.merged):
+            # the library's merges take a pre-token in the vocabulary's characters for bytes
+            self.merged[p] = len(merge(p.encode().decode("latin-1").translate(characters)))
 
     def _learn(self, segments: list[str], to: dict[str, int], lead: str = "") -> None:
         """Puts the count of lead + s under s, for each distinct segment s."""
