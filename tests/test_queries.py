@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from eventloom.plans import queries as _  # noqa: F401
+from eventloom.plans import queries as _, scan_queries as __  # noqa: F401
 from eventloom.plans.registry import ORACLE_SQL, QUERIES
 
 DATA = Path("/root/testdata/sf0.001")
