@@ -170,6 +170,8 @@ def groups(df: DataFrame, n: int = 3, id_col: str = "doc_id", text: str = "text"
 LONG = 256
 #: Rows of one run that are compared with each other at a time.
 RUN = 4096
+#: Rows of a key of which all pairs are compared.
+FEW = 8
 
 
 def long_fingerprint(text: str | None, n: int = 5) -> bytes:
@@ -185,14 +187,13 @@ def long_fingerprint(text: str | None, n: int = 5) -> bytes:
     return np.packbits(set_bits * 2 > len(found)).tobytes()
 
 
-def differing(similarity: float) -> int:
-    """Bits of LONG in which texts of that Jaccard similarity differ at most, but for one in six.
+def differing(similarity: float, deviations: float = 2.5) -> int:
+    """Bits of LONG in which texts of that Jaccard similarity differ at most, but for one in 160.
 
-    The angle between sets of similarity s has the cosine 2s / (1 + s); each bit differs with the angle over pi. One standard
-    deviation more is allowed.
+    The angle between sets of similarity s has the cosine 2s / (1 + s); each bit differs with the angle over pi.
     """
     p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    return int(LONG * p + (LONG * p * (1 - p)) ** 0.5)
+    return int(LONG * p + deviations * (LONG * p * (1 - p)) ** 0.5)
 
 
 def rings(tables: int, bits: int) -> np.ndarray:
@@ -224,11 +225,12 @@ def _near(x: np.ndarray, ring: np.ndarray, bits: int, limit: int) -> np.ndarray:
 
 
 def similar_links(nodes: DataFrame, similarity: float, bits: int, tables: int) -> DataFrame:
-    """Edges a, b between nodes (node, fp: distinct long fingerprints) that connect what is similar.
+    """Candidate edges a, b between nodes (node, fp: distinct long fingerprints) that look similar.
 
-    Two fingerprints meet where one of `tables` keys of `bits` is equal. Rows of a key are sorted next to each other and
-    compared in their task, RUN at a time; of earlier rows of the key only those that nothing linked stay for comparison,
-    so that a task's memory is bounded by the texts of a key that are not alike.
+    Two fingerprints meet where one of `tables` keys of `bits` is equal. Rows of a key are sorted next to each other. Of
+    a few rows all pairs are compared, side by side for all keys of a batch; more rows are compared in their task, RUN at a
+    time, and give a spanning forest and each row's nearest one. Of earlier rows only those that nothing linked stay, so
+    that a task's memory is bounded by the texts of a key that are not alike.
     """
     spark = nodes.sparkSession
     kind = nodes.schema["node"].dataType.simpleString()
@@ -249,37 +251,61 @@ def similar_links(nodes: DataFrame, similarity: float, bits: int, tables: int) -
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), t, np.int32)), pa.array(keys), node, fp], schema=key_arrow)
 
     def compare(batches):
-        held: list = []  # table, key and then (node, fingerprint) of the rows that nothing linked
+        carried = None  # rows of the last key, few, whose others may follow
+        large = None  # table and key, nodes and fingerprints of the rows of a key of many that nothing linked
         for batch in batches:
-            table, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            node = batch.column(2)
+            if carried is not None:
+                batch = pa.Table.from_batches([carried, batch]).combine_chunks().to_batches()[0]
+                carried = None
+            if batch.num_rows == 0:
+                continue
+            table, key, node = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
             fps = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, LONG // 8)
-            edges_of = np.flatnonzero((table[1:] != table[:-1]) | (key[1:] != key[:-1])) + 1
-            starts, ends = np.append(0, edges_of), np.append(edges_of, batch.num_rows)
-            a, b = [], []
-            for s, e in zip(starts.tolist(), ends.tolist()):
-                here = (int(table[s]), int(key[s]))
-                if held and held[0] == here:
-                    nodes_here, prints = list(held[1]), held[2]
-                else:
-                    nodes_here, prints = [], np.zeros((0, LONG // 8), np.uint8)
-                last = e == batch.num_rows
-                if e - s + len(nodes_here) == 1 and not last:
-                    continue
-                for at in range(s, e, RUN):
-                    stop = min(e, at + RUN)
-                    nodes_here += node.slice(at, stop - at).to_pylist()
+            cut = np.flatnonzero((table[1:] != table[:-1]) | (key[1:] != key[:-1])) + 1
+            starts, ends = np.append(0, cut), np.append(cut, batch.num_rows)
+            size, run = ends - starts, np.repeat(np.arange(len(starts)), ends - starts)
+            few = size <= FEW
+            if large is not None:
+                few[0] &= large[0] != (int(table[0]), int(key[0]))
+            if few[-1]:
+                carried = batch.slice(int(starts[-1]))
+                few[-1] = False
+            one, two = [], []
+            for d in range(1, FEW):
+                at = np.flatnonzero((run[d:] == run[:-d]) & few[run[d:]])
+                apart = np.bitwise_count((fps[at] ^ fps[at + d]).view(np.uint64)).sum(axis=1, dtype=np.int64)
+                at = at[apart <= limit]
+                one.append(at)
+                two.append(at + d)
+            first, second = np.concatenate(one), np.concatenate(two)
+            a, b = node.take(pa.array(first)).to_pylist(), node.take(pa.array(second)).to_pylist()
+            for i in np.flatnonzero(~few).tolist():
+                if carried is not None and i == len(starts) - 1:
+                    break
+                here = (int(table[starts[i]]), int(key[starts[i]]))
+                names, prints = (list(large[1]), large[2]) if large is not None and large[0] == here else ([], np.zeros((0, LONG // 8), np.uint8))
+                for at in range(int(starts[i]), int(ends[i]), RUN):
+                    stop = min(int(ends[i]), at + RUN)
+                    names += node.slice(at, stop - at).to_pylist()
                     prints = np.concatenate([prints, fps[at:stop]])
-                    links_here, roots = _forest(prints, orders[here[0]], bits, limit)
-                    a += [nodes_here[i] for i, _ in links_here]
-                    b += [nodes_here[j] for _, j in links_here]
-                    nodes_here, prints = [nodes_here[i] for i in roots], prints[roots]
-                held = [here, nodes_here, prints] if last else []
+                    found, roots = _forest(prints, orders[here[0]], bits, limit)
+                    found += _nearest(prints, limit)
+                    a += [names[x] for x, _ in found]
+                    b += [names[y] for _, y in found]
+                    names, prints = [names[x] for x in roots], prints[roots]
+                large = (here, names, prints)
             yield pa.RecordBatch.from_arrays([pa.array(a, edge_arrow.field("a").type), pa.array(b, edge_arrow.field("b").type)], schema=edge_arrow)
+        if carried is not None and carried.num_rows > 1:
+            names = carried.column(2).to_pylist()
+            prints = np.frombuffer(b"".join(carried.column(3).to_pylist()), np.uint8).reshape(-1, LONG // 8)
+            found, _ = _forest(prints, orders[int(carried.column(0)[0].as_py())], bits, limit)
+            found += _nearest(prints, limit)
+            yield pa.RecordBatch.from_arrays([pa.array([names[x] for x, _ in found], edge_arrow.field("a").type), pa.array([names[y] for _, y in found], edge_arrow.field("b").type)], schema=edge_arrow)
 
     rows = nodes.select("node", "fp").mapInArrow(keyed, key_fields)
     dealt = rows.repartition("table", "key").sortWithinPartitions("table", "key", "node")
-    return dealt.mapInArrow(compare, edge_fields).distinct()
+    found = dealt.mapInArrow(compare, edge_fields)
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _forest(prints: np.ndarray, ring: np.ndarray, bits: int, limit: int) -> tuple[list[tuple[int, int]], list[int]]:
@@ -298,10 +324,52 @@ def _forest(prints: np.ndarray, ring: np.ndarray, bits: int, limit: int) -> tupl
     return out, roots
 
 
+def _nearest(prints: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Each fingerprint with its nearest other one within the limit."""
+    out, wide = [], np.ascontiguousarray(prints).view(np.uint64)
+    for i in range(len(wide)):
+        apart = np.bitwise_count(wide ^ wide[i]).sum(axis=1, dtype=np.int64)
+        apart[i] = LONG + 1
+        k = int(apart.argmin())
+        if apart[k] <= limit:
+            out.append((i, k))
+    return out
+
+
+def similar_enough(edges: DataFrame, docs: DataFrame, n: int, similarity: float) -> DataFrame:
+    """The edges whose texts' sets of n-word shingles have that Jaccard similarity or more; docs has doc_id and text.
+
+    Sets are made for the texts of edges alone, as sorted hashes of 32 bits. Of rows with equal ids one text counts.
+    """
+    kind = edges.schema["a"].dataType.simpleString()
+    ids = edges.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
+
+    def make():
+        def shingled(text):
+            return np.unique(np.fromiter((xxhash.xxh32_intdigest(x) for x in shingles(utf8(text).lower().split(), n)), np.uint32)).tobytes()
+
+        return lambda keys, texts: {"node": keys, "shingles": [shingled(t) for t in texts]}
+
+    chosen = docs.join(ids, F.col("doc_id") == F.col("_id"), "left_semi")
+    sets = stored(on_arrow(chosen, [F.col("doc_id"), F.col("text")], make, f"node {kind}, shingles binary").groupBy("node").agg(F.min("shingles").alias("shingles")))
+    one, two = (sets.select(F.col("node").alias(f"_{c}"), F.col("shingles").alias(f"s{c}")) for c in "ab")
+    met = edges.join(one, F.col("a") == F.col("_a")).join(two, F.col("b") == F.col("_b"))
+
+    def check():
+        def enough(x, y):
+            x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            return both >= similarity * (len(x) + len(y) - both)
+
+        return lambda a, b, x, y: {"a": a, "b": b, "same": list(map(enough, x, y))}
+
+    return on_arrow(met, [F.col(c) for c in ("a", "b", "sa", "sb")], check, f"a {kind}, b {kind}, same boolean").filter("same").select("a", "b")
+
+
 def similar_groups(df: DataFrame, n: int = 5, similarity: float = 0.8, found: float = 0.91, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and component_id, the least doc_id of the row's group of similar texts, for each row.
 
-    Similarity is that of the sets of n-word shingles, as long fingerprints estimate it. Keys have two bits more than the
+    Similarity is that of the sets of n-word shingles; long fingerprints find candidates and the sets decide. Keys have two bits more than the
     number of distinct texts has digits, so that texts that aren't alike seldom meet whatever the size; there are as many tables as
     find a pair of exactly that similarity with probability `found` (one of 0.9 similarity then with over 0.999).
     Texts with equal fingerprints are always one group. Rows without id have component_id null.
@@ -316,7 +384,8 @@ def similar_groups(df: DataFrame, n: int = 5, similarity: float = 0.8, found: fl
     bits = max(16, nodes.count().bit_length() + 2)
     p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     tables = int(np.ceil(np.log(1 - found) / np.log1p(-((1 - p) ** bits))))
-    roots = components(similar_links(nodes, similarity, bits, tables))
+    candidates = stored(similar_links(nodes, similarity, bits, tables))
+    roots = components(similar_enough(candidates, df.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")), n, similarity))
     whole = checkpointed(nodes.join(roots, "node", "left").select(F.col("fp").alias("_fp"), F.coalesce("root", "node").alias("component_id")))
     return held.join(whole, F.col("fp") == F.col("_fp"), "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
