@@ -41,24 +41,33 @@ def description(page: Column, most: int = 4000) -> Column:
     return T.truncated(F.coalesce(page["content"], long(page["og_description"]), long(page["description"])), most)
 
 
-def image(page: Column, url: Column) -> Column:
-    listed = first_of(F.flatten(F.transform(page["jsonld"], lambda d: R.events(d))), lambda e: F.coalesce(R.text_field(e, "$.image"), R.text_field(e, "$.image[0]"), R.text_field(e, "$.image.url")))
+def listed_events(page: Column) -> Column:
+    """All events of the page's JSON-LD. Functions that take `events` compute them where they aren't given."""
+    return F.flatten(F.transform(page["jsonld"], lambda d: R.events(d)))
+
+
+def image(page: Column, url: Column, events: Column | None = None) -> Column:
+    listed = first_of(events if events is not None else listed_events(page), lambda e: F.coalesce(R.text_field(e, "$.image"), R.text_field(e, "$.image[0]"), R.text_field(e, "$.image.url")))
     shown = first_of(page["images"], lambda i: F.when(L.is_picture(i["src"], i["alt"], i["classes"], i["width"], i["height"]), i["src"]))
     return L.resolve(url, F.coalesce(page["og_image"], listed, shown))
 
 
-def when(page: Column, clock: Column) -> Column:
+def when(page: Column, clock: Column, events: Column | None = None) -> Column:
     """struct(datetime_raw, method): JSON-LD, else a time element (those of the article first), else ISO times in the text."""
-    data = first_of(page["jsonld"], lambda d: T.blank_to_null(R.event_time(d)))
+    data = R.time_of(events if events is not None else listed_events(page))
     inside, every = F.filter(page["container_times"], D.looks_like_date), F.filter(page["times"], D.looks_like_date)
     element = D.nearest_future(F.when(F.size(inside) > 0, inside).otherwise(every), clock)
     written = D.iso_in_text(F.array_join(page["lines"], " "))
-    method = F.when(data.isNotNull(), "jsonld").when(element.isNotNull(), "time_element").when(written.isNotNull(), "iso_text").otherwise("none")
-    return F.struct(F.coalesce(data, element, written).alias("datetime_raw"), method.alias("method"))
 
+    def of(found: Column) -> Column:
+        method = F.when(found["data"].isNotNull(), "jsonld").when(found["element"].isNotNull(), "time_element").when(found["written"].isNotNull(), "iso_text").otherwise("none")
+        return F.struct(F.coalesce(found["data"], found["element"], found["written"]).alias("datetime_raw"), method.alias("method"))
+
+    return R.bound(F.struct(data.alias("data"), element.alias("element"), written.alias("written")), of)
 
-def price(page: Column) -> Column:
-    return F.coalesce(T.price(labelled(page, PRICE_LABELS)["text"]), first_of(page["jsonld"], R.event_price))
+
+def price(page: Column, events: Column | None = None) -> Column:
+    return F.coalesce(T.price(labelled(page, PRICE_LABELS)["text"]), R.price_of(events if events is not None else listed_events(page)))
 
 
 def age(page: Column) -> Column:
@@ -77,18 +86,18 @@ def registration(page: Column) -> Column:
     return F.coalesce(by_field, first_of(page["links"], by_link))
 
 
-def category(page: Column) -> Column:
-    data = first_of(F.flatten(F.transform(page["jsonld"], lambda d: R.events(d))), lambda e: F.coalesce(R.named(e, "$.eventCategory"), R.named(e, "$.about")))
+def category(page: Column, events: Column | None = None) -> Column:
+    data = first_of(events if events is not None else listed_events(page), lambda e: F.coalesce(R.named(e, "$.eventCategory"), R.named(e, "$.about")))
     return F.coalesce(data, T.blank_to_null(F.array_join(page["categories"], ", ")))
 
 
-def location(page: Column) -> Column:
-    listed = first_of(F.flatten(F.transform(page["jsonld"], lambda d: R.events(d))), lambda e: R.named(e, "$.location"))
+def location(page: Column, events: Column | None = None) -> Column:
+    listed = first_of(events if events is not None else listed_events(page), lambda e: R.named(e, "$.location"))
     return F.coalesce(listed, T.swiss_address(page["lines"])["prefix"], T.labelled_line(F.array_join(page["lines"], "\n"), ("Ort", "Wo", "Veranstaltungsort")), T.title_venue(title(page)))
 
 
-def organizer(page: Column) -> Column:
-    listed = first_of(F.flatten(F.transform(page["jsonld"], lambda d: R.events(d))), lambda e: R.named(e, "$.organizer"))
+def organizer(page: Column, events: Column | None = None) -> Column:
+    listed = first_of(events if events is not None else listed_events(page), lambda e: R.named(e, "$.organizer"))
     field = labelled(page, ORGANIZER_LABELS)["text"]
     line = T.labelled_line(F.array_join(page["lines"], "\n"), ("Veranstalter(?:in)?", "Organisator(?:in)?"))
     found = F.coalesce(page["address"]["name"], listed, field, line, page["author"])
@@ -116,13 +125,14 @@ def link_summary(links: Column) -> Column:
     return F.struct(counts.alias("classes"), first("registration").alias("registration_url"), first("organizer").alias("organizer_url"))
 
 
-def details(page: Column, url: Column, clock: Column) -> dict[str, Column]:
-    """All columns of a detail page."""
-    s = surfaces(page, url)
-    time = when(page, clock)
-    return {
-        "title_raw": title(page), "datetime_raw": time["datetime_raw"], "extraction_method": time["method"], "location_raw": location(page), "description_raw": description(page),
-        "organizer_name": organizer(page), "image_url": image(page, url), "price": price(page), "age": age(page), "registration": registration(page), "category_raw": category(page),
-        "surfaces": s, "link_summary": link_summary(s["external_links"]),
-    }
+def details(page: Column, url: Column, clock: Column) -> Column:
+    """A struct of all fields of a detail page; its JSON-LD is read once."""
+
+    def of(events: Column) -> Column:
+        found = {
+            "title_raw": title(page), "time": when(page, clock, events), "location_raw": location(page, events), "description_raw": description(page), "organizer_name": organizer(page, events),
+            "image_url": image(page, url, events), "price": price(page, events), "age": age(page), "registration": registration(page), "category_raw": category(page, events), "surfaces": surfaces(page, url),
+        }
+        return F.struct(*[c.alias(n) for n, c in found.items()])
 
+    return R.bound(listed_events(page), of)

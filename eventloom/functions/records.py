@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from .text import blank_to_null, extract, strip
 
 
+def bound(value: Column, function) -> Column:
+    """The function of a value that is computed once, however often the function uses it."""
+    return F.get(F.transform(F.array(value), function), F.lit(0))
+
+
 def variant(c: Column) -> Column:
     """Parsed JSON, or null if it isn't JSON."""
     return F.try_parse_json(c)
@@ -66,24 +71,33 @@ def events(document: Column, depth: int = 3) -> Column:
 
 def event_time(document: Column) -> Column:
     """`start` or `start | end` of the first event with a start, as text for the date parser."""
-    found = F.filter(events(document), lambda e: text_field(e, "$.startDate").isNotNull())
-    e = F.get(found, F.lit(0))
-    return F.concat_ws(" | ", text_field(e, "$.startDate"), text_field(e, "$.endDate"))
+    return time_of(events(document))
+
+
+def time_of(found: Column) -> Column:
+    e = F.get(F.filter(found, lambda e: text_field(e, "$.startDate").isNotNull()), F.lit(0))
+    return blank_to_null(F.concat_ws(" | ", text_field(e, "$.startDate"), text_field(e, "$.endDate")))
 
 
 def event_price(document: Column) -> Column:
     """struct(price_type, price_from_chf, price_raw) of the first offer whose price is a number; 0 is free."""
+    return price_of(events(document))
 
+
+def price_of(found: Column) -> Column:
     def offers(e: Column) -> Column:
         v = F.try_variant_get(e, "$.offers", "variant")
         return F.when(v.isNotNull(), items(v)).otherwise(F.array().cast("array<variant>"))
 
-    every = F.flatten(F.transform(events(document), offers))
     amount = lambda o: F.try_variant_get(o, "$.price", "double")
-    offer = F.get(F.filter(every, lambda o: amount(o).isNotNull()), F.lit(0))
-    raw = F.concat_ws(" ", F.coalesce(F.try_variant_get(offer, "$.priceCurrency", "string"), F.lit("CHF")), F.try_variant_get(offer, "$.price", "string"))
-    free = amount(offer) == 0
-    return F.when(amount(offer).isNotNull(), F.struct(F.when(free, "free").otherwise("paid").alias("price_type"), F.when(~free, amount(offer)).alias("price_from_chf"), raw.alias("price_raw")))
+    offer = F.get(F.filter(F.flatten(F.transform(found, offers)), lambda o: amount(o).isNotNull()), F.lit(0))
+
+    def of(o: Column) -> Column:
+        raw = F.concat_ws(" ", F.coalesce(F.try_variant_get(o, "$.priceCurrency", "string"), F.lit("CHF")), F.try_variant_get(o, "$.price", "string"))
+        free = amount(o) == 0
+        return F.when(amount(o).isNotNull(), F.struct(F.when(free, "free").otherwise("paid").alias("price_type"), F.when(~free, amount(o)).alias("price_from_chf"), raw.alias("price_raw")))
+
+    return bound(offer, of)
 
 
 def named(v: Column, path: str) -> Column:

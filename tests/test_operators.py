@@ -96,11 +96,14 @@ DETAIL = """<html><head><title>Fest | Gemeinde</title><meta property="og:image"
 def test_detail_page(spark):
     df = spark.createDataFrame([(DETAIL, "https://x.ch/e/1"), (None, None)], "html string, url string").withColumn("p", read(F.col("html")))
     p = F.col("p")
-    got = df.filter("url is not null").select(*[c.alias(n) for n, c in P.details(p, F.col("url"), F.lit("2026-01-01").cast("timestamp")).items()]).first()
-    assert (got["title_raw"], got["datetime_raw"], got["extraction_method"], got["location_raw"], got["organizer_name"], got["image_url"]) == ("Fest für alle", "2026-03-01T10:00", "jsonld", "Saal", None, "https://x.ch/i.jpg") or got["organizer_name"] in ("Verein Kultur", "Amt")
+    got = df.filter("url is not null").select(P.details(p, F.col("url"), F.lit("2026-01-01").cast("timestamp")).alias("d")).first()["d"]
+    assert (got["title_raw"], got["location_raw"], got["organizer_name"], got["image_url"]) == ("Fest für alle", "Saal", "Amt", "https://x.ch/i.jpg")
+    assert tuple(got["time"]) == ("2026-03-01T10:00", "jsonld")
     assert got["description_raw"].startswith("Fest für alle\n\nEin Fest") and "• Tanz" in got["description_raw"]
     assert got["age"]["age_min"] == 4 and got["price"]["price_type"] == "free" and got["registration"]["registration_url"] == "https://reg.ch/x"
-    assert got["surfaces"]["pdf_urls"] == ["https://x.ch/flyer.pdf"] and got["link_summary"]["classes"] == {"other": 1, "ticket": 1}
+    assert got["surfaces"]["pdf_urls"] == ["https://x.ch/flyer.pdf"] and len(got["surfaces"]["external_links"]) == 2
+    links = df.filter("url is not null").select(P.link_summary(P.surfaces(p, F.col("url"))["external_links"]).alias("s")).first()["s"]
+    assert links["classes"] == {"other": 1, "ticket": 1}
     assert page(None)["links"] == [] and page("")["h1"] is None
 
 
