@@ -25,7 +25,7 @@ from .ranks import hash32, ranked
 from .token_counts import byte_alphabet
 
 #: Words, and parts of words, whose ids a worker keeps.
-KEPT = 500_000
+KEPT = 300_000
 #: Places of the filter that tells which words have been learned before.
 SEEN = 1 << 23
 

@@ -25,7 +25,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 SEGMENT = regex.compile(r"(?=[ ]\S)", regex.V1)
 SPACE = regex.compile(r"\s", regex.V1).match
 #: Segments, and pre-tokens, whose counts a worker keeps.
-KEPT = 500_000
+KEPT = 300_000
 
 
 def byte_alphabet() -> dict[str, int]:
