@@ -185,18 +185,18 @@ def remove(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
     The first occurrence of each passage stays. Documents without repeats, and those without id or text, are as before.
     """
-    found = spans(docs, words).select(F.col("doc_id").alias("_id"), "spans")
-    joined = docs.join(found, F.col("doc_id") == F.col("_id"), "left").drop("_id")
+    found = spans(docs, words).select(F.col("doc_id").alias("__id"), F.col("spans").alias("__spans"))
+    joined = docs.join(found, F.col("doc_id") == F.col("__id"), "left").drop("__id")
     schema = docs.schema
 
     def cut(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
-                texts, lists = part.column("text").to_pylist(), part.column("spans").to_pylist()
+                texts, lists = part.column("text").to_pylist(), part.column("__spans").to_pylist()
                 new = [without(t, x) if t and x else t for t, x in zip(texts, lists)]
                 changed = [a != b for a, b in zip(texts, new)]
-                columns = {n: part.column(n) for n in part.schema.names if n != "spans"}
+                columns = {n: part.column(n) for n in part.schema.names if n != "__spans"}
                 columns["text"] = pa.array(new, part.schema.field("text").type)
                 if "n_chars" in columns:
                     kind = part.schema.field("n_chars").type
@@ -204,4 +204,4 @@ def remove(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 keep = pa.array([not (c and not t.strip()) for t, c in zip(new, changed)], pa.bool_())
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns)).filter(keep)
 
-    return joined.select(*schema.names, "spans").mapInArrow(cut, schema)
+    return joined.select(*schema.names, "__spans").mapInArrow(cut, schema)

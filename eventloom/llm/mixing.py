@@ -74,9 +74,9 @@ def copies(docs: DataFrame, weights: list[float] = (3, 1, 2), share: float = 1.5
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """The rows of docs, with their columns, each as often as the mix takes it; rows with equal ids as often as the least of them."""
-    times = copies(docs, **how).groupBy("doc_id").agg(F.min("copies").alias("_copies")).filter("_copies > 0").withColumnRenamed("doc_id", "_id")
-    met = docs.join(times, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return met.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))).select(*[docs[c] for c in docs.columns])
+    times = copies(docs, **how).groupBy("doc_id").agg(F.min("copies").alias("__copies")).filter("__copies > 0").withColumnRenamed("doc_id", "__id")
+    met = docs.join(times, F.col("doc_id").eqNullSafe(F.col("__id")))
+    return met.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int")))).select(*[docs[c] for c in docs.columns])
 
 
 SQL = r"""

@@ -396,8 +396,8 @@ def one_of_each(docs: DataFrame, **how) -> DataFrame:
     Rows without id stay; of repeated rows (equal id and text) one stays.
     """
     found = stored(similar_groups(docs, **how))
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
-    left = docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__id")).distinct()
+    left = docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
     twice = found.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1")
     if twice.isEmpty():
         return left
