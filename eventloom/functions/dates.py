@@ -247,3 +247,8 @@ def time_pill(date: Column, start: Column, end: Column, precision: Column, clock
     month = F.element_at(F.array(*[F.lit(x) for x in SHORT_MONTHS[language]]), F.month(date))
     day = F.when(date == today, words[1]).when(date == F.date_add(today, 1), words[2]).otherwise(F.concat_ws(" ", name, F.dayofmonth(date).cast("string"), month))
     return F.when(is_ongoing(start, end, clock), F.concat(F.lit(words[0]), at(end))).otherwise(F.concat(day, F.when(timed, F.concat(F.lit(" · "), at(start))).otherwise(F.lit(""))))
+
+
+def approved_text(c: Column) -> Column:
+    """Whether text has one of the forms accepted from sources without structured times: a German date, alone or with one or two times."""
+    return F.coalesce(strip(c).rlike(rf"(?iuU)^{DAY}{GERMAN_DATE}(?:,?\s*{TIME})?$") & explicit_date(c).isNotNull(), F.lit(False))

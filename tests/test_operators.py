@@ -176,3 +176,28 @@ def test_streams(spark, tmp_path):
     q = ingest.counts(raw, "5 minutes", "0 seconds").writeStream.format("memory").queryName("counted").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(r["rows"] for r in spark.table("counted").collect()) == [1, 5]
+
+
+def test_audits(spark):
+    from eventloom.operators import audit
+
+    raw = spark.createDataFrame([("s", "27. Feb. 2026, 19.30 Uhr", "a"), ("s", "heute", "b"), ("s", None, "c"), ("s", "2026-02-01", "d")], "source_id string, datetime_raw string, title_raw string")
+    assert tuple(audit.time_audit(raw).first()) == ("s", 4, 75.0, 25.0, 50.0, 25.0)
+    got = audit.histogram(raw.withColumn("r", F.when(F.col("title_raw") == "a", "x")), ["source_id"], "r", ["title_raw"], 2).collect()
+    assert {(r["r"], r["rows"], r["percentage"], tuple(r["examples"])) for r in got} == {("x", 1, 25.0, ("a",)), (None, 3, 75.0, ("b", "c"))}
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from eventloom.__main__ import main
+
+    rows = [(1, "s", "x", "T", dt.datetime(2026, 1, 1, 20)), (2, "s", None, "U", None), (3, None, "y", "V", dt.datetime(2026, 1, 1, 20))]
+    df = spark.createDataFrame(rows, "id long, source_id string, external_id string, title string, start_at timestamp")
+    for name, kind in (("end_at", "timestamp"), ("datetime_raw", "string"), ("date_precision", "string"), ("location_name", "string"), ("description", "string"), ("timezone", "string"), ("canonical_url", "string"), ("content_hash", "string"), ("last_seen_at", "timestamp")):
+        df = df.withColumn(name, F.lit(None).cast(kind))
+    df.write.parquet(str(tmp_path / "events"))
+    given = ["--events", str(tmp_path / "events"), "--table", str(tmp_path / "table")]
+    assert main([*given, "--dry-run"]) == 2 and not (tmp_path / "table").exists()
+    assert main([*given, "--source-id", "s"]) == 0
+    out = capsys.readouterr().out.strip().splitlines()[-1]
+    assert '"written": 1' in out and '"quarantined": 1' in out
+    assert spark.read.parquet(str(next((tmp_path / "table").glob("v-*")))).count() == 1
