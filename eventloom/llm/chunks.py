@@ -112,7 +112,7 @@ def repeats(chunks: DataFrame) -> DataFrame:
     """doc_id, digest, place and source_doc_id of the chunks that are not the first of their digest.
 
     The first is the first in the document with the least id. Digests are counted with partial aggregation; those that
-    occur twice meet the chunks again, in a join whose hot keys can be split.
+    occur twice meet the chunks, cut again rather than kept, in a join whose hot keys can be split.
     """
     counted = chunks.groupBy("digest").agg(F.min("doc_id").alias("source_doc_id"), F.count(F.lit(1)).alias("copies"))
     twice = stored(counted.filter("copies > 1").select(F.col("digest").alias("_d"), "source_doc_id"))
@@ -146,8 +146,7 @@ def spans(df: DataFrame, words: int = WORDS, id_col: str = "doc_id", text: str =
     gives none. Only id and text are read.
     """
     kind = df.schema[id_col].dataType.simpleString()
-    chunks = stored(chunk_rows(df.filter(F.col(id_col).isNotNull()), id_col, text))
-    gathered = repeats(chunks).groupBy("doc_id").agg(F.collect_list(F.struct("place", "digest", "source_doc_id")).alias("found"))
+    gathered = repeats(chunk_rows(df.filter(F.col(id_col).isNotNull()), id_col, text)).groupBy("doc_id").agg(F.collect_list(F.struct("place", "digest", "source_doc_id")).alias("found"))
 
     def make():
         return lambda keys, found: {"doc_id": keys, "spans": [runs(x, words) for x in found]}
