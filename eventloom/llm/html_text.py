@@ -41,6 +41,7 @@ OUT_NAMES = frozenset(
     "sidebar sidebars footer cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login share sharing social related "
     "recommended recommendations comment comments commentlist disqus respond replies reply pagination pager toolbar widget widgets skip search".split()
 )
+MODIFIERS = frozenset("has with no not without is".split())
 #: Such words that only count outside of an article.
 OUT_HEADS = frozenset("header masthead banner topbar".split())
 
@@ -54,6 +55,16 @@ def _token(text: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
+def _named(name: str) -> list[str]:
+    """The words of a class or id up to one such as `with` or `has`: what follows tells what is inside or left out."""
+    out = []
+    for word in NAME.findall(name):
+        if word.lower() in MODIFIERS:
+            break
+        out.append(word.lower())
+    return out
+
+
 class Place:
     """An open element: its tag, its place from the root, and whether it is in an article or left out."""
 
@@ -74,7 +85,7 @@ def _opened(tag: str, attributes: str, above: Place) -> Place:
             elif key == "hidden":
                 hidden = True
             else:
-                names.update(x.lower() for x in NAME.findall(value))
+                names.update(*map(_named, value.split()))
                 label += f".{value}"
     article = above.article or tag in MAIN_TAGS or role == "main"
     out = above.out or hidden or tag in OUT_TAGS or role in OUT_ROLES
@@ -241,6 +252,8 @@ def main_text(df: DataFrame, id_col: str = "page_id", url: str = "url", html: st
     free = F.filter("blocks", lambda b: ~b["out"])
     article = F.filter(free, lambda b: b["article"])
     slots = F.filter(free, lambda b: ~F.array_contains(F.coalesce(F.col("fixed"), F.array().cast("array<bigint>")), b["token"]))
-    taken = F.when(F.size(article) > 0, article).when(F.size(slots) > 0, slots).otherwise(free)
+    # a page all of whose parts look like something else still has its article
+    last = F.filter("blocks", lambda b: b["article"])
+    taken = F.when(F.size(article) > 0, article).when(F.size(slots) > 0, slots).when(F.size(free) > 0, free).otherwise(last)
     text = F.array_join(F.transform(taken, lambda b: b["text"]), "\n\n")
     return met.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("bigint"))

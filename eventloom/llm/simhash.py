@@ -168,6 +168,8 @@ def groups(df: DataFrame, n: int = 3, id_col: str = "doc_id", text: str = "text"
 
 #: Bits of a long fingerprint, by as many hashes of 64 bits as needed.
 LONG = 256
+#: Bits of a key at least.
+LEAST_BITS = 20
 #: Rows of one run that are compared with each other at a time.
 RUN = 4096
 #: Rows of a key of which all pairs are compared.
@@ -369,8 +371,8 @@ def similar_enough(edges: DataFrame, docs: DataFrame, n: int, similarity: float)
 def similar_groups(df: DataFrame, n: int = 5, similarity: float = 0.8, found: float = 0.91, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and component_id, the least doc_id of the row's group of similar texts, for each row.
 
-    Similarity is that of the sets of n-word shingles; long fingerprints find candidates and the sets decide. Keys have two bits more than the
-    number of distinct texts has digits, so that texts that aren't alike seldom meet whatever the size; there are as many tables as
+    Similarity is that of the sets of n-word shingles; long fingerprints find candidates and the sets decide. Keys have LEAST_BITS, or
+    two bits more than the number of distinct texts has digits, so that texts that aren't alike seldom meet whatever the size; there are as many tables as
     find a pair of exactly that similarity with probability `found` (one of 0.9 similarity then with over 0.999).
     Texts with equal fingerprints are always one group. Rows without id have component_id null.
     """
@@ -381,7 +383,7 @@ def similar_groups(df: DataFrame, n: int = 5, similarity: float = 0.8, found: fl
 
     held = stored(on_arrow(df, [F.col(id_col), F.col(text)], make, f"doc_id {kind}, fp binary"))
     nodes = stored(held.filter(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min("doc_id").alias("node")))
-    bits = max(16, nodes.count().bit_length() + 2)
+    bits = max(LEAST_BITS, nodes.count().bit_length() + 2)
     p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     tables = int(np.ceil(np.log(1 - found) / np.log1p(-((1 - p) ** bits))))
     candidates = stored(similar_links(nodes, similarity, bits, tables))

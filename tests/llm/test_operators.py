@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from eventloom.llm import chunks, components, html_text, language_id, lattice, media, merkle, mixing, packing, simhash, token_counts
 from eventloom.llm.common import utf8
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fingerprint string, size int, score double, block int"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fingerprint string, size int, score double, spans string, _id long, component_id long, copies int"
 WORDS = ["the", "of", "river", "stone", "green", "walks", "under", "bright", "seven", "cloud", "mill", "paper", "old", "north", "garden", "silver", "bread", "window", "slow", "letter"]
 
 
@@ -32,9 +32,9 @@ def awkward():
         None, "", " \n\t ", "word", "Two words", prose(3, 200), prose(3, 200), prose(4, 150) + " " + shared + " " + prose(5, 150), prose(6, 120) + " " + shared + " " + prose(7, 90),
         long, "Ünï çödé straße ñandú 漢字 😀 á", "***!!! 123", prose(8, 40) + "\n\n" + prose(9, 40), "<|endoftext|> x <|startoftext|>", "x" * 5000,
     ]
-    rows = [(i, t, ["en", "de", None][i % 3], [None, "a", "b", "é"][i % 4], len(t) if t else None, "clash", 7, 0.5, 1) for i, t in enumerate(texts)]
+    rows = [(i, t, ["en", "de", None][i % 3], [None, "a", "b", "é"][i % 4], len(t) if t else None, "clash", 7, 0.5, "1", 1, 1, 1) for i, t in enumerate(texts)]
     rows.append(rows[5])  # a repeated row
-    rows.append((None, prose(10, 30), "en", "a", 1, None, None, None, None))
+    rows.append((None, prose(10, 30), "en", "a", 1, *[None] * 7))
     return rows
 
 
@@ -327,6 +327,11 @@ def test_html_main_text(spark):
     assert got[1] == (text, len(text)) and got[2] == ("", 0) and got[3] == ("", 0) and got[4][0] == "only one block" and "a < b" in got[5][0]
 
 
+def test_html_places():
+    page = '<div class="main has-sidebar"><article class="x"><p>A</p></article><div class="sidebar-left"><p>S</p></div></div><section id="comments"><article><p>C</p></article></section><div class="cookieNotice"><p>K</p></div>'
+    assert [(b[1], b[3]) for b in html_text.parsed(page)[0]] == [("A", False), ("S", True), ("C", True), ("K", True)]
+
+
 def test_html_template_of_a_host(spark):
     page = "<html><body><div class=x1><p>Always here, on all pages</p></div><div class=x2><p>Own text {0} of page {0}, and more of it</p></div><div class=x3><p>Kept by us since 1999</p></div></body></html>"
     rows = [(i, f"http://h.example/{i}", page.format(i)) for i in range(8)] + [(100, "http://other.example/", page.format(100))]
