@@ -51,11 +51,16 @@ def tokens(c: Column) -> Column:
 
 def jaccard(a: Column, b: Column) -> Column:
     """Likeness of two texts' sets of words: 1 if both are empty, 0 if one is."""
-    x, y = tokens(a), tokens(b)
+    return likeness(tokens(a), tokens(b))
+
+
+def likeness(x: Column, y: Column) -> Column:
+    """Likeness of two arrays of distinct words; the union's size follows from the intersection's."""
+    both = F.size(F.array_intersect(x, y)).cast("double")
     return (
         F.when((F.size(x) == 0) & (F.size(y) == 0), F.lit(1.0))
         .when((F.size(x) == 0) | (F.size(y) == 0), F.lit(0.0))
-        .otherwise(F.size(F.array_intersect(x, y)).cast("double") / F.size(F.array_union(x, y)))
+        .otherwise(both / (F.size(x) + F.size(y) - both))
     )
 
 

@@ -32,10 +32,14 @@ def scored_pairs(sources: DataFrame, happenings: DataFrame, floor: float = 0.0,
     left = sources
     if banned is not None:
         left = left.join(banned.toDF("_banned"), T.normalize_title(F.col("title")) == F.col("_banned"), "left_anti")
-    a = left.select(F.col("id").alias("source_happening_id"), F.col("title").alias("a_title"), F.col("start_date").alias("a_date"), F.col("venue").alias("a_venue"))
-    b = happenings.select(F.col("id").alias("happening_id"), F.col("title").alias("b_title"), F.col("start_date").alias("b_date"), F.col("venue").alias("b_venue"))
-    score = T.confidence(F.col("a_title"), F.col("b_title"), F.col("a_date"), F.col("b_date"), F.col("a_venue"), F.col("b_venue"))
-    pairs = a.join(b, F.col("a_date") == F.col("b_date")).withColumn("score", score)
+    # words are found once a row, not once a pair
+    words = lambda c, normal: T.tokens(normal(F.col(c)))
+    side = lambda df, name, p: df.select(
+        F.col("id").alias(name), F.col("title").alias(f"{p}_title"), F.col("start_date").alias(f"{p}_date"), words("title", T.normalize_title).alias(f"{p}_words"), words("venue", T.normalize_venue).alias(f"{p}_place")
+    )
+    a, b = side(left, "source_happening_id", "a"), side(happenings, "happening_id", "b")
+    score = F.lit(0.5) * T.likeness(F.col("a_words"), F.col("b_words")) + F.lit(0.3) + F.lit(0.2) * T.likeness(F.col("a_place"), F.col("b_place"))
+    pairs = a.join(b, F.col("a_date") == F.col("b_date")).withColumn("score", score).drop("a_words", "b_words", "a_place", "b_place")
     return pairs.filter(F.col("score") >= floor)
 
 
