@@ -189,6 +189,11 @@ def long_fingerprint(text: str | None, n: int = 5) -> bytes:
     return np.packbits(set_bits * 2 > len(found)).tobytes()
 
 
+def shingle_digest(text: str | None, n: int = 5) -> bytes:
+    """128 bits that name a text's set of shingles of n: equal for equal sets alone, but for chance."""
+    return xxhash.xxh3_128_digest(b"\n".join(sorted(set(shingles(utf8(text).lower().split(), n)))), seed=SEED)
+
+
 def differing(similarity: float, deviations: float = 2.5) -> int:
     """Bits of LONG in which texts of that Jaccard similarity differ at most, but for one in 160.
 
@@ -227,7 +232,7 @@ def _near(x: np.ndarray, ring: np.ndarray, bits: int, limit: int) -> np.ndarray:
 
 
 def similar_links(nodes: DataFrame, similarity: float, bits: int, tables: int) -> DataFrame:
-    """Candidate edges a, b between nodes (node, fp: distinct long fingerprints) that look similar.
+    """Candidate edges a, b between nodes (node, fp: long fingerprints) that look similar.
 
     Two fingerprints meet where one of `tables` keys of `bits` is equal. Rows of a key are sorted next to each other. Of
     a few rows all pairs are compared, side by side for all keys of a batch; more rows are compared in their task, RUN at a
@@ -374,22 +379,23 @@ def similar_groups(df: DataFrame, n: int = 5, similarity: float = 0.8, found: fl
     Similarity is that of the sets of n-word shingles; long fingerprints find candidates and the sets decide. Keys have LEAST_BITS, or
     two bits more than the number of distinct texts has digits, so that texts that aren't alike seldom meet whatever the size; there are as many tables as
     find a pair of exactly that similarity with probability `found` (one of 0.9 similarity then with over 0.999).
-    Texts with equal fingerprints are always one group. Rows without id have component_id null.
+    Texts with equal sets of shingles are one node and always one group; different sets with equal fingerprints are candidates like any
+    others. Rows without id have component_id null.
     """
     kind = df.schema[id_col].dataType.simpleString()
 
     def make():
-        return lambda keys, texts: {"doc_id": keys, "fp": [long_fingerprint(t, n) for t in texts]}
+        return lambda keys, texts: {"doc_id": keys, "digest": [shingle_digest(t, n) for t in texts], "fp": [long_fingerprint(t, n) for t in texts]}
 
-    held = stored(on_arrow(df, [F.col(id_col), F.col(text)], make, f"doc_id {kind}, fp binary"))
-    nodes = stored(held.filter(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min("doc_id").alias("node")))
+    held = stored(on_arrow(df, [F.col(id_col), F.col(text)], make, f"doc_id {kind}, digest binary, fp binary"))
+    nodes = stored(held.filter(F.col("doc_id").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("node"), F.min("fp").alias("fp")))
     bits = max(LEAST_BITS, nodes.count().bit_length() + 2)
     p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     tables = int(np.ceil(np.log(1 - found) / np.log1p(-((1 - p) ** bits))))
     candidates = stored(similar_links(nodes, similarity, bits, tables))
     roots = components(similar_enough(candidates, df.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")), n, similarity))
-    whole = checkpointed(nodes.join(roots, "node", "left").select(F.col("fp").alias("_fp"), F.coalesce("root", "node").alias("component_id")))
-    return held.join(whole, F.col("fp") == F.col("_fp"), "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    whole = checkpointed(nodes.join(roots, "node", "left").select(F.col("digest").alias("_digest"), F.coalesce("root", "node").alias("component_id")))
+    return held.join(whole, F.col("digest") == F.col("_digest"), "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, **how) -> DataFrame:

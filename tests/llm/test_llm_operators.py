@@ -245,6 +245,14 @@ def test_similar_groups_find_near_copies(spark):
     assert got == {i: i - i % 3 for i in range(75)}
 
 
+def test_texts_with_equal_fingerprints_alone_stay(spark):
+    r = random.Random(5)
+    line = " ".join(f"w{r.randrange(10**5)}" for _ in range(7))
+    rows = [(i, " ".join([line] * 60 + [f"w{r.randrange(10**5)}" for _ in range(30)])) for i in range(8)]
+    got = {x["doc_id"]: x["component_id"] for x in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i for i in range(8)}
+
+
 def test_one_of_each(docs, none):
     kept = simhash.one_of_each(docs)
     ids = sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None)
