@@ -177,8 +177,11 @@ FEW = 8
 
 
 def long_fingerprint(text: str | None, n: int = 5) -> bytes:
-    """LONG bits, as bytes, of a text's lower-cased (A-Z) words in shingles of n; zeros without words."""
-    found = shingles(utf8(text).lower().split(), n)
+    """LONG bits, as bytes, of a text's lower-cased (A-Z) words in distinct shingles of n; zeros without words.
+
+    A repeated shingle counts once, so that the differing bits follow the similarity of sets, which decides.
+    """
+    found = list(set(shingles(utf8(text).lower().split(), n)))
     if not found:
         return bytes(LONG // 8)
     set_bits = np.zeros(LONG, np.int64)

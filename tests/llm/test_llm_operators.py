@@ -253,6 +253,15 @@ def test_texts_with_equal_fingerprints_alone_stay(spark):
     assert got == {i: i for i in range(8)}
 
 
+def test_similar_groups_find_copies_with_repeated_lines(spark):
+    r, rows = random.Random(6), []
+    for g in range(10):
+        body, line = (" ".join(f"w{r.randrange(10**5)}" for _ in range(n)) for n in (200, 9))
+        rows += [(2 * g, f"{body} {line}"), (2 * g + 1, body + f" {line}" * 40)]
+    got = {x["doc_id"]: x["component_id"] for x in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i in range(20)}
+
+
 def test_one_of_each(docs, none):
     kept = simhash.one_of_each(docs)
     ids = sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None)
