@@ -234,22 +234,29 @@ def _near(x: np.ndarray, ring: np.ndarray, bits: int, limit: int) -> np.ndarray:
     return left
 
 
-def similar_links(nodes: DataFrame, similarity: float, bits: int, tables: int) -> DataFrame:
-    """Candidate edges a, b between nodes (node, fp: long fingerprints) that look similar.
+def similar_links(nodes: DataFrame, similarity: float, bits: int, tables: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate edges a, b between nodes (node, fp: long fingerprints) that look similar, and the rows (node, table, key) of keys of many.
 
     Two fingerprints meet where one of `tables` keys of `bits` is equal. Rows of a key are sorted next to each other. Of
     a few rows all pairs are compared, side by side for all keys of a batch; more rows are compared in their task, RUN at a
     time, and give a spanning forest and each row's nearest one. Of earlier rows only those that nothing linked stay, so
-    that a task's memory is bounded by the texts of a key that are not alike.
+    that a task's memory is bounded by the texts of a key that are not alike. Pairs of such keys that this leaves out are
+    up to `apart_links`.
     """
     spark = nodes.sparkSession
     kind = nodes.schema["node"].dataType.simpleString()
     limit, orders = differing(similarity), rings(tables, bits)
     powers = (1 << np.arange(bits, dtype=np.int64))[::-1]
     key_fields = spark.createDataFrame([], f"table int, key bigint, node {kind}, fp binary").schema
-    edge_fields = spark.createDataFrame([], f"a {kind}, b {kind}").schema
+    # an edge has no table and key; a row of a key of many has no b
+    edge_fields = spark.createDataFrame([], f"a {kind}, b {kind}, table int, key bigint").schema
     key_arrow, edge_arrow = _arrow_schema(key_fields), _arrow_schema(edge_fields)
 
+    def edge_rows(a, b, tables, keys):
+        more = len(a) - len(tables)
+        columns = [a, b + [None] * len(tables), [None] * more + tables, [None] * more + keys]
+        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, edge_arrow)], schema=edge_arrow)
+
     def keyed(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
@@ -289,10 +296,12 @@ def similar_links(nodes: DataFrame, similarity: float, bits: int, tables: int) -
                 two.append(at + d)
             first, second = np.concatenate(one), np.concatenate(two)
             a, b = node.take(pa.array(first)).to_pylist(), node.take(pa.array(second)).to_pylist()
+            rows = []
             for i in np.flatnonzero(~few).tolist():
                 if carried is not None and i == len(starts) - 1:
                     break
                 here = (int(table[starts[i]]), int(key[starts[i]]))
+                rows += range(int(starts[i]), int(ends[i]))
                 names, prints = (list(large[1]), large[2]) if large is not None and large[0] == here else ([], np.zeros((0, LONG // 8), np.uint8))
                 for at in range(int(starts[i]), int(ends[i]), RUN):
                     stop = min(int(ends[i]), at + RUN)
@@ -304,18 +313,76 @@ def similar_links(nodes: DataFrame, similarity: float, bits: int, tables: int) -
                     b += [names[y] for _, y in found]
                     names, prints = [names[x] for x in roots], prints[roots]
                 large = (here, names, prints)
-            yield pa.RecordBatch.from_arrays([pa.array(a, edge_arrow.field("a").type), pa.array(b, edge_arrow.field("b").type)], schema=edge_arrow)
+            yield edge_rows(a + node.take(pa.array(rows, pa.int64())).to_pylist(), b, table[rows].tolist(), key[rows].tolist())
         if carried is not None and carried.num_rows > 1:
             names = carried.column(2).to_pylist()
             prints = np.frombuffer(b"".join(carried.column(3).to_pylist()), np.uint8).reshape(-1, LONG // 8)
-            found, _ = _forest(prints, orders[int(carried.column(0)[0].as_py())], bits, limit)
-            found += _nearest(prints, limit)
-            yield pa.RecordBatch.from_arrays([pa.array([names[x] for x, _ in found], edge_arrow.field("a").type), pa.array([names[y] for _, y in found], edge_arrow.field("b").type)], schema=edge_arrow)
+            apart = np.bitwise_count((prints[:, None] ^ prints[None]).view(np.uint64)).sum(axis=2, dtype=np.int64)
+            found = np.argwhere(np.triu(apart <= limit, 1)).tolist()
+            yield edge_rows([names[x] for x, _ in found], [names[y] for _, y in found], [], [])
 
     rows = nodes.select("node", "fp").mapInArrow(keyed, key_fields)
     dealt = rows.repartition("table", "key").sortWithinPartitions("table", "key", "node")
-    found = dealt.mapInArrow(compare, edge_fields)
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    found = stored(dealt.mapInArrow(compare, edge_fields))
+    edges = found.filter("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return edges, found.filter("b is null").select(F.col("a").alias("node"), "table", "key")
+
+
+def apart_links(shared: DataFrame, nodes: DataFrame, roots: DataFrame, similarity: float, bits: int, tables: int) -> DataFrame:
+    """Every pair a, b of rows of a key (shared: node, table, key) that looks similar and isn't linked by `roots` yet, in no certain order.
+
+    A forest's edges may fail the exact check, so all pairs between different groups are compared; those within one need no other link.
+    Only keys that hold several groups are read. A pair is given by the first key that it shares. A task holds the fingerprints of one key
+    and compares tiles of them.
+    """
+    kind = nodes.schema["node"].dataType.simpleString()
+    limit, orders = differing(similarity), rings(tables, bits)
+    masks = np.zeros((tables, LONG), np.uint8)
+    for t in range(tables):
+        masks[t, orders[t, :bits]] = 1
+    masks = np.packbits(masks, axis=1).view(np.uint64)
+    edge_fields = nodes.sparkSession.createDataFrame([], f"a {kind}, b {kind}").schema
+    edge_arrow = _arrow_schema(edge_fields)
+    named = nodes.join(roots.select(F.col("node").alias("_node"), "root"), F.col("node") == F.col("_node"), "left").select(
+        F.col("node").alias("_node"), "fp", F.coalesce("root", "node").alias("root")
+    )
+    rows = stored(shared.join(named, F.col("node") == F.col("_node")).select("table", "key", "node", "fp", "root"))
+    several = rows.groupBy("table", "key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least != most").select("table", "key")
+    dealt = rows.join(several, ["table", "key"], "left_semi").repartition("table", "key").sortWithinPartitions("table", "key", "node")
+
+    def pairs(batches):
+        node, root = (pa.chunked_array([b.column(i) for b in batches]).combine_chunks() for i in (2, 4))
+        prints = np.concatenate([np.frombuffer(b"".join(b.column(3).to_pylist()), np.uint64).reshape(-1, LONG // 64) for b in batches])
+        table, group = int(batches[0].column(0)[0].as_py()), root.dictionary_encode().indices.to_numpy()
+        for i in range(0, len(prints), 256):
+            for j in range(i, len(prints), 4096):
+                counts = np.bitwise_count(prints[i : i + 256, None] ^ prints[None, j : j + 4096]).sum(axis=2, dtype=np.int64)
+                x, y = np.nonzero((counts <= limit) & (group[i : i + 256, None] != group[None, j : j + 4096]))
+                x, y = x[x + i < y + j] + i, y[x + i < y + j] + j
+                differ = prints[x] ^ prints[y]
+                for t in range(table):
+                    other = ((differ & masks[t]) != 0).any(axis=1)
+                    x, y, differ = x[other], y[other], differ[other]
+                if len(x):
+                    yield pa.RecordBatch.from_arrays([node.take(pa.array(x)), node.take(pa.array(y))], schema=edge_arrow)
+
+    def compare(batches):
+        held, here = [], None  # the rows of one key
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            table, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cut = np.flatnonzero((table[1:] != table[:-1]) | (key[1:] != key[:-1])) + 1
+            for start, end in zip([0, *cut.tolist()], [*cut.tolist(), batch.num_rows]):
+                if here != (int(table[start]), int(key[start])):
+                    if held:
+                        yield from pairs(held)
+                    held, here = [], (int(table[start]), int(key[start]))
+                held.append(batch.slice(start, end - start))
+        if held:
+            yield from pairs(held)
+
+    return dealt.mapInArrow(compare, edge_fields).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _forest(prints: np.ndarray, ring: np.ndarray, bits: int, limit: int) -> tuple[list[tuple[int, int]], list[int]]:
@@ -379,7 +446,8 @@ def similar_enough(edges: DataFrame, docs: DataFrame, n: int, similarity: float)
 def similar_groups(df: DataFrame, n: int = 5, similarity: float = 0.8, found: float = 0.91, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and component_id, the least doc_id of the row's group of similar texts, for each row.
 
-    Similarity is that of the sets of n-word shingles; long fingerprints find candidates and the sets decide. Keys have LEAST_BITS, or
+    Similarity is that of the sets of n-word shingles; long fingerprints find candidates and the sets decide: a pair that shares a key
+    and looks similar is checked unless other checked links already join it. Keys have LEAST_BITS, or
     two bits more than the number of distinct texts has digits, so that texts that aren't alike seldom meet whatever the size; there are as many tables as
     find a pair of exactly that similarity with probability `found` (one of 0.9 similarity then with over 0.999).
     Texts with equal sets of shingles are one node and always one group; different sets with equal fingerprints are candidates like any
@@ -395,8 +463,14 @@ def similar_groups(df: DataFrame, n: int = 5, similarity: float = 0.8, found: fl
     bits = max(LEAST_BITS, nodes.count().bit_length() + 2)
     p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     tables = int(np.ceil(np.log(1 - found) / np.log1p(-((1 - p) ** bits))))
-    candidates = stored(similar_links(nodes, similarity, bits, tables))
-    roots = components(similar_enough(candidates, df.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")), n, similarity))
+    candidates, shared = similar_links(nodes, similarity, bits, tables)
+    docs = df.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
+    edges = stored(similar_enough(stored(candidates), docs, n, similarity))
+    roots = components(edges)
+    if not shared.isEmpty():
+        apart = stored(apart_links(shared, nodes, roots, similarity, bits, tables))
+        if not apart.isEmpty():
+            roots = components(edges.unionByName(similar_enough(apart, docs, n, similarity)))
     whole = checkpointed(nodes.join(roots, "node", "left").select(F.col("digest").alias("_digest"), F.coalesce("root", "node").alias("component_id")))
     return held.join(whole, F.col("digest") == F.col("_digest"), "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 

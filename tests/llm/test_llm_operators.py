@@ -262,6 +262,32 @@ def test_similar_groups_find_copies_with_repeated_lines(spark):
     assert got == {i: i - i % 2 for i in range(20)}
 
 
+def test_similar_groups_join_all_that_share_a_key(spark):
+    r, texts = random.Random(7), []
+    for n, size, edits in ((200, 200, 4), (200, 200, 5)):
+        family = [[f"w{r.randrange(10**5)}" for _ in range(size)]]
+        while len(family) < n:
+            own = list(r.choice(family))
+            for _ in range(r.randint(1, edits)):
+                own[r.randrange(size)] = f"w{r.randrange(10**5)}"
+            family.append(own)
+        texts += [" ".join(x) for x in family]
+    bits, limit, p = simhash.LEAST_BITS, simhash.differing(0.8), float(np.arccos(1.6 / 1.8) / np.pi)
+    orders = simhash.rings(int(np.ceil(np.log(0.09) / np.log1p(-((1 - p) ** bits)))), bits)
+    prints = np.frombuffer(b"".join(map(simhash.long_fingerprint, texts)), np.uint8).reshape(-1, 32)
+    keys = np.stack([np.unpackbits(prints, axis=1)[:, o[:bits]] @ (1 << np.arange(bits)) for o in orders], axis=1)
+    sets, root = [set(simhash.shingles(t.encode().split(), 5)) for t in texts], list(range(len(texts)))
+    for j in range(len(texts)):
+        near = (keys[:j] == keys[j]).any(axis=1) & (np.bitwise_count(prints[:j] ^ prints[j]).sum(axis=1) <= limit)
+        for i in np.flatnonzero(near).tolist():
+            both = len(sets[i] & sets[j])
+            if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both) and root[i] != root[j]:
+                least, most = sorted((root[i], root[j]))
+                root = [least if x == most else x for x in root]
+    got = {x["doc_id"]: x["component_id"] for x in simhash.similar_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == dict(enumerate(root))
+
+
 def test_one_of_each(docs, none):
     kept = simhash.one_of_each(docs)
     ids = sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None)
