@@ -372,7 +372,7 @@ def test_html_main_text(spark):
 
 def test_html_places():
     page = '<div class="main has-sidebar"><article class="x"><p>A</p></article><div class="sidebar-left"><p>S</p></div></div><section id="comments"><article><p>C</p></article></section><div class="cookieNotice"><p>K</p></div>'
-    assert [(b[1], b[3]) for b in html_text.parsed(page)[0]] == [("A", False), ("S", True), ("C", True), ("K", True)]
+    assert [(b.text, b.place.name != 0) for b in html_text.parsed(page) if isinstance(b, html_text.Block)] == [("A", False), ("S", True), ("C", True), ("K", True)]
 
 
 def test_html_template_of_a_host(spark):
