@@ -153,14 +153,15 @@ def linked(nodes: DataFrame, bucket: int = BUCKET) -> DataFrame:
 def groups(df: DataFrame, n: int = 3, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fp and component_id, the least doc_id that a chain of links reaches, for each row.
 
-    Rows with equal fingerprints are one node; documents without words have fingerprint 0 and link like any other.
-    Null ids take part in the search but no component is named after them unless it has no other id. Repeated rows stay.
+    The distinct fingerprints are the nodes; documents without words have fingerprint 0 and link like any other. Rows with null
+    ids link like all others but no component is named after them: component_id is null where no row of it has an id. Repeated rows stay.
     """
     held = stored(fingerprints(df, n, id_col, text))
-    nodes = checkpointed(held.groupBy("fp").agg(F.min("doc_id").alias("node")))
-    named = nodes.filter(F.col("node").isNotNull())
-    roots = components(linked(named))
-    whole = checkpointed(nodes.join(roots, "node", "left").select(F.col("fp").alias("_fp"), F.coalesce("root", "node").alias("component_id")))
+    nodes = checkpointed(held.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    roots = components(linked(nodes.select(F.col("fp").alias("node"), "fp")))
+    named = checkpointed(nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    names = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    whole = checkpointed(named.select(F.col("fp").alias("_fp"), "root").join(names, "root").drop("root"))
     return held.join(whole, F.col("fp") == F.col("_fp")).drop("_fp")
 
 
@@ -172,7 +173,7 @@ LONG = 256
 LEAST_BITS = 20
 #: Rows of one run that are compared with each other at a time.
 RUN = 4096
-#: Rows of a key of which all pairs are compared.
+#: Rows of a key of which all pairs are compared at once; of more, `apart_links` compares the pairs that no link joins. The links found are the same.
 FEW = 8
 
 
@@ -332,8 +333,8 @@ def apart_links(shared: DataFrame, nodes: DataFrame, roots: DataFrame, similarit
     """Every pair a, b of rows of a key (shared: node, table, key) that looks similar and isn't linked by `roots` yet, in no certain order.
 
     A forest's edges may fail the exact check, so all pairs between different groups are compared; those within one need no other link.
-    Only keys that hold several groups are read. A pair is given by the first key that it shares. A task holds the fingerprints of one key
-    and compares tiles of them.
+    Only keys that hold several groups are read. A pair is given by the first key that it shares. A key's rows are dealt into blocks of
+    some RUN rows and each pair of blocks is a tile of its own, so that a task holds two blocks however many rows a key has.
     """
     kind = nodes.schema["node"].dataType.simpleString()
     limit, orders = differing(similarity), rings(tables, bits)
@@ -347,17 +348,24 @@ def apart_links(shared: DataFrame, nodes: DataFrame, roots: DataFrame, similarit
         F.col("node").alias("_node"), "fp", F.coalesce("root", "node").alias("root")
     )
     rows = stored(shared.join(named, F.col("node") == F.col("_node")).select("table", "key", "node", "fp", "root"))
-    several = rows.groupBy("table", "key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least != most").select("table", "key")
-    dealt = rows.join(several, ["table", "key"], "left_semi").repartition("table", "key").sortWithinPartitions("table", "key", "node")
+    counted = rows.groupBy("table", "key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("n")).filter("least != most")
+    several = counted.select("table", "key", F.ceil(F.col("n") / RUN).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node", "table"), F.col("blocks")).cast("int")
+    tile = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j"))))
+    tiled = rows.join(several, ["table", "key"]).withColumn("block", own).withColumn("tile", tile).select("table", "key", "tile.i", "tile.j", "block", "node", "fp", "root")
+    dealt = tiled.repartition("table", "key", "i", "j").sortWithinPartitions("table", "key", "i", "j", "block", "node")
 
     def pairs(batches):
-        node, root = (pa.chunked_array([b.column(i) for b in batches]).combine_chunks() for i in (2, 4))
-        prints = np.concatenate([np.frombuffer(b"".join(b.column(3).to_pylist()), np.uint64).reshape(-1, LONG // 64) for b in batches])
-        table, group = int(batches[0].column(0)[0].as_py()), root.dictionary_encode().indices.to_numpy()
-        for i in range(0, len(prints), 256):
-            for j in range(i, len(prints), 4096):
-                counts = np.bitwise_count(prints[i : i + 256, None] ^ prints[None, j : j + 4096]).sum(axis=2, dtype=np.int64)
-                x, y = np.nonzero((counts <= limit) & (group[i : i + 256, None] != group[None, j : j + 4096]))
+        node, root, block = (pa.chunked_array([b.column(i) for b in batches]).combine_chunks() for i in (5, 7, 4))
+        prints = np.concatenate([np.frombuffer(b"".join(b.column(6).to_pylist()), np.uint64).reshape(-1, LONG // 64) for b in batches])
+        table, same = int(batches[0].column(0)[0].as_py()), batches[0].column(2)[0] == batches[0].column(3)[0]
+        group, block = root.dictionary_encode().indices.to_numpy(), block.to_numpy()
+        second = 0 if same else int(np.searchsorted(block, block[-1]))
+        for i in range(0, len(prints) if same else second, 256):
+            stop = i + 256 if same else min(i + 256, second)
+            for j in range(i if same else second, len(prints), RUN):
+                counts = np.bitwise_count(prints[i:stop, None] ^ prints[None, j : j + RUN]).sum(axis=2, dtype=np.int64)
+                x, y = np.nonzero((counts <= limit) & (group[i:stop, None] != group[None, j : j + RUN]))
                 x, y = x[x + i < y + j] + i, y[x + i < y + j] + j
                 differ = prints[x] ^ prints[y]
                 for t in range(table):
@@ -367,19 +375,19 @@ def apart_links(shared: DataFrame, nodes: DataFrame, roots: DataFrame, similarit
                     yield pa.RecordBatch.from_arrays([node.take(pa.array(x)), node.take(pa.array(y))], schema=edge_arrow)
 
     def compare(batches):
-        held, here = [], None  # the rows of one key
+        held, here = [], None  # the rows of one tile
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            table, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            cut = np.flatnonzero((table[1:] != table[:-1]) | (key[1:] != key[:-1])) + 1
+            marks = np.stack([batch.column(c).to_numpy() for c in range(4)])
+            cut = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1
             for start, end in zip([0, *cut.tolist()], [*cut.tolist(), batch.num_rows]):
-                if here != (int(table[start]), int(key[start])):
-                    if held:
+                if here != marks[:, start].tolist():
+                    if held and (held[0].column(2)[0] == held[0].column(3)[0] or held[0].column(4)[0] != held[-1].column(4)[-1]):
                         yield from pairs(held)
-                    held, here = [], (int(table[start]), int(key[start]))
+                    held, here = [], marks[:, start].tolist()
                 held.append(batch.slice(start, end - start))
-        if held:
+        if held and (held[0].column(2)[0] == held[0].column(3)[0] or held[0].column(4)[0] != held[-1].column(4)[-1]):
             yield from pairs(held)
 
     return dealt.mapInArrow(compare, edge_fields).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -413,13 +421,15 @@ def _nearest(prints: np.ndarray, limit: int) -> list[tuple[int, int]]:
     return out
 
 
-def similar_enough(edges: DataFrame, docs: DataFrame, n: int, similarity: float) -> DataFrame:
-    """The edges whose texts' sets of n-word shingles have that Jaccard similarity or more; docs has doc_id and text.
+def similar_enough(edges: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, similarity: float) -> DataFrame:
+    """The edges a, b of nodes whose texts' sets of n-word shingles have that Jaccard similarity or more.
 
-    Sets are made for the texts of edges alone, as sorted hashes of 32 bits. Of rows with equal ids one text counts.
+    nodes names a row for each node by `least`, its doc_id and `mark`, a hash of its text; docs has doc_id and text. Sets are made for the
+    texts of edges alone, as sorted hashes of 32 bits.
     """
     kind = edges.schema["a"].dataType.simpleString()
-    ids = edges.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
+    met = edges.select(F.explode(F.array("a", "b")).alias("_node")).distinct()
+    ids = nodes.join(met, F.col("node") == F.col("_node"), "left_semi").select("node", F.col("least.doc_id").alias("_id"), F.col("least.mark").alias("_mark"))
 
     def make():
         def shingled(text):
@@ -427,10 +437,10 @@ def similar_enough(edges: DataFrame, docs: DataFrame, n: int, similarity: float)
 
         return lambda keys, texts: {"node": keys, "shingles": [shingled(t) for t in texts]}
 
-    chosen = docs.join(ids, F.col("doc_id") == F.col("_id"), "left_semi")
-    sets = stored(on_arrow(chosen, [F.col("doc_id"), F.col("text")], make, f"node {kind}, shingles binary").groupBy("node").agg(F.min("shingles").alias("shingles")))
+    chosen = docs.withColumn("mark", F.xxhash64("text")).join(ids, (F.col("doc_id") == F.col("_id")) & (F.col("mark") == F.col("_mark")))
+    sets = stored(on_arrow(chosen, [F.col("node"), F.col("text")], make, f"node {kind}, shingles binary").groupBy("node").agg(F.min("shingles").alias("shingles")))
     one, two = (sets.select(F.col("node").alias(f"_{c}"), F.col("shingles").alias(f"s{c}")) for c in "ab")
-    met = edges.join(one, F.col("a") == F.col("_a")).join(two, F.col("b") == F.col("_b"))
+    both = edges.join(one, F.col("a") == F.col("_a")).join(two, F.col("b") == F.col("_b"))
 
     def check():
         def enough(x, y):
@@ -440,50 +450,62 @@ def similar_enough(edges: DataFrame, docs: DataFrame, n: int, similarity: float)
 
         return lambda a, b, x, y: {"a": a, "b": b, "same": list(map(enough, x, y))}
 
-    return on_arrow(met, [F.col(c) for c in ("a", "b", "sa", "sb")], check, f"a {kind}, b {kind}, same boolean").filter("same").select("a", "b")
+    return on_arrow(both, [F.col(c) for c in ("a", "b", "sa", "sb")], check, f"a {kind}, b {kind}, same boolean").filter("same").select("a", "b")
 
 
-def similar_groups(df: DataFrame, n: int = 5, similarity: float = 0.8, found: float = 0.91, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and component_id, the least doc_id of the row's group of similar texts, for each row.
-
-    Similarity is that of the sets of n-word shingles; long fingerprints find candidates and the sets decide: a pair that shares a key
-    and looks similar is checked unless other checked links already join it. Keys have LEAST_BITS, or
-    two bits more than the number of distinct texts has digits, so that texts that aren't alike seldom meet whatever the size; there are as many tables as
-    find a pair of exactly that similarity with probability `found` (one of 0.9 similarity then with over 0.999).
-    Texts with equal sets of shingles are one node and always one group; different sets with equal fingerprints are candidates like any
-    others. Rows without id have component_id null.
-    """
-    kind = df.schema[id_col].dataType.simpleString()
+def _similar(docs: DataFrame, n: int, similarity: float, found: float) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, mark, digest) of docs (doc_id, text) with ids, and for each digest (_digest) `kept`, the least doc_id and mark of its group."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def make():
-        return lambda keys, texts: {"doc_id": keys, "digest": [shingle_digest(t, n) for t in texts], "fp": [long_fingerprint(t, n) for t in texts]}
+        return lambda keys, marks, texts: {"doc_id": keys, "mark": marks, "digest": [shingle_digest(t, n) for t in texts], "fp": [long_fingerprint(t, n) for t in texts]}
 
-    held = stored(on_arrow(df, [F.col(id_col), F.col(text)], make, f"doc_id {kind}, digest binary, fp binary"))
-    nodes = stored(held.filter(F.col("doc_id").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("node"), F.min("fp").alias("fp")))
+    named = docs.filter(F.col("doc_id").isNotNull())
+    held = stored(on_arrow(named, [F.col("doc_id"), F.xxhash64("text"), F.col("text")], make, f"doc_id {kind}, mark bigint, digest binary, fp binary"))
+    # numbers of rows, fixed by being written, name the nodes: one id may have several texts
+    nodes = stored(held.groupBy("digest").agg(F.min(F.struct("doc_id", "mark")).alias("least"), F.min("fp").alias("fp")).withColumn("node", F.monotonically_increasing_id()))
     bits = max(LEAST_BITS, nodes.count().bit_length() + 2)
     p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     tables = int(np.ceil(np.log(1 - found) / np.log1p(-((1 - p) ** bits))))
     candidates, shared = similar_links(nodes, similarity, bits, tables)
-    docs = df.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
-    edges = stored(similar_enough(stored(candidates), docs, n, similarity))
+    edges = stored(similar_enough(stored(candidates), nodes, docs, n, similarity))
     roots = components(edges)
     if not shared.isEmpty():
         apart = stored(apart_links(shared, nodes, roots, similarity, bits, tables))
         if not apart.isEmpty():
-            roots = components(edges.unionByName(similar_enough(apart, docs, n, similarity)))
-    whole = checkpointed(nodes.join(roots, "node", "left").select(F.col("digest").alias("_digest"), F.coalesce("root", "node").alias("component_id")))
-    return held.join(whole, F.col("digest") == F.col("_digest"), "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+            roots = components(edges.unionByName(similar_enough(apart, nodes, docs, n, similarity)))
+    rooted = checkpointed(nodes.select("digest", "least", "node").join(roots, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root")))
+    least = rooted.groupBy("root").agg(F.min("least").alias("kept"))
+    return held.select("doc_id", "mark", "digest"), rooted.join(least, "root").select(F.col("digest").alias("_digest"), "kept")
+
+
+def similar_groups(df: DataFrame, n: int = 5, similarity: float = 0.8, found: float = 0.91, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id and component_id, the least doc_id of the row's group of similar texts, for each row.
+
+    Similarity is that of the sets of n-word shingles; long fingerprints find candidates and the sets decide: a pair that shares a key
+    and looks similar is checked unless other checked links already join it, however many rows the key has. Keys have LEAST_BITS, or
+    two bits more than the number of distinct texts has digits, so that texts that aren't alike seldom meet whatever the size; there are as many tables as
+    find a pair of exactly that similarity with probability `found` (one of 0.9 similarity then with over 0.999).
+    Texts with equal sets of shingles are one node and always one group; different sets with equal fingerprints are candidates like any
+    others. Rows with equal ids and different texts are nodes of their own. Rows without id have component_id null.
+    """
+    docs = df.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
+    held, whole = _similar(docs, n, similarity, found)
+    rows = held.join(whole, F.col("digest") == F.col("_digest")).select("doc_id", F.col("kept.doc_id").alias("component_id"))
+    return rows.unionByName(docs.filter(F.col("doc_id").isNull()).select("doc_id", F.col("doc_id").alias("component_id")))
 
 
-def one_of_each(docs: DataFrame, **how) -> DataFrame:
+def one_of_each(docs: DataFrame, n: int = 5, similarity: float = 0.8, found: float = 0.91) -> DataFrame:
     """The rows of docs, with their columns, that have the least id of their group of similar texts.
 
-    Rows without id stay; of repeated rows (equal id and text) one stays.
+    Rows go by id and text: of rows with one id and different texts each stays or goes by its own group. Rows without id stay; of
+    repeated rows (equal id and text) one stays.
     """
-    found = stored(similar_groups(docs, **how))
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__id")).distinct()
-    left = docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
-    twice = found.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1")
+    held, whole = _similar(docs.select("doc_id", "text"), n, similarity, found)
+    met = stored(held.join(whole, F.col("digest") == F.col("_digest")).select("doc_id", "mark", "kept"))
+    gone = met.filter((F.col("doc_id") != F.col("kept.doc_id")) | (F.col("mark") != F.col("kept.mark"))).select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct()
+    left = docs.join(gone, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__mark")), "left_anti")
+    twice = met.groupBy("doc_id", "mark").count().filter("count > 1")
     if twice.isEmpty():
         return left
     return left.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text"]).unionByName(left.filter(F.col("doc_id").isNull()))
