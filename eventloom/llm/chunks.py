@@ -1,8 +1,9 @@
 """Substring deduplication by content-defined chunks.
 
-A gear rolling hash over the UTF-8 bytes cuts a text where its top bits vanish, so that a cut depends on the 32 bytes
+A gear rolling hash over the UTF-8 bytes cuts a text where its top bits vanish and haven't just before, so that a cut depends on the 48 bytes
 before it and an insertion moves only the cuts next to it. Chunks are identified by a digest of their bytes; a digest that
-occurs again marks a repeat, and runs of repeated chunks that hold enough words are reported or removed.
+occurs again marks a repeat. Runs of repeated chunks are anchors: each grows to both sides as long as its bytes are those around the
+chunk's first occurrence, and what then holds enough words is reported or removed.
 """
 
 from __future__ import annotations
@@ -15,10 +16,13 @@ from pyspark.sql import functions as F
 
 from .common import SLICE, on_arrow, stored, utf8
 
-#: Chunk sizes in bytes. A chunk is LEAST long before a cut is sought; one byte in 2^CUT_BITS is a cut; MOST ends a chunk.
+#: Chunk sizes in bytes. One byte in 2^CUT_BITS is a candidate, and a cut if there is none within the LEAST bytes before it; MOST ends a chunk.
 LEAST, CUT_BITS, MOST = 16, 5, 112
-#: Words that a run of repeated chunks must hold.
-WORDS = 20
+#: Words that a repeated passage must hold, and that the run of whole chunks in it must.
+WORDS, ANCHOR = 20, 4
+#: Bytes around a chunk's first occurrence with which a run is compared. A cut depends on the 48 bytes before it alone, so the first equal
+#: chunk of a passage begins with the first candidate after these; it is further off than this but once in 5,000.
+AROUND = 320
 
 
 def _gear() -> np.ndarray:
@@ -49,14 +53,16 @@ def cuts(text: bytes) -> list[int]:
         lead = min(at, 31)
         h = rolling(data[at - lead : at + block])[lead:]
         places += (np.flatnonzero(h >> np.uint32(32 - CUT_BITS) == 0) + at + 1).tolist()
-    out, start = [], 0
+    out, start, before = [], 0, 0
     for p in places:
+        before, near = p, p - before < LEAST
+        if near:
+            continue
         while p - start > MOST:
             start += MOST
             out.append(start)
-        if p - start >= LEAST:
-            out.append(p)
-            start = p
+        out.append(p)
+        start = p
     while n - start > MOST:
         start += MOST
         out.append(start)
@@ -120,8 +126,8 @@ def repeats(chunks: DataFrame) -> DataFrame:
     return chunks.join(twice, F.col("digest") == F.col("_d")).filter(again | (F.col("doc_id") != F.col("source_doc_id"))).select("doc_id", "digest", "place", "source_doc_id")
 
 
-def runs(found: list[dict], words: int = WORDS) -> list[dict]:
-    """Runs of adjacent chunks with at least `words` word starts, and a check sum of the digests in each."""
+def runs(found: list[dict], words: int = ANCHOR) -> list[dict]:
+    """Runs of adjacent chunks with at least `words` word starts: a check sum of the digests in each, its first and last digest and their sources, and all sources."""
     out: list[dict] = []
     for place, digest, source in sorted((r["place"], r["digest"], r["source_doc_id"]) for r in found):
         at, n, w = place >> 17, place >> 9 & 0xFF, place >> 1 & 0xFF
@@ -132,36 +138,82 @@ def runs(found: list[dict], words: int = WORDS) -> list[dict]:
             last["length"] += n
             last["n_words"] += w
             last["digest"] ^= digest
+            last |= {"last": digest, "last_source": source}
+            last["sources"][source] = None
         else:
-            out.append({"start": at, "length": n, "n_words": w, "digest": digest, "source_doc_id": source})
-    return [x for x in out if x["n_words"] >= words]
-
+            out.append({"start": at, "length": n, "n_words": w, "digest": digest, "first": digest, "first_source": source, "last": digest, "last_source": source, "sources": {source: None}})
+    return [x | {"sources": list(x["sources"])} for x in out if x["n_words"] >= words]
+
+
+def surroundings(text: bytes, wanted: set[int]) -> dict[int, tuple[bytes, bytes]]:
+    """The AROUND bytes before and after the first chunk of each wanted digest."""
+    out: dict[int, tuple[bytes, bytes]] = {}
+    for digest, place in zip(*chunked(text)):
+        if digest in wanted and digest not in out:
+            at = place >> 17
+            end = at + (place >> 9 & 0xFF)
+            out[digest] = text[max(0, at - AROUND) : at], text[end : end + AROUND]
+    return out
 
-def spans(df: DataFrame, words: int = WORDS, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, spans: for each document with repeats, runs of repeated chunks that hold `words` words or more.
 
-    Each span has start and length in bytes of UTF-8, n_words, the digests' check sum and source_doc_id, the least id of
-    a document that holds the first chunk of the run. Null and empty texts have none; rows without id take no part;
-    rows with equal ids count as one document, and identical rows among them don't repeat each other. An empty table
-    gives none. Only id and text are read.
-    """
+def anchors(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id and found: the runs of each document, with the bytes before and after them at the first occurrence of their first and last chunk."""
     kind = df.schema[id_col].dataType.simpleString()
-    gathered = repeats(chunk_rows(df.filter(F.col(id_col).isNotNull()), id_col, text)).groupBy("doc_id").agg(F.collect_list(F.struct("place", "digest", "source_doc_id")).alias("found"))
+    named = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
+    gathered = repeats(chunk_rows(named)).groupBy("doc_id").agg(F.collect_list(F.struct("place", "digest", "source_doc_id")).alias("found"))
+
+    def make_runs():
+        return lambda keys, found: {"doc_id": keys, "runs": [runs(x) for x in found]}
+
+    run = f"struct<start:bigint,length:bigint,digest:bigint,first:bigint,first_source:{kind},last:bigint,last_source:{kind},sources:array<{kind}>>"
+    every = stored(on_arrow(gathered, [F.col("doc_id"), F.col("found")], make_runs, f"doc_id {kind}, runs array<{run}>").select("doc_id", F.explode("runs").alias("r")).select("doc_id", "r.*"))
+    ends = every.select(F.explode(F.array(F.struct(F.col("first_source").alias("source"), F.col("first").alias("d")), F.struct(F.col("last_source").alias("source"), F.col("last").alias("d")))).alias("e"))
+    wanted = ends.select("e.source", "e.d").distinct().groupBy("source").agg(F.collect_list("d").alias("wanted"))
+
+    def make_around():
+        def apply(keys, texts, digests):
+            ids, found = [], []
+            for key, t, d in zip(keys, texts, digests):
+                for digest, (before, after) in surroundings(utf8(t), set(d)).items():
+                    ids.append(key)
+                    found.append((digest, before, after))
+            return {"source": ids} | dict(zip(("d", "before", "after"), map(list, zip(*found)) if found else ([], [], [])))
+
+        return apply
+
+    sources = named.join(wanted, F.col("doc_id") == F.col("source"))
+    # rows with equal ids may both hold a chunk; one of them is compared
+    around = stored(
+        on_arrow(sources, [F.col("doc_id"), F.col("text"), F.col("wanted")], make_around, f"source {kind}, d bigint, before binary, after binary").groupBy("source", "d").agg(F.min("before").alias("before"), F.min("after").alias("after"))
+    )
+    left = around.select(F.col("source").alias("_a"), F.col("d").alias("_b"), "before")
+    right = around.select(F.col("source").alias("_c"), F.col("d").alias("_d"), "after")
+    met = every.join(left, (F.col("first_source") == F.col("_a")) & (F.col("first") == F.col("_b")), "left").join(right, (F.col("last_source") == F.col("_c")) & (F.col("last") == F.col("_d")), "left")
+    # within one text the bytes before a chunk may belong to its first occurrence, which stays
+    before = F.when(F.col("first_source") != F.col("doc_id"), F.col("before")).alias("before")
+    return met.groupBy("doc_id").agg(F.collect_list(F.struct("start", "length", "digest", "sources", before, "after")).alias("found"))
+
+
+def common_end(a: bytes, b: bytes) -> int:
+    """How many bytes both end with."""
+    n = min(len(a), len(b))
+    same = np.frombuffer(a, np.uint8, n, len(a) - n)[::-1] == np.frombuffer(b, np.uint8, n, len(b) - n)[::-1]
+    return n if same.all() else int(same.argmin())
 
-    def make():
-        return lambda keys, found: {"doc_id": keys, "spans": [runs(x, words) for x in found]}
 
-    span = f"struct<start:bigint,length:bigint,n_words:bigint,digest:bigint,source_doc_id:{kind}>"
-    return on_arrow(gathered, [F.col("doc_id"), F.col("found")], make, f"doc_id {kind}, spans array<{span}>").filter(F.size("spans") > 0)
+def common_start(a: bytes, b: bytes) -> int:
+    return common_end(a[::-1], b[::-1])
 
 
-def without(text: str, found: list[dict]) -> str:
-    """The text without the spans, each drawn in to whole words; a span whose bytes aren't those it was found on stays."""
-    data = utf8(text)
+def grown(data: bytes, found: list[dict], words: int = WORDS) -> list[dict]:
+    """Passages of the text: its runs, grown to both sides, joined where they touch, of `words` words or more that end inside of them whole or in part.
+
+    A run whose bytes aren't those it was found on, in another row with the same id, has none.
+    """
     digests, places = chunked(data)
     at = {p >> 17: i for i, p in enumerate(places)}
     ends = [(p >> 17) + (p >> 9 & 0xFF) for p in places]
-    out, done = [], 0
+    out: list[dict] = []
     for x in sorted(found, key=lambda x: x["start"]):
         a, b = x["start"], x["start"] + x["length"]
         i, check = at.get(a), 0
@@ -170,6 +222,52 @@ def without(text: str, found: list[dict]) -> str:
             i += 1
         if check != x["digest"] or i is None or ends[i - 1] != b:
             continue
+        a -= common_end(data[max(0, a - AROUND) : a], x["before"] or b"")
+        b += common_start(data[b : b + AROUND], x["after"] or b"")
+        if out and a <= out[-1]["end"]:
+            out[-1]["end"] = max(b, out[-1]["end"])
+            out[-1]["sources"] += [s for s in x["sources"] if s not in out[-1]["sources"]]
+        else:
+            out.append({"start": a, "end": b, "sources": list(x["sources"])})
+    for x in out:
+        # a character that only its first bytes repeat isn't repeated
+        while x["start"] < x["end"] and data[x["start"]] & 0xC0 == 0x80:
+            x["start"] += 1
+        while x["start"] < x["end"] < len(data) and data[x["end"]] & 0xC0 == 0x80:
+            x["end"] -= 1
+        x["n_words"] = len(data[x["start"] : x["end"]].split())
+    return [x for x in out if x["n_words"] >= words]
+
+
+def spans(df: DataFrame, words: int = WORDS, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, spans: for each document with repeats, the repeated passages that hold `words` words or more (a word cut at an end counts).
+
+    Each span has start and length in bytes of UTF-8, n_words, and sources, the least ids of documents that hold its chunks, in the
+    order of these. Null and empty texts have none; rows without id take no part;
+    rows with equal ids count as one document, and identical rows among them don't repeat each other. An empty table
+    gives none. Only id and text are read.
+    """
+    kind = df.schema[id_col].dataType.simpleString()
+    found = anchors(df, id_col, text).select(F.col("doc_id").alias("_id"), "found")
+    joined = df.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).join(found, F.col("doc_id") == F.col("_id"))
+
+    def make():
+        def apply(keys, texts, found):
+            every = [grown(utf8(t), x, words) for t, x in zip(texts, found)]
+            return {"doc_id": keys, "spans": [[{"start": x["start"], "length": x["end"] - x["start"], "n_words": x["n_words"], "sources": x["sources"]} for x in own] for own in every]}
+
+        return apply
+
+    span = f"struct<start:bigint,length:bigint,n_words:bigint,sources:array<{kind}>>"
+    every = on_arrow(joined, [F.col("doc_id"), F.col("text"), F.col("found")], make, f"doc_id {kind}, spans array<{span}>").filter(F.size("spans") > 0)
+    return every.groupBy("doc_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
+
+
+def without(data: bytes, found: list[dict]) -> str:
+    """The text without the passages, each drawn in to whole words."""
+    out, done = [], 0
+    for x in found:
+        a, b = x["start"], x["end"]
         while 0 < a < b and not SPACE[data[a - 1]]:
             a += 1
         while a < b < len(data) and not SPACE[data[b]]:
@@ -184,7 +282,7 @@ def remove(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
     The first occurrence of each passage stays. Documents without repeats, and those without id or text, are as before.
     """
-    found = spans(docs, words).select(F.col("doc_id").alias("__id"), F.col("spans").alias("__spans"))
+    found = anchors(docs).select(F.col("doc_id").alias("__id"), F.col("found").alias("__found"))
     joined = docs.join(found, F.col("doc_id") == F.col("__id"), "left").drop("__id")
     schema = docs.schema
 
@@ -192,10 +290,10 @@ def remove(docs: DataFrame, words: int = WORDS) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
-                texts, lists = part.column("text").to_pylist(), part.column("__spans").to_pylist()
-                new = [without(t, x) if t and x else t for t, x in zip(texts, lists)]
+                texts, lists = part.column("text").to_pylist(), part.column("__found").to_pylist()
+                new = [without(utf8(t), grown(utf8(t), x, words)) if t and x else t for t, x in zip(texts, lists)]
                 changed = [a != b for a, b in zip(texts, new)]
-                columns = {n: part.column(n) for n in part.schema.names if n != "__spans"}
+                columns = {n: part.column(n) for n in part.schema.names if n != "__found"}
                 columns["text"] = pa.array(new, part.schema.field("text").type)
                 if "n_chars" in columns:
                     kind = part.schema.field("n_chars").type
@@ -203,4 +301,4 @@ def remove(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 keep = pa.array([not (c and not t.strip()) for t, c in zip(new, changed)], pa.bool_())
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns)).filter(keep)
 
-    return joined.select(*schema.names, "__spans").mapInArrow(cut, schema)
+    return joined.select(*schema.names, "__found").mapInArrow(cut, schema)

@@ -50,8 +50,8 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = chunks.spans(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", F.explode("spans").alias("s")).select("doc_id", "s.source_doc_id", "s.start", "s.length", "s.n_words")
+    found = chunks.spans(table(spark, sf_dir, "documents")).select("doc_id", F.explode("spans").alias("s"))
+    return found.select("doc_id", F.get("s.sources", F.lit(0)).alias("source_doc_id"), "s.start", "s.length", "s.n_words", F.col("s.sources").alias("source_doc_ids"))
 
 
 @query(mixing.SQL)
