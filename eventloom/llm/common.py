@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,14 +15,18 @@ from pyspark.sql import functions as F
 SLICE = 256
 
 
+#: Folders of the tables that `stored` has written, one list for each `scratch` that is open.
+_written: list[list[str]] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, from spark.checkpoint.dir; where that is unset, as in tests, an own one."""
+    """The folder that all executors share, from spark.checkpoint.dir. Only a local master may do without: it gets a folder of its own."""
     context = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if found is None:
-        found = context.getCheckpointDir()
-        if found is None:
-            found = tempfile.mkdtemp(prefix="eventloom-")
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="eventloom-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(found)
     return found
@@ -33,14 +38,29 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Computes df now into a compressed table in the shared folder and reads it from there."""
+def stored(df: DataFrame, keep: bool = False) -> DataFrame:
+    """Computes df now into a compressed table in the shared folder and reads it from there; with `keep` it outlives `scratch`."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    if _written and not keep:
+        _written[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, the tables that `stored` writes within: what is needed later must be computed by then."""
+    _written.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _written.pop():
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+
+
 def on_arrow(df: DataFrame, columns: list[Column], make: Callable[[], Callable[[list[list]], dict[str, list] | pa.RecordBatch]], schema: str) -> DataFrame:
     """Applies, on Arrow batches, a function of lists of values to slices of the given columns.
 

@@ -288,6 +288,73 @@ def test_similar_groups_join_all_that_share_a_key(spark):
     assert got == dict(enumerate(root))
 
 
+def test_null_ids_link_others(spark, monkeypatch):
+    """1 and 3 are linked only through a row without id."""
+    base = 0x0123456789ABCDEF
+    rows = [(1, base), (None, base ^ 0b11), (3, base ^ 0b1111), (9, base ^ (0xFF << 40)), (None, ~base & (2**64 - 1)), (7, base ^ 0b1111)]
+    signed = [(i, x - (1 << 64) if x >> 63 else x) for i, x in rows]
+    monkeypatch.setattr(simhash, "fingerprints", lambda df, *a: df)
+    got = [(r["doc_id"], r["component_id"]) for r in simhash.groups(spark.createDataFrame(signed, "doc_id long, fp long")).collect()]
+    assert sorted(got, key=str) == sorted([(1, 1), (None, 1), (3, 1), (9, 9), (None, None), (7, 1)], key=str)
+
+
+def versions(seed, n, size, edits):
+    r = random.Random(seed)
+    family = [[f"w{r.randrange(10**5)}" for _ in range(size)]]
+    while len(family) < n:
+        own = list(r.choice(family))
+        for _ in range(r.randint(1, edits)):
+            own[r.randrange(size)] = f"w{r.randrange(10**5)}"
+        family.append(own)
+    return [" ".join(x) for x in family]
+
+
+def brute_similar(texts, similarity=0.8, n=5):
+    sets = [set(simhash.shingles(t.encode().lower().split(), n)) for t in texts]
+    out = []
+    for j in range(len(texts)):
+        for i in range(j):
+            both = len(sets[i] & sets[j])
+            if both >= similarity * (len(sets[i]) + len(sets[j]) - both):
+                out.append((i, j))
+    return out
+
+
+@pytest.mark.parametrize("run", [16, 4096])
+def test_recall_against_all_pairs(spark, run, monkeypatch):
+    """A family of 200 versions; blocks of 16 rows make tiles of every key of many."""
+    monkeypatch.setattr(simhash, "RUN", run)
+    texts = versions(11, 200, 200, 2) + versions(12, 40, 60, 2)
+    pairs = brute_similar(texts)
+    got = {x["doc_id"]: x["component_id"] for x in simhash.similar_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert len(pairs) > 1000 and sum(got[i] == got[j] for i, j in pairs) > 0.9 * len(pairs)
+    # and nothing is in a group without a partner
+    joined = {i for p in pairs for i in p}
+    assert all(got[i] == i for i in range(len(texts)) if i not in joined)
+
+
+def test_recall_on_given_documents(spark):
+    """All pairs of 0.8 or more at sf0.01, by shared shingles."""
+    rows = [(r["doc_id"], utf8(r["text"]).lower().split()) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    sets, where, pairs = {i: set(simhash.shingles(w, 5)) for i, w in rows}, collections.defaultdict(list), set()
+    for i, own in sets.items():
+        for x in own:
+            where[x].append(i)
+    for i, own in sets.items():
+        common = collections.Counter(j for x in own for j in where[x] if j > i)
+        pairs |= {(i, j) for j, both in common.items() if both >= 0.8 * (len(own) + len(sets[j]) - both)}
+    got = {x["doc_id"]: x["component_id"] for x in simhash.similar_groups(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()}
+    assert pairs and sum(got[i] == got[j] for i, j in pairs) >= 0.9 * len(pairs)
+
+
+def test_rows_go_by_id_and_text(spark):
+    a, b, c = (prose(s, 80) for s in (31, 32, 33))
+    schema = "doc_id string, text string, __id int, mark int, kept int"
+    rows = [("1", a, 1, 1, 1), ("5", a + " end", 1, 1, 1), ("5", b, 1, 1, 1), ("7", c, 1, 1, 1), ("7", c, 1, 1, 1), (None, a, 1, 1, 1), ("8", None, 1, 1, 1), ("9", None, 1, 1, 1)]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, schema).select("doc_id", "text"))
+    assert sorted((r["doc_id"] or "", r["text"] or "") for r in kept.collect()) == sorted([("1", a), ("5", b), ("7", c), ("", a), ("8", "")])
+
+
 def test_one_of_each(docs, none):
     kept = simhash.one_of_each(docs)
     ids = sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None)
@@ -430,13 +497,71 @@ def test_repeats_and_their_removal(docs, none):
     assert 8 in found and 6 in found and 7 not in found
     a = found[8][0]
     part = texts[8].encode()[a["start"] : a["start"] + a["length"]].decode()
-    assert part.strip() in texts[7] and len(part.split()) > 50 and a["source_doc_id"] == 7
+    assert part.strip() in texts[7] and part.strip().endswith(shared) and len(part.split()) >= 80 and a["sources"] == [7]
     left = {r["doc_id"]: r for r in chunks.remove(docs).collect()}
     assert 6 not in left and left[7]["text"] == texts[7] and shared not in left[8]["text"]
     assert left[8]["text"].startswith(prose(6, 120)[:500]) and left[8]["n_chars"] == len(left[8]["text"])
     assert chunks.remove(docs).columns == docs.columns and chunks.spans(none).count() == 0
 
 
+def test_passages_are_found_whole(spark):
+    """Planted passages of 51 to 90 words, each in two documents of other words, against all common substrings."""
+    r, rows, planted = random.Random(21), [], []
+    for k in range(120):
+        passage = " ".join(f"{r.choice(WORDS)}{r.randrange(300)}" for _ in range(r.randint(51, 90)))
+        for side in range(2):
+            own = [" ".join(f"{r.choice(WORDS)}{r.randrange(10**6)}" for _ in range(r.randint(0, 120))) for _ in range(2)]
+            rows.append((2 * k + side, f"{own[0]} {passage} {own[1]}".strip()))
+        planted.append(passage)
+    texts = dict(rows)
+    found = {x["doc_id"]: x["spans"] for x in chunks.spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    whole = covered = 0
+    for k, passage in enumerate(planted):
+        for x in found.get(2 * k + 1, []):
+            data = texts[2 * k + 1].encode()[x["start"] : x["start"] + x["length"]].decode()
+            # brute force: the passage with what both happen to have around it
+            assert x["sources"] == [2 * k] and data in texts[2 * k] and passage in data and len(data) <= len(passage) + 12
+            whole += 1
+        covered += 2 * k in found
+    assert whole == 120 and covered == 0
+    left = {x["doc_id"]: x["text"] for x in chunks.remove(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(left[2 * k] == texts[2 * k] and p not in left.get(2 * k + 1, "") for k, p in enumerate(planted))
+
+
+def test_spans_hold_repeats_alone(spark):
+    """Every span of given documents is made of passages of its sources, and every text of 50 words or more that comes again is in a span."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    texts = {i: t.encode() for i, t in docs.filter("text is not null").collect()}
+    found = {x["doc_id"]: x["spans"] for x in chunks.spans(docs).collect()}
+    for i, own in found.items():
+        for x in own:
+            part, at = texts[i][x["start"] : x["start"] + x["length"]], 0
+            while at < len(part):  # passages that touch each other are one span
+                n = next((n for n in range(len(part) - at, 7, -1) if any(part[at : at + n] in texts[k] for k in x["sources"])), 0)
+                assert n
+                at += n
+    seen, missed, repeated = set(), 0, 0
+    for i in sorted(texts):
+        words = [(m.start(), m.end()) for m in __import__("re").finditer(rb"[^\x20\x09-\x0D]+", texts[i])]
+        own = set()
+        for a, b in zip(words, words[49:]):
+            piece = texts[i][a[0] : b[1]]
+            if piece in seen:
+                repeated += 1
+                missed += not any(x["start"] < b[1] and a[0] < x["start"] + x["length"] for x in found.get(i, []))
+            own.add(piece)
+        seen |= own
+    assert repeated > 100 and missed <= 0.01 * repeated
+
+
+def test_repeats_within_one_text(spark):
+    line = "the same seven words come here again and again and then once more at the very end of it. "
+    rows = [(1, "Start " + line * 40 + "end"), (2, "x" * 900), (2, "y" * 10), (None, "Start " + line * 40)]
+    left = {(x["doc_id"], x["text"]) for x in chunks.remove(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    one = next(t for i, t in left if i == 1)
+    assert line.strip() in one and len(one) < 6 * len(line) and (None, "Start " + line * 40) in left and len(left) == 4
+
+
 # 10
 
 
