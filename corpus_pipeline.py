@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from eventloom.llm import chunks, language_id, mixing, packing, simhash
-from eventloom.llm.common import stored
+from eventloom.llm.common import scratch, stored
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +50,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies all stages to documents; what a stage keeps is written to the shared folder and read by the next."""
+    """Applies all stages to documents; what a stage keeps is written to the shared folder and read by the next, after which a stage's own tables go."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     *others, (_, last) = STAGES
     for _, stage in others:
-        docs = stored(stage(spark, docs, sf_dir))
+        with scratch(spark):
+            docs = stored(stage(spark, docs, sf_dir), keep=True)
     return last(spark, docs, sf_dir)

@@ -21,14 +21,14 @@ def test_imports_without_llm(tmp_path):
     assert out.stdout.split()[1] == "False" and int(out.stdout.split()[0]) > 50
 
 
-def test_other_import_errors_are_raised(tmp_path):
+def test_llm_that_cannot_be_imported_is_left_out_with_a_warning(tmp_path):
     shutil.copytree(REPO / "eventloom", tmp_path / "eventloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     shutil.copy(REPO / "__spark_entry__.py", tmp_path)
     (tmp_path / "eventloom" / "llm").mkdir()
     (tmp_path / "eventloom" / "llm" / "__init__.py").write_text("")
     (tmp_path / "eventloom" / "llm" / "queries.py").write_text("import no_such_module_at_all\n")
     out = run(tmp_path, COUNT)
-    assert out.returncode != 0 and "no_such_module_at_all" in out.stderr
+    assert out.returncode == 0 and out.stdout.split()[1] == "False" and "no_such_module_at_all" in out.stderr
 
 
 def test_nothing_else_imports_llm():
