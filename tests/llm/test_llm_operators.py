@@ -79,18 +79,79 @@ def test_merkle(docs, none):
 @settings(max_examples=200, deadline=None)
 def test_merkle_pieces_are_whole(text):
     assert "".join(p for s in merkle.sections(text) for p in s) == text
-    assert all("".join(x for _, x in merkle.pieces(p)) == p for s in merkle.sections(text) for p in s)
+    assert all("".join(merkle.pieces(p)) == p for s in merkle.sections(text) for p in s)
     assert merkle.likeness(merkle.fingerprint(text), merkle.fingerprint(text)) == 1
     assert (merkle.fingerprint(text) == merkle.fingerprint(text + "x")) is False
 
 
-def test_merkle_locates_edits():
+SMALL = st.text(alphabet="ab .\n", max_size=60)
+
+
+def leaves_of(text):
+    return [[[x for x in merkle.pieces(p)] for p in s] for s in merkle.sections(text)]
+
+
+@given(SMALL, SMALL, SMALL, st.integers(0, 60))
+@settings(max_examples=400, deadline=None)
+def test_likeness_by_brute_force(text, other, put, at):
+    """Against the longest common subsequence of phrases, by code points: never more, and all of it after an edit at one place."""
+
+    def common(a, b):
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + len(x) * (x == y))
+        return best[-1][-1]
+
+    for new in (other, text[:at] + put + text[at:]):
+        a, b = ([x for s in leaves_of(t) for p in s for x in p] for t in (text, new))
+        got = merkle.likeness(merkle.fingerprint(text), merkle.fingerprint(new))
+        if text == new:
+            assert got == 1
+        elif not text or not new:
+            assert got == 0
+        else:
+            assert 0 <= got <= common(a, b) / max(len(text), len(new)) + 1e-9
+            # paragraphs whole at both ends are shared
+            ps, qs = ([p for s in merkle.sections(t) for p in s] for t in (text, new))
+            head = next((k for k, (x, y) in enumerate(zip(ps, qs)) if x != y), min(len(ps), len(qs)))
+            assert got >= 0 if head == 0 else got > 0
+
+
+@given(SMALL, SMALL, st.integers(0, 60), st.integers(0, 20))
+@settings(max_examples=400, deadline=None)
+def test_merkle_locates_edits_from_fingerprints(text, put, at, cut):
+    new = text[:at] + put + text[at + cut :]
+    a, b = merkle.fingerprint(text), merkle.fingerprint(new)
+    found = merkle.located(a, b)
+    assert (found == []) == (text == new)
+    back = merkle.located(b, a)
+    # what isn't located is the same on both sides, in order
+    rest = lambda t, spans: "".join(c for i, c in enumerate(t) if not any(x["start"] <= i < x["end"] for x in spans))
+    assert rest(new, found) == rest(text, back)
+    assert all(0 <= x["start"] <= x["end"] <= len(new) for x in found)
+
+
+def test_merkle_locates_one_word():
     a = "\n".join(prose(i, 20) for i in range(6))
     b = a.replace("river", "RIVER", 1)
     at = b.index("RIVER")
-    spans = merkle.located(a, b)
-    assert len(spans) == 1 and spans[0]["start"] <= at < spans[0]["end"] and spans[0]["end"] - spans[0]["start"] < 120
-    assert merkle.located(a, a) == []
+    spans = merkle.located(merkle.fingerprint(a), merkle.fingerprint(b))
+    assert len(spans) == 1 and spans[0]["start"] <= at < spans[0]["end"] and spans[0]["end"] - spans[0]["start"] < 60
+    long = "x" * 3000 + " tail"
+    assert 0.9 < merkle.likeness(merkle.fingerprint(long), merkle.fingerprint("x" * 3000 + " tale")) < 1
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "timestamp", "decimal(20,2)"])
+def test_merkle_of_any_id(spark, kind):
+    rows = [(None if i == 7 else i * 37 % 41, f"Text number {i}. " * (i % 5)) for i in range(41)]
+    df = spark.createDataFrame(rows, "k long, text string").selectExpr(f"cast({'k' if kind != 'timestamp' else 'timestamp_seconds(k)'} as {kind}) as doc_id", "text")
+    order = [r["text"] for r in df.orderBy("doc_id").collect()]
+    got = {(r["doc_id"]): r for r in merkle.compare_next(df).collect()}
+    for i, r in enumerate(df.orderBy("doc_id").collect()):
+        new = merkle.edited(r["text"], order[(i + 1) % 41])
+        assert got[r["doc_id"]]["edited_sha256"] == hashlib.sha256(new.encode()).hexdigest()
+        assert got[r["doc_id"]]["near_next"] == merkle.likeness(merkle.fingerprint(r["text"]), merkle.fingerprint(order[(i + 1) % 41]))
 
 
 # 2
