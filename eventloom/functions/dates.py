@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import extract, strip
+from .text import strip
 
 ZONE = "Europe/Zurich"
 #: German month names and weekdays, with their short forms.
@@ -24,33 +24,59 @@ SHORT_MONTHS = {
     "de": ("Jan.", "Feb.", "März", "Apr.", "Mai", "Juni", "Juli", "Aug.", "Sept.", "Okt.", "Nov.", "Dez."),
     "en": ("Jan.", "Feb.", "Mar.", "Apr.", "May", "June", "July", "Aug.", "Sept.", "Oct.", "Nov.", "Dec."),
 }
+#: The forms of times in scraped text.
 ISO = r"\d{4}-\d{2}-\d{2}(?:T\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:[+-]\d{2}:\d{2}|Z)?)?"
 DAY = r"(?:(?:Montag|Dienstag|Mittwoch|Donnerstag|Freitag|Samstag|Sonntag),\s*)?"
-TIME = r"(\d{1,2})[.:](\d{2})\s*Uhr(?:\s*(?:-|–|bis)\s*(\d{1,2})[.:](\d{2})\s*Uhr)?"
+CLOCK_TIMES = r"(\d{1,2})[.:](\d{2})\s*Uhr(?:\s*(?:-|–|bis)\s*(\d{1,2})[.:](\d{2})\s*Uhr)?"
 GERMAN_DATE = r"(\d{1,2})\.\s*(\p{L}+)\.?\s*(\d{4})"
-GERMAN_RANGE = rf"(?iuU){GERMAN_DATE}\s*(?:-|–|bis)\s*{DAY}{GERMAN_DATE}(?:,?\s*{TIME})?"
-GERMAN_SINGLE = rf"(?iuU){DAY}{GERMAN_DATE}(?:,?\s*{TIME})?"
-NUMERIC_RANGE = r"^\s*(\d{2}\.\d{2}\.\d{4})\s*-\s*(\d{2}\.\d{2}\.\d{4})\s*$"
+NUMERIC_DATE = r"(\d{2})\.(\d{2})\.(\d{4})"
+#: Each form and where its groups stand among the fields of a time: iso_a, iso_b, then day, month and year of the first and the last day, then hour and minute of the start and the end.
+FORMS = (
+    (rf"\s*({ISO})\s*\|\s*({ISO}).*", (0, 1)),
+    (rf"\s*({ISO})\s*", (0,)),
+    (rf"\s*{NUMERIC_DATE}\s*-\s*{NUMERIC_DATE}\s*", (2, 3, 4, 5, 6, 7)),
+    (rf".*?{GERMAN_DATE}\s*(?:-|–|bis)\s*{DAY}{GERMAN_DATE}(?:,?\s*{CLOCK_TIMES})?.*", (2, 3, 4, 5, 6, 7, 8, 9, 10, 11)),
+    (rf".*?{DAY}{GERMAN_DATE}(?:,?\s*{CLOCK_TIMES})?.*", (2, 3, 4, 8, 9, 10, 11)),
+    (r"\s*(?:\p{L}+\.?,?\s+)?(\d{1,2})\.(\d{1,2})\.(\d{4})(?:,?\s+(\d{1,2})[:.](\d{2})(?:\s*Uhr)?)?\s*", (2, 3, 4, 8, 9)),
+)
+FIELDS = 12
+
+
+def _pattern(forms) -> tuple[str, str]:
+    """One pattern that tries the forms in order, and a replacement that writes the fields of the one that fits, `\u0001` between them."""
+    of_field: list[list[int]] = [[] for _ in range(FIELDS)]
+    group = 0
+    for _, fields in forms:
+        for field in fields:
+            group += 1
+            of_field[field].append(group)
+    return "(?isuU)^(?:" + "|".join(form for form, _ in forms) + ")$", "\u0001".join("".join(f"${g}" for g in groups) for groups in of_field)
+
+
+def _month(name: Column) -> Column:
+    names = F.create_map(*[F.lit(x) for pair in (MONTHS | {f"{m:0{n}}": m for m in range(1, 13) for n in (1, 2)}).items() for x in pair])
+    return F.coalesce(F.try_element_at(names, name), F.try_element_at(names, F.substring(name, 1, 3)))
 
 
 def month_number(c: Column) -> Column:
-    """1 to 12 of a German month's name or its first three letters, or null."""
-    names = F.create_map(*[F.lit(x) for pair in MONTHS.items() for x in pair])
-    name = F.regexp_replace(F.lower(strip(c)), r"\.$", "")
-    return F.coalesce(F.try_element_at(names, name), F.try_element_at(names, F.substring(name, 1, 3)))
+    """1 to 12 of a German month's name or its first three letters, or of its number, or null."""
+    return _month(F.rtrim(F.lower(strip(c)), F.lit(".")))
+
+
+def _date(d: Column, m: Column, y: Column) -> Column:
+    first = F.when(m.between(1, 12) & y.between(1, 9999) & d.between(1, 31), F.make_date(y, m, F.lit(1)))
+    return F.when(d <= F.dayofmonth(F.last_day(first)), F.date_add(first, d - 1))
 
 
 def calendar_date(day: Column, month: Column, year: Column) -> Column:
-    """The date, or null if there is none such."""
-    text = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), F.lpad(month.cast("string"), 2, "0"), F.lpad(day.cast("string"), 2, "0"))
-    return F.when(day.isNotNull() & month.isNotNull() & year.isNotNull(), F.try_to_date(text, "yyyy-MM-dd"))
+    """The date, or null if there is none such. Nothing is parsed or thrown: the day is counted from the first of the month."""
+    return _date(*(c.try_cast("int") for c in (day, month, year)))
 
 
 def local_to_utc(date: Column, hour: Column, minute: Column, zone: str = ZONE) -> Column:
     """The UTC timestamp of a local time, or null if it isn't one."""
-    fits = hour.cast("int").between(0, 23) & minute.cast("int").between(0, 59)
-    text = F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit(" "), F.lpad(hour, 2, "0"), F.lit(":"), F.lpad(minute, 2, "0"), F.lit(":00"))
-    return F.when(fits, F.to_utc_timestamp(F.try_to_timestamp(text), zone))
+    h, m = hour.try_cast("int"), minute.try_cast("int")
+    return F.when(h.between(0, 23) & m.between(0, 59), F.to_utc_timestamp(date.cast("timestamp") + F.make_dt_interval(F.lit(0), h, m), zone))
 
 
 def iso_timestamp(c: Column, zone: str = ZONE) -> Column:
@@ -89,86 +115,62 @@ def _bound(value: Column, function) -> Column:
     return F.get(F.transform(F.array(value), function), F.lit(0))
 
 
-def _groups(c: Column, pattern: str, n: int) -> Column:
-    """The n groups of the first match, empty ones where a group has none; null without a match."""
-    found = F.regexp_extract(c, pattern, 0)
-    joined = F.regexp_replace(found, pattern, "\u0001".join(f"${i}" for i in range(1, n + 1)))
-    return F.when(found != "", F.split(joined, "\u0001", -1))
-
-
-def _german(p: Column, at: int) -> Column:
-    return calendar_date(p[at], month_number(p[at + 1]), p[at + 2])
-
-
-def _utc(date: Column, p: Column, at: int, zone: str) -> Column:
-    return F.when(p[at] != "", local_to_utc(date, p[at], p[at + 1], zone))
-
-
-def german_range(c: Column, zone: str = ZONE) -> Column:
-    """`6. Jan. 2026 - 10. Feb. 2026, 14.00 Uhr - 14.45 Uhr`: times are those of the first and the last day."""
-
-    def of(p: Column) -> Column:
-        start, end = _german(p, 0), _german(p, 3)
-        return F.when(end.isNotNull(), _time(start, end, _utc(start, p, 6, zone), _utc(end, p, 8, zone)))
-
-    return _bound(_groups(c, GERMAN_RANGE, 10), of)
-
-
-def german_single(c: Column, zone: str = ZONE) -> Column:
-    """`Samstag, 29. März 2026, 15:00 Uhr bis 16:30 Uhr`, with or without times."""
+def _read(c: Column, forms, zone: str) -> Column:
+    """The time in text of the first of the forms that fits. The text is matched once; all forms share the fields and what is made of them."""
+    pattern, fields = _pattern(forms)
 
-    def of(p: Column) -> Column:
-        day = _german(p, 0)
-        return _time(day, F.when(p[5] != "", day), _utc(day, p, 3, zone), _utc(day, p, 5, zone))
+    def numbers(p: Column) -> Column:
+        day = lambda i: F.when(p[i] != "", F.struct(p[i].try_cast("int").alias("d"), _month(F.lower(p[i + 1])).alias("m"), p[i + 2].try_cast("int").alias("y")))
+        return F.struct(p.alias("p"), day(2).alias("a"), day(5).alias("b"))
 
-    return _bound(_groups(c, GERMAN_SINGLE, 7), of)
+    def days(n: Column) -> Column:
+        return F.struct(n["p"].alias("p"), *[F.when(n[x].isNotNull(), _date(n[x]["d"], n[x]["m"], n[x]["y"])).alias(x) for x in "ab"])
 
+    def fits(n: Column) -> Column:
+        """The days that are some. A range whose last day is none is its first day alone, and has no times."""
+        p, a, b = n["p"], n["a"], n["b"]
+        lost = (p[5] != "") & b.isNull()
+        return F.struct(p.alias("p"), F.when(~(lost & p[6].rlike("^[0-9]")), a).alias("a"), b.alias("b"), (~lost).alias("timed"))
 
-def numeric_range(c: Column) -> Column:
-    """`06.01.2026 - 10.02.2026`, without times."""
-    none = F.lit(None).cast("timestamp")
+    def times(n: Column) -> Column:
+        p, a, b = n["p"], n["a"], n["b"]
+        at = lambda day, i: F.when(n["timed"] & (p[i] != ""), local_to_utc(day, p[i], p[i + 1], zone))
+        last = F.coalesce(b, F.when(n["timed"] & (p[10] != ""), a))
+        return F.struct(a.alias("a"), last.alias("b"), at(a, 8).alias("s"), at(last, 10).alias("e"))
 
     def of(p: Column) -> Column:
-        start, end = (F.try_to_date(x, "dd.MM.yyyy") for x in (p[0], p[1]))
-        return F.when(end.isNotNull(), _time(start, end, none, none))
-
-    return _bound(_groups(c, NUMERIC_RANGE, 2), of)
+        written = p
+        for step in (numbers, days, fits, times):
+            written = _bound(written, step)
+        return F.when(p[0] != "", _iso(p[0], F.nullif(p[1], F.lit("")), zone)).otherwise(_bound(written, lambda n: _time(n["a"], n["b"], n["s"], n["e"])))
 
+    matched = F.split(F.regexp_replace(c, pattern, fields), "\u0001", -1)
+    return _bound(matched, lambda p: F.when(F.size(p) == FIELDS, of(p)))
 
-def numeric_single(c: Column, zone: str = ZONE) -> Column:
-    """`Sa, 24.01.2026, 15:00`, with or without a time."""
-    pattern = r"(?iuU)^(?:\p{L}+\.?,?\s+)?(\d{1,2})\.(\d{1,2})\.(\d{4})(?:,?\s+(\d{1,2})[:.](\d{2})(?:\s*Uhr)?)?$"
-
-    def of(p: Column) -> Column:
-        day = calendar_date(p[0], p[1], p[2])
-        return _time(day, F.lit(None).cast("date"), _utc(day, p, 3, zone), F.lit(None).cast("timestamp"))
-
-    return _bound(_groups(strip(c), pattern, 5), of)
 
+def _iso(a: Column, b: Column, zone: str) -> Column:
+    timed = lambda c, at: F.when(F.contains(c, F.lit("T")), at)
 
-def iso_range(c: Column, zone: str = ZONE) -> Column:
-    """`2026-01-22T15:00 | 2026-01-22T17:00`; times without offset are local."""
-    return _bound(_groups(c, rf"^\s*({ISO})\s*\|\s*({ISO})", 2), lambda p: _iso(p[0], p[1], zone))
-
-
-def iso_single(c: Column, zone: str = ZONE) -> Column:
-    return _bound(_groups(c, rf"^\s*({ISO})\s*$", 1), lambda p: _iso(p[0], F.lit(None).cast("string"), zone))
-
+    def of(x: Column) -> Column:
+        start, end = x["start"], x["end"]
+        return _time(local_date(start, zone), local_date(end, zone), timed(a, start), timed(b, end))
 
-def _iso(a: Column, b: Column, zone: str) -> Column:
-    start, end = iso_timestamp(a, zone), iso_timestamp(b, zone)
-    timed = F.contains(a, F.lit("T"))
-    return _time(local_date(start, zone), local_date(end, zone), F.when(timed, start), F.when(F.contains(b, F.lit("T")), end))
+    return _bound(F.struct(iso_timestamp(a, zone).alias("start"), iso_timestamp(b, zone).alias("end")), of)
 
 
 def parse_time(c: Column, zone: str = ZONE) -> Column:
-    """The first that holds of: ISO range, ISO, numeric range, German range, German date, numeric date; else null."""
-    return F.coalesce(iso_range(c, zone), iso_single(c, zone), numeric_range(c), german_range(c, zone), german_single(c, zone), numeric_single(c, zone))
+    """The first form that fits of: ISO range, ISO, numeric range, German range, German date, numeric date; null without one, and where it names no date.
+
+    `2026-01-22T15:00 | 2026-01-22T17:00`; `06.01.2026 - 10.02.2026`; `6. Jan. 2026 - 10. Feb. 2026, 14.00 Uhr - 14.45 Uhr`, whose
+    times are those of the first and the last day; `Samstag, 29. März 2026, 15:00 Uhr bis 16:30 Uhr`; `Sa, 24.01.2026, 15:00`.
+    """
+    return _read(c, FORMS, zone)
 
 
 def explicit_date(c: Column) -> Column:
     """The first German date in text, whatever stands around it."""
-    return _bound(_groups(c, rf"(?iuU){GERMAN_DATE}", 3), lambda p: _german(p, 0))
+    found = _read(c, ((rf".*?{GERMAN_DATE}.*", (2, 3, 4)),), ZONE)
+    return found["start_date"]
 
 
 def event_type(t: Column) -> Column:
@@ -251,4 +253,4 @@ def time_pill(date: Column, start: Column, end: Column, precision: Column, clock
 
 def approved_text(c: Column) -> Column:
     """Whether text has one of the forms accepted from sources without structured times: a German date, alone or with one or two times."""
-    return F.coalesce(strip(c).rlike(rf"(?iuU)^{DAY}{GERMAN_DATE}(?:,?\s*{TIME})?$") & explicit_date(c).isNotNull(), F.lit(False))
+    return F.coalesce(strip(c).rlike(rf"(?iuU)^{DAY}{GERMAN_DATE}(?:,?\s*{CLOCK_TIMES})?$") & explicit_date(c).isNotNull(), F.lit(False))

@@ -47,7 +47,7 @@ def listed_events(page: Column) -> Column:
 
 
 def image(page: Column, url: Column, events: Column | None = None) -> Column:
-    listed = first_of(events if events is not None else listed_events(page), lambda e: F.coalesce(R.text_field(e, "$.image"), R.text_field(e, "$.image[0]"), R.text_field(e, "$.image.url")))
+    listed = first_of(events if events is not None else listed_events(page), lambda e: F.coalesce(R.text_field(e, "$.image"), R.text_field(e, "$.image[0]"), R.text_field(e, "$.image.url"), R.text_field(e, "$.image[0].url")))
     shown = first_of(page["images"], lambda i: F.when(L.is_picture(i["src"], i["alt"], i["classes"], i["width"], i["height"]), i["src"]))
     return L.resolve(url, F.coalesce(page["og_image"], listed, shown))
 

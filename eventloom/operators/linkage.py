@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -23,39 +23,79 @@ def exact_matches(sources: DataFrame, happenings: DataFrame) -> DataFrame:
     return found.unionByName(by_key)
 
 
-def scored_pairs(sources: DataFrame, happenings: DataFrame, floor: float = 0.0, banned: DataFrame | None = None) -> DataFrame:
-    """Scores of sources (id, title, start_date, venue) against happenings of the same columns on the same day.
+def _word_keys(words: Column) -> Column:
+    """A sorted array of longs for an array of distinct words: long words first, as these are rarer, and then by hash."""
+    return F.array_sort(F.transform(words, lambda w: F.shiftleft(63 - F.least(F.length(w), F.lit(63)).cast("bigint"), 56) + F.xxhash64(w).bitwiseAND(F.lit((1 << 56) - 1))))
 
-    Without equal dates no score reaches 0.85, so the join on the date loses no match. Titles of the one-column table
-    `banned` (normalized) are noise and never match.
+
+def _prefix(keys: Column, similarity: float) -> Column:
+    """The keys of which two word sets of that Jaccard likeness or more share one; an empty set has the key 0."""
+    n = F.size(keys)
+    most = (n - F.ceil(similarity * n - F.lit(1e-9)) + 1).cast("int")
+    return F.when(n == 0, F.array(F.lit(0).cast("bigint"))).otherwise(F.slice(keys, 1, F.least(F.greatest(most, F.lit(1)), n)))
+
+
+def scored_pairs(sources: DataFrame, happenings: DataFrame, floor: float = 0.6, banned: DataFrame | None = None, any_day: bool = False) -> DataFrame:
+    """Scores, from `floor` (over 0.5) on, of sources (id, title, start_date, venue) against happenings of the same columns.
+
+    On the same day the venue gives at most 0.2 and the date 0.3, so titles have a likeness of 2 floor - 1 at least; on
+    other days (with `any_day`; these score 0.7 at most) of 2 floor - 0.4. Pairs meet by day and by one of the first words of the titles, in one order
+    of all words, of which such titles share one; each pair is scored once, at the first such word. So a day's rows don't
+    all meet, and a busy day is dealt by its words. Titles of the one-column table `banned` (normalized) are noise and never match.
     """
+    if floor <= 0.5:
+        raise ValueError("no pair of a day can be left out below a floor of 0.5")
     left = sources
     if banned is not None:
         left = left.join(banned.toDF("_banned"), T.normalize_title(F.col("title")) == F.col("_banned"), "left_anti")
-    # words are found once a row, not once a pair
     words = lambda c, normal: T.tokens(normal(F.col(c)))
-    side = lambda df, name, p: df.select(
-        F.col("id").alias(name), F.col("title").alias(f"{p}_title"), F.col("start_date").alias(f"{p}_date"), words("title", T.normalize_title).alias(f"{p}_words"), words("venue", T.normalize_venue).alias(f"{p}_place")
-    )
-    a, b = side(left, "source_happening_id", "a"), side(happenings, "happening_id", "b")
-    score = F.lit(0.5) * T.likeness(F.col("a_words"), F.col("b_words")) + F.lit(0.3) + F.lit(0.2) * T.likeness(F.col("a_place"), F.col("b_place"))
-    pairs = a.join(b, F.col("a_date") == F.col("b_date")).withColumn("score", score).drop("a_words", "b_words", "a_place", "b_place")
-    return pairs.filter(F.col("score") >= floor)
 
+    def side(df: DataFrame, name: str, p: str, similarity: float) -> DataFrame:
+        # words are found once a row, not once a pair
+        found = df.select(
+            F.col("id").alias(name), F.col("title").alias(f"{p}_title"), F.col("start_date").alias(f"{p}_date"), _word_keys(words("title", T.normalize_title)).alias(f"{p}_words"), _word_keys(words("venue", T.normalize_venue)).alias(f"{p}_place")
+        )
+        return found.withColumn(f"{p}_prefix", _prefix(F.col(f"{p}_words"), similarity)).withColumn(f"{p}_key", F.explode(f"{p}_prefix"))
+
+    def met(similarity: float, same_day: bool) -> DataFrame:
+        a, b = side(left, "source_happening_id", "a", similarity), side(happenings, "happening_id", "b", similarity)
+        same = F.col("a_date") == F.col("b_date")
+        pairs = a.join(b, (F.col("a_key") == F.col("b_key")) & (same if same_day else ~F.coalesce(same, F.lit(False))))
+        once = pairs.filter(F.col("a_key") == F.array_min(F.array_intersect("a_prefix", "b_prefix")))
+        score = F.lit(0.5) * T.likeness(F.col("a_words"), F.col("b_words")) + F.lit(0.3 if same_day else 0.0) + F.lit(0.2) * T.likeness(F.col("a_place"), F.col("b_place"))
+        return once.withColumn("score", score).drop(*[f"{p}_{c}" for p in "ab" for c in ("words", "place", "prefix", "key")]).filter(F.col("score") >= floor)
+
+    found = met(2 * floor - 1, True)
+    return found.unionByName(met(2 * floor - 0.4, False)) if any_day and floor <= 0.7 else found
 
-def decide(pairs: DataFrame, threshold: float = 0.85, margin: float = 0.05) -> DataFrame:
-    """For each source its best happening, score, margin and decision.
 
-    merge from `threshold` on, unless the second is nearer than `margin`, which needs review; create below.
+def decide(sources: DataFrame, happenings: DataFrame, threshold: float = 0.85, margin: float = 0.05, banned: DataFrame | None = None) -> DataFrame:
+    """For each source (id, title, start_date, venue): happening_id, score, margin and decision.
+
+    merge with the best happening from `threshold` on, unless the second is nearer than `margin`: that needs review, as
+    does a source without title or date. All others are to be created and have no happening, score or margin. A second further off than `margin` isn't searched; margin is null then.
     """
-    best = best_and_margin(pairs, ["source_happening_id"], "score", ["happening_id"])
+    pairs = scored_pairs(sources, happenings, threshold - margin - 1e-9, banned).select("source_happening_id", "happening_id", "score")
+    best = best_and_margin(pairs, ["source_happening_id"], "score", ["happening_id"]).filter(F.col("score") >= threshold)
     near = F.coalesce(F.col("margin") < margin, F.lit(False))
-    decision = F.when(F.col("score") < threshold, "create").when(near, "needs_review").otherwise("merge")
-    return best.withColumn("decision", decision)
+    lacks = (T.normalize_title(F.col("title")) == "") | F.col("start_date").isNull()
+    every = sources.select(F.col("id").alias("_id"), lacks.alias("_lacks")).join(best, F.col("_id") == F.col("source_happening_id"), "left")
+    decision = F.when(F.col("_lacks") | near, "needs_review").when(F.col("score").isNotNull(), "merge").otherwise("create")
+    return every.select(F.col("_id").alias("source_happening_id"), "happening_id", "score", "margin", decision.alias("decision"))
+
+
+def linked(decisions: DataFrame, priority: Column) -> DataFrame:
+    """The only rows that deciding may write: provenance links of merges (source_happening_id, happening_id, source_priority), never a happening's own fields."""
+    return decisions.filter("decision = 'merge'").select("source_happening_id", "happening_id", priority.alias("source_priority"), F.lit(False).alias("is_primary"))
+
+
+def statuses(decisions: DataFrame) -> DataFrame:
+    """source_happening_id and the status it flips to: processed when merged or to be created, else needs_review."""
+    return decisions.select("source_happening_id", F.when(F.col("decision") == "needs_review", "needs_review").otherwise("processed").alias("status"))
 
 
-def ambiguous(pairs: DataFrame, threshold: float = 0.85, floor: float = 0.5) -> DataFrame:
-    """Rows for the log of ambiguous matches: scores from `floor` to below `threshold`, kept to three digits."""
+def ambiguous(pairs: DataFrame, threshold: float = 0.85, floor: float = 0.6) -> DataFrame:
+    """Rows for the log of ambiguous matches: scores from `floor` to below `threshold`, kept to three digits; pairs of any day, see `scored_pairs`."""
     return pairs.filter((F.col("score") >= floor) & (F.col("score") < threshold)).select(
         "source_happening_id", F.col("happening_id").alias("candidate_happening_id"), F.col("score").cast("decimal(4,3)").alias("confidence_score"),
         F.col("a_title").alias("source_title"), F.col("b_title").alias("candidate_title"), F.lit(None).cast("string").alias("resolution"),

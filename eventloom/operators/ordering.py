@@ -60,10 +60,10 @@ def until_nothing_new(df: DataFrame, key: str, page: str, by: list[str], order:
     return joined.filter(F.col("_stop").isNull() | (F.col(page) < F.col("_stop"))).drop("_n", "_stop", *[f"_{b}" for b in by])
 
 
-def quota(df: DataFrame, by: list[str], order: list[str | Column], most: int) -> DataFrame:
-    """The first `most` rows of each group."""
-    ranked = df.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-    return ranked.filter(F.col("_n") <= most).drop("_n")
+def quota(df: DataFrame, by: list[str], order: list[str | Column], most: int, keep: str | None = None) -> DataFrame:
+    """The first `most` rows of each group, with their number in the column `keep` if it is given."""
+    ranked = df.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("_n") <= most)
+    return ranked.withColumnRenamed("_n", keep) if keep else ranked.drop("_n")
 
 
 def top(df: DataFrame, keys: list[str], order: list[Column], most: int) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import text as T
+from ..sources.sinks import run_id
 
 
 def raw_events(items: DataFrame, sources: DataFrame, now: Column) -> DataFrame:
@@ -70,7 +71,9 @@ def bridged(events: DataFrame, source: str, now: Column, zone: str = D.ZONE) ->
     held = events.filter(F.col("start_at").isNotNull() & (F.col("end_at").isNull() | (F.col("end_at") >= F.col("start_at"))))
     happening, offering = T.public_id(s, "happening", F.col("external_id")), T.public_id(s, "offering", F.col("external_id"), F.lit("default"))
     occurrence = T.public_id(s, "occ", F.col("external_id"), F.date_format("start_at", "yyyy-MM-dd'T'HH:mm:ss"))
-    one = held.dropDuplicates(["external_id"])
+    # of an id's rows the earliest speaks for it, whatever the order of reading
+    first = F.struct("start_at", F.col("end_at").isNull().alias("_open"), "end_at", "title")
+    one = held.groupBy("external_id").agg(F.min(first).alias("_f")).select("external_id", "_f.start_at", "_f.end_at", "_f.title")
     return (
         one.select(happening.alias("public_id"), F.lit("event").alias("happening_kind"), "title", F.lit("published").alias("visibility_status"), now.alias("updated_at")),
         one.select(
@@ -93,6 +96,28 @@ def run_metrics(surfaces: DataFrame) -> DataFrame:
     )
 
 
+def open_runs(sources: DataFrame, started: Column) -> DataFrame:
+    """A row of crawl_run for each source_id, running since `started`; the id follows from both, so that a repeated task opens the same run."""
+    return sources.select(run_id(F.col("source_id"), started).alias("id"), "source_id", F.lit("running").alias("status"), started.alias("started_at"))
+
+
+def close_runs(runs: DataFrame, surfaces: DataFrame, finished: Column, errors: DataFrame | None = None) -> DataFrame:
+    """The rows of open runs with their nine metrics (zeros without surfaces), end and status: failed with its error_message if `errors` (source_id, error_message) names the source, else success."""
+    metrics = run_metrics(surfaces).withColumnRenamed("source_id", "_m")
+    joined = runs.drop("status").join(metrics, F.col("source_id") == F.col("_m"), "left").drop("_m")
+    if errors is None:
+        joined = joined.withColumn("error_message", F.lit(None).cast("string"))
+    else:
+        one = errors.groupBy(F.col("source_id").alias("_e")).agg(F.min("error_message").alias("error_message"))
+        joined = joined.join(one, F.col("source_id") == F.col("_e"), "left").drop("_e")
+    counts = [c for c in metrics.columns if c not in ("_m", "circuit_breaker_triggered")]
+    status = F.when(F.col("error_message").isNotNull(), "failed").otherwise("success")
+    return joined.select(
+        "id", "source_id", status.alias("status"), "started_at", finished.alias("finished_at"), *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
+        F.coalesce("circuit_breaker_triggered", F.lit(False)).alias("circuit_breaker_triggered"), "error_message",
+    )
+
+
 def source_yield(sources: DataFrame, rows: DataFrame, failed: DataFrame) -> DataFrame:
     """Rows by enabled source: -1 for failed ones, 0 with a warning for those that gave none."""
     counts = rows.groupBy(F.col("source_id").alias("_r")).agg(F.count(F.lit(1)).alias("_rows"))
@@ -108,9 +133,13 @@ def registry_difference(configured: DataFrame, registered: DataFrame, key: str =
     return a.join(b, key, "left_anti").withColumn("missing_in", F.lit("registry")).unionByName(b.join(a, key, "left_anti").withColumn("missing_in", F.lit("config")))
 
 
-def enriched(items: DataFrame, details: DataFrame, key: str, fill: list[str], copy: list[str]) -> DataFrame:
-    """Items with the first detail row of their key: blanks of `fill` filled and `copy` added; items without details stay."""
-    one = details.groupBy(F.col(key).alias("_key")).agg(*[F.first(c, ignorenulls=True).alias(f"_{c}") for c in fill + copy])
+def enriched(items: DataFrame, details: DataFrame, key: str, fill: list[str], copy: list[str], order: list[str] | None = None) -> DataFrame:
+    """Items with the details of their key: blanks of `fill` filled and `copy` added; items without details stay.
+
+    Of several detail rows each column takes its first value that isn't null, by the columns `order` and then the value itself.
+    """
+    least = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order or [])], F.col(c).alias("v"))))["v"]
+    one = details.groupBy(F.col(key).alias("_key")).agg(*[least(c).alias(f"_{c}") for c in fill + copy])
     joined = items.join(one, F.col(key) == F.col("_key"), "left")
     return joined.select(*[F.coalesce(T.blank_to_null(F.col(c)), F.col(f"_{c}")).alias(c) if c in fill else F.col(c) for c in items.columns], *[F.col(f"_{c}").alias(c) for c in copy])
 
@@ -121,3 +150,11 @@ def coverage(organizers: DataFrame, raw: DataFrame, canonical: DataFrame) -> Dat
     c = canonical.groupBy(F.col("organizer_id").alias("_c")).agg(F.count(F.lit(1)).alias("canonical_rows"), F.count_if("eligible").alias("eligible_rows"))
     joined = organizers.join(r, F.col("organizer_id") == F.col("_r"), "left").join(c, F.col("organizer_id") == F.col("_c"), "left").drop("_r", "_c")
     return joined.fillna(0, ["raw_rows", "canonical_rows", "eligible_rows"])
+
+
+def gaps(rows: DataFrame, fields: list[str], by: str = "source_tier") -> DataFrame:
+    """By tier: rows, their share of all in percent, and how many lack each field (null or blank)."""
+    lacking = [F.count_if(F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == "").alias(f"missing_{c}") for c in fields]
+    counted = rows.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), *lacking)
+    # a row a tier is left here
+    return counted.join(F.broadcast(counted.agg(F.sum("rows").alias("_all")))).withColumn("percentage", 100 * F.col("rows") / F.col("_all")).drop("_all")

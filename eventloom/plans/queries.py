@@ -81,31 +81,35 @@ def page_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') || href AS item_url, pos FROM (
+SELECT page_id, CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN href WHEN href = '' THEN url WHEN starts_with(href, '#') THEN regexp_replace(url, '#.*$', '') || href
+  WHEN starts_with(href, '/') THEN regexp_extract(url, '^[a-z]+://[^/?#]*') || href END AS item_url, pos FROM (
   SELECT page_id, url, href, pos, row_number() OVER (PARTITION BY page_id, href ORDER BY pos) AS n FROM (
-    SELECT page_id, url, unnest(hrefs) AS href, unnest(range(len(hrefs))) AS pos FROM (SELECT page_id, url, regexp_extract_all(html, 'href="(/[^"]*)"', 1) AS hrefs FROM pages)))
+    SELECT page_id, url, unnest(hrefs) AS href, unnest(range(len(hrefs))) AS pos FROM (SELECT page_id, url, regexp_extract_all(html, 'href="([^"]*)"', 1) AS hrefs FROM pages)))
 WHERE n = 1
 """)
 def link_extract_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hrefs = F.regexp_extract_all("html", F.lit('href="(/[^"]*)"'), F.lit(1))
+    hrefs = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
     found = table(spark, sf_dir, "pages").select("page_id", "url", F.posexplode(hrefs).alias("pos", "href"))
     first = ordering.keep_first(found, ["page_id", "href"], ["pos"])
     return first.select("page_id", L.resolve(F.col("url"), F.col("href")).alias("item_url"), F.col("pos").cast("bigint").alias("pos"))
 
 
-_LINKS = [
-    ("https://a.ch/x", "/doc.PDF", "Flyer", True, False, "document"), ("https://a.ch/x", "https://b.ch/p", "Mehr", False, True, "other"),
-    ("https://a.ch/x", "mailto:i@a.ch", "Mail", False, False, "organizer"), ("https://a.ch/x", "https://cdn.b.ch/p", "Programm als pdf", True, False, "other"),
-    ("https://a.ch/x", "//c.ch/anmeldung", "hier", False, True, "registration"), ("https://a.ch/x", "https://A.ch/y", "TRÄGER", False, False, "organizer"),
-    ("https://a.ch/x", "https://www.eventfrog.ch/1", "", False, True, "ticket"), ("https://a.ch/x", "https://d.ch", "Anfahrt", False, True, "venue"), ("https://a.ch/x", "#top", "Karte", False, False, "venue"),
-]
-
-
-@query("SELECT * FROM (VALUES " + ", ".join(f"({i}, {str(r[3]).lower()}, {str(r[4]).lower()}, '{r[5]}')" for i, r in enumerate(_LINKS)) + ") t(id, is_pdf, is_external, link_class)")
+@query("""
+SELECT c_custkey, c_custkey % 9 IN (0, 3) AS is_pdf, c_custkey % 9 IN (1, 4, 6, 7) AS is_external,
+  CASE c_custkey % 9 WHEN 0 THEN 'document' WHEN 2 THEN 'organizer' WHEN 4 THEN 'registration' WHEN 5 THEN 'organizer' WHEN 6 THEN 'ticket' WHEN 7 THEN 'venue' WHEN 8 THEN 'venue' ELSE 'other' END AS link_class FROM customer
+""")
 def link_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(i, *r[:3]) for i, r in enumerate(_LINKS)], "id int, page string, href string, text string")
-    page, href, text = F.col("page"), F.col("href"), F.col("text")
-    return rows.select("id", L.is_pdf(href, text).alias("is_pdf"), L.is_external(page, href).alias("is_external"), T.link_class(href, text).alias("link_class"))
+    """PDF, external and class rules over links of nine kinds."""
+    k = F.col("c_custkey")
+    n = k.cast("string")
+    kinds = [
+        (F.concat(F.lit("/doc"), n, F.lit(".PDF")), "Flyer"), (F.concat(F.lit("https://b.ch/p"), n), "Mehr"), (F.concat(F.lit("mailto:i"), n, F.lit("@a.ch")), "Mail"), (F.concat(F.lit("https://cdn.b.ch/p"), n), "Programm als pdf"),
+        (F.concat(F.lit("//c.ch/anmeldung"), n), "hier"), (F.concat(F.lit("https://A.ch/y"), n), "TRÄGER"), (F.concat(F.lit("https://www.eventfrog.ch/"), n), ""), (F.lit("https://d.ch"), "Anfahrt"), (F.concat(F.lit("#top"), n), "Karte"),
+    ]
+    href, text = (F.element_at(F.array(*c), (k % 9 + 1).cast("int")) for c in ([h for h, _ in kinds], [F.lit(t) for _, t in kinds]))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", href.alias("href"), text.alias("text"))
+    href, text = F.col("href"), F.col("text")
+    return rows.select("c_custkey", L.is_pdf(href, text).alias("is_pdf"), L.is_external(F.lit("https://a.ch/x"), href).alias("is_external"), T.link_class(href, text).alias("link_class"))
 
 
 @query(r"""
@@ -114,11 +118,11 @@ SELECT link_class, count(*) AS n FROM (
     WHEN regexp_matches(href, '(?i)(anmeld|registr|booking|sign.?up|einschreib|teilnahm|buchen)') OR regexp_matches(txt, '(?i)(anmeld|registr|booking|sign.?up|einschreib|teilnahm|buchen)') THEN 'registration'
     WHEN regexp_matches(txt, '(?i)(veranstalter|organisator|organizer|organiser|träger)') THEN 'organizer'
     WHEN regexp_matches(txt, '(?i)(standort|ort|karte|map|wegbeschreibung|anfahrt|location|directions)') THEN 'venue' ELSE 'other' END AS link_class
-  FROM (SELECT unnest(regexp_extract_all(html, '<a href="([^"]*)">[^<]*</a>', 1)) AS href, unnest(regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1)) AS txt FROM pages))
+  FROM (SELECT unnest(regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"[^>]*>[^<]*</a>', 1)) AS href, unnest(regexp_extract_all(html, '<a\s[^>]*href="[^"]*"[^>]*>([^<]*)</a>', 1)) AS txt FROM pages))
 GROUP BY link_class
 """)
 def link_class_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pair = F.arrays_zip(F.regexp_extract_all("html", F.lit('<a href="([^"]*)">[^<]*</a>'), F.lit(1)).alias("href"), F.regexp_extract_all("html", F.lit('<a href="[^"]*">([^<]*)</a>'), F.lit(1)).alias("txt"))
+    pair = F.arrays_zip(F.regexp_extract_all("html", F.lit(r'<a\s[^>]*href="([^"]*)"[^>]*>[^<]*</a>'), F.lit(1)).alias("href"), F.regexp_extract_all("html", F.lit(r'<a\s[^>]*href="[^"]*"[^>]*>([^<]*)</a>'), F.lit(1)).alias("txt"))
     links = table(spark, sf_dir, "pages").select(F.explode(pair).alias("a"))
     return links.groupBy(T.link_class(F.col("a.href"), F.col("a.txt")).alias("link_class")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -144,11 +148,11 @@ def venue_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(rf"""
 SELECT dedupe_key, count(*) AS occurrences, min(doc_id) AS first_id FROM (
-  SELECT doc_id, substr(sha256(concat_ws('|', nullif({_TITLE_SQL.format("substr(text, 1, 60)")}, ''), lang, nullif({_VENUE_SQL.format("source")}, ''))), 1, 32) AS dedupe_key FROM documents)
+  SELECT doc_id, substr(sha256(concat_ws('|', nullif({_TITLE_SQL.format("text")}, ''), lang, nullif({_VENUE_SQL.format("source")}, ''))), 1, 32) AS dedupe_key FROM documents)
 GROUP BY dedupe_key HAVING count(*) > 1
 """)
 def fingerprint_dupes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = table(spark, sf_dir, "documents").select("doc_id", T.fingerprint(T.truncated(F.col("text"), 60), F.col("lang"), F.col("source")).alias("dedupe_key"))
+    keyed = table(spark, sf_dir, "documents").select("doc_id", T.fingerprint(F.col("text"), F.col("lang"), F.col("source")).alias("dedupe_key"))
     return keyed.groupBy("dedupe_key").agg(F.count(F.lit(1)).alias("occurrences"), F.min("doc_id").alias("first_id")).filter("occurrences > 1")
 
 
@@ -168,47 +172,66 @@ pairs AS (
 """
 
 
-def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _titled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Parts with even ids as sources and those with odd ids as happenings."""
     part = table(spark, sf_dir, "part")
     rows = part.select(
         F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_type").alias("title"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("p_size")).alias("start_date"),
         F.concat(F.col("p_brand"), F.lit(" str. "), (F.col("p_partkey") % 7).cast("string")).alias("venue"),
     )
-    return linkage.scored_pairs(rows.filter("id % 2 = 0"), rows.filter("id % 2 = 1"))
+    return rows.filter("id % 2 = 0"), rows.filter("id % 2 = 1")
 
 
 @query(_PAIRS_SQL + "SELECT source_happening_id, happening_id, round(score, 9) AS score FROM pairs WHERE score >= 0.6")
 def similarity_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pairs(spark, sf_dir).filter("score >= 0.6").select("source_happening_id", "happening_id", F.round("score", 9).alias("score"))
+    return linkage.scored_pairs(*_titled(spark, sf_dir), 0.6).select("source_happening_id", "happening_id", F.round("score", 9).alias("score"))
 
 
-@query(_PAIRS_SQL + """
-SELECT source_happening_id, happening_id, CASE WHEN score < 0.85 THEN 'create' WHEN coalesce(margin < 0.05, false) THEN 'needs_review' ELSE 'merge' END AS decision FROM (
-  SELECT *, row_number() OVER w AS n, score - lead(score) OVER w AS margin FROM pairs WINDOW w AS (PARTITION BY source_happening_id ORDER BY score DESC, happening_id)) WHERE n = 1
+@query(_PAIRS_SQL + """,
+best AS (SELECT *, row_number() OVER w AS n, score - lead(score) OVER w AS margin FROM pairs WINDOW w AS (PARTITION BY source_happening_id ORDER BY score DESC, happening_id)),
+chosen AS (SELECT * FROM best WHERE n = 1 AND score >= 0.85)
+SELECT t.id AS source_happening_id, c.happening_id, CASE WHEN c.score IS NULL THEN 'create' WHEN coalesce(c.margin < 0.05, false) THEN 'needs_review' ELSE 'merge' END AS decision
+FROM t LEFT JOIN chosen c ON t.id = c.source_happening_id WHERE t.id % 2 = 0
 """)
 def match_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linkage.decide(_pairs(spark, sf_dir)).select("source_happening_id", "happening_id", "decision")
+    """merge, create or needs_review for every source, those without any candidate among them."""
+    return linkage.decide(*_titled(spark, sf_dir)).select("source_happening_id", "happening_id", "decision")
 
 
-@query(_PAIRS_SQL + "SELECT source_happening_id, happening_id AS candidate_happening_id, CAST(CAST(score AS DECIMAL(4,3)) AS DOUBLE) AS confidence_score FROM pairs WHERE score >= 0.7 AND score < 0.85")
+@query(_PAIRS_SQL.replace("FROM tok a JOIN tok b ON a.d = b.d WHERE", "FROM tok a JOIN tok b ON true WHERE").replace("+ 0.3::DOUBLE * 1.0::DOUBLE", "+ 0.3::DOUBLE * (a.d = b.d)::INT::DOUBLE") + """
+SELECT source_happening_id, happening_id AS candidate_happening_id, CAST(CAST(score AS DECIMAL(4,3)) AS DOUBLE) AS confidence_score FROM pairs WHERE score >= 0.6 AND score < 0.85
+""")
 def ambiguous_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = linkage.ambiguous(_pairs(spark, sf_dir), floor=0.7)
+    found = linkage.ambiguous(linkage.scored_pairs(*_titled(spark, sf_dir), 0.6, any_day=True))
     return found.select("source_happening_id", "candidate_happening_id", F.col("confidence_score").cast("double").alias("confidence_score"))
 
 
 @query("""
-WITH s AS (SELECT o_orderkey AS id, o_custkey % 40 AS source, o_orderkey % 900 AS ext, md5(o_orderpriority || (o_orderkey % 300)) AS k FROM orders WHERE o_orderkey % 3 = 0),
-h AS (SELECT o_orderkey AS id, o_custkey % 40 AS source, o_orderkey % 900 AS ext, md5(o_orderpriority || (o_orderkey % 300)) AS k FROM orders WHERE o_orderkey % 41 = 1 AND o_orderstatus <> 'F'),
+WITH d AS (SELECT source_happening_id, happening_id, score, score - lead(score) OVER w AS margin, row_number() OVER w AS n FROM (
+"""  + _PAIRS_SQL + """ SELECT * FROM pairs) WINDOW w AS (PARTITION BY source_happening_id ORDER BY score DESC, happening_id))
+SELECT source_happening_id, happening_id, 20 AS source_priority, false AS is_primary FROM d WHERE n = 1 AND score >= 0.85 AND NOT coalesce(margin < 0.05, false)
+""")
+def merge_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a merge may write: links of provenance."""
+    return linkage.linked(linkage.decide(*_titled(spark, sf_dir)), F.lit(20))
+
+
+@query("""
+WITH s AS (SELECT o_orderkey AS id, o_orderkey % 25 AS source, o_custkey AS ext, md5(CASE o_orderkey % 5 WHEN 0 THEN 'MACHINERY' WHEN 1 THEN 'BUILDING' WHEN 2 THEN 'AUTOMOBILE' WHEN 3 THEN 'FURNITURE' ELSE 'HOUSEHOLD' END || o_custkey) AS k FROM orders),
+h AS (SELECT c_custkey AS id, c_nationkey AS source, c_custkey AS ext, md5(c_mktsegment || c_custkey) AS k FROM customer WHERE c_acctbal >= 0),
 e AS (SELECT s.id AS sid, h.id AS hid FROM s JOIN h ON s.source = h.source AND s.ext = h.ext)
 SELECT sid AS source_happening_id, hid AS happening_id, 'external_id' AS rule FROM e
 UNION ALL SELECT s.id, h.id, 'fingerprint' FROM s JOIN h ON s.k = h.k WHERE s.id NOT IN (SELECT sid FROM e)
 """)
 def exact_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.md5(F.concat(F.col("o_orderpriority"), (F.col("o_orderkey") % 300).cast("string")).cast("binary"))
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 40).alias("source_id"), (F.col("o_orderkey") % 900).alias("external_id"), key.alias("dedupe_key"), F.when(F.col("o_orderstatus") == "F", "archived").otherwise("published").alias("status")
-    )
-    return linkage.exact_matches(orders.filter("id % 3 = 0"), orders.filter("id % 41 = 1"))
+    """All orders against all customers, by id within a source and else by fingerprint; customers in debt are archived."""
+    k = F.col("o_orderkey")
+    segment = F.element_at(F.array(*map(F.lit, ("MACHINERY", "BUILDING", "AUTOMOBILE", "FURNITURE", "HOUSEHOLD"))), (k % 5 + 1).cast("int"))
+    key = lambda a, b: F.md5(F.concat(a, b.cast("string")).cast("binary"))
+    sources = table(spark, sf_dir, "orders").select(k.alias("id"), (k % 25).cast("int").alias("source_id"), F.col("o_custkey").alias("external_id"), key(segment, F.col("o_custkey")).alias("dedupe_key"))
+    c = F.col("c_custkey")
+    happenings = table(spark, sf_dir, "customer").select(c.alias("id"), F.col("c_nationkey").alias("source_id"), c.alias("external_id"), key(F.col("c_mktsegment"), c).alias("dedupe_key"), F.when(F.col("c_acctbal") < 0, "archived").otherwise("published").alias("status"))
+    return linkage.exact_matches(sources, happenings)
 
 
 @query(r"""
@@ -334,7 +357,12 @@ def german_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     t = F.col("t")
     at = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm")
-    return table(spark, sf_dir, "orders").select("o_orderkey", D.parse_time(text).alias("t")).select("o_orderkey", t["start_date"].cast("string").alias("start_date"), at(t["start_at"]).alias("start_at"), at(t["end_at"]).alias("end_at"), t["precision"].alias("precision"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.alias("raw")).select("o_orderkey", D.parse_time(F.col("raw")).alias("t")).select("o_orderkey", t["start_date"].cast("string").alias("start_date"), at(t["start_at"]).alias("start_at"), at(t["end_at"]).alias("end_at"), t["precision"].alias("precision"))
+
+
+def _german(date):
+    names = F.array(*[F.lit(m) for m in ("Januar", "Februar", "März", "April", "Mai", "Juni", "Juli", "August", "September", "Oktober", "November", "Dezember")])
+    return F.concat(F.dayofmonth(date), F.lit(". "), F.element_at(names, F.month(date)), F.lit(" "), F.year(date))
 
 
 @query("""
@@ -342,13 +370,15 @@ SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE)::VARCHAR AS start_date
   CASE WHEN l_linenumber % 2 = 0 THEN strftime((CAST(l_shipdate AS DATE) + INTERVAL 15 HOUR) AT TIME ZONE 'Europe/Zurich' AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M') END AS start_at, 'date_range' AS event_type FROM lineitem
 """)
 def date_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numeric and ISO ranges read back, and their type."""
+    """Numeric, ISO and German ranges read back, and their type."""
     d, n = F.to_date("l_shipdate"), F.col("l_linenumber")
     e = F.date_add(d, n)
     iso = F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit("T15:00 | "), F.date_format(e, "yyyy-MM-dd"), F.lit("T17:00:00"))
     numeric = F.concat(F.date_format(d, "dd.MM.yyyy"), F.lit(" - "), F.date_format(e, "dd.MM.yyyy"))
     t = F.col("t")
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", D.parse_time(F.when(n % 2 == 0, iso).otherwise(numeric)).alias("t"))
+    german = F.concat(_german(d), F.lit(" bis "), _german(e))
+    raw = F.when(n % 2 == 0, iso).when(n % 3 == 0, german).otherwise(numeric)
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", raw.alias("raw")).select("l_orderkey", "l_linenumber", D.parse_time(F.col("raw")).alias("t"))
     return rows.select("l_orderkey", "l_linenumber", t["start_date"].cast("string").alias("start_date"), t["end_date"].cast("string").alias("end_date"), F.date_format(t["start_at"], "yyyy-MM-dd HH:mm").alias("start_at"), D.event_type(t).alias("event_type"))
 
 
@@ -365,42 +395,6 @@ def local_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_RAW_TIMES = [
-    ("27. Feb. 2026, 19.30 Uhr - 21.00 Uhr", "2026-02-27", "2026-02-27 18:30", "2026-02-27 20:00", "datetime"), ("27. Feb. 2026, 19.30 Uhr", "2026-02-27", "2026-02-27 18:30", None, "datetime"),
-    ("21. März 2026", "2026-03-21", None, None, "date"), ("heute", None, None, None, None), ("abends", None, None, None, None), ("ab 19.00 Uhr", None, None, None, None), ("22. - 24. März", None, None, None, None),
-    ("06.01.2026 - 10.02.2026", "2026-01-06", None, None, "date"), ("6. Jan. 2026 - 10. Feb. 2026, 14.00 Uhr - 14.45 Uhr", "2026-01-06", "2026-01-06 13:00", "2026-02-10 13:45", "datetime"),
-    ("2026-01-22T15:00 | 2026-01-22T17:00", "2026-01-22", "2026-01-22 14:00", "2026-01-22 16:00", "datetime"), ("Samstag, 29. März 2026, 15:00 Uhr bis 16:30 Uhr", "2026-03-29", "2026-03-29 13:00", "2026-03-29 14:30", "datetime"),
-    ("3. Mär. 2026", "2026-03-03", None, None, "date"), ("2026-07-01T08:30Z", "2026-07-01", "2026-07-01 08:30", None, "datetime"), ("Sa, 24.01.2026, 15:00", "2026-01-24", "2026-01-24 14:00", None, "datetime"),
-    ("30. Februar 2026", None, None, None, None), ("2026-03-29T02:30", "2026-03-29", "2026-03-29 01:30", None, "datetime"), ("2026-10-25T02:30", "2026-10-25", "2026-10-25 00:30", None, "datetime"), ("", None, None, None, None),
-]
-
-
-def _values(rows: list[tuple]) -> str:
-    text = lambda v: "NULL" if v is None else str(v).lower() if isinstance(v, bool) else str(v) if isinstance(v, int | float) else "'" + str(v).replace("'", "''") + "'"
-    return ", ".join("(" + ", ".join(map(text, r)) + ")" for r in rows)
-
-
-@query(f"SELECT * FROM (VALUES {_values([(i, *r[1:]) for i, r in enumerate(_RAW_TIMES)])}) t(id, start_date, start_at, end_at, precision)")
-def raw_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documented cases of scraped time texts."""
-    t, at = F.col("t"), lambda c: F.date_format(c, "yyyy-MM-dd HH:mm")
-    rows = spark.createDataFrame([(i, r[0]) for i, r in enumerate(_RAW_TIMES)], "id int, raw string").select("id", D.parse_time(F.col("raw")).alias("t"))
-    return rows.select("id", t["start_date"].cast("string").alias("start_date"), at(t["start_at"]).alias("start_at"), at(t["end_at"]).alias("end_at"), t["precision"].alias("precision"))
-
-
-_TEXTS = [
-    ("Eintritt frei", "free", None, None, None), ("Kollekte", "donation", None, None, None), ("CHF 12.50", "paid", 12.5, None, None), ("Fr. 20", "paid", 20.0, None, None), ("auf Anfrage", "paid", None, None, None),
-    ("ab 6 Jahren", "paid", None, 6, None), ("4-8 Jahre, gratis", "free", None, 4, 8), ("3 bis 5 Jahre", "paid", None, 3, 5), ("Kinder ab 2, CHF 5,50", "paid", 5.5, 2, None), ("ab 0 Jahren", "paid", None, 0, None),
-]
-
-
-@query(f"SELECT id, price_type, CAST(price AS DOUBLE) AS price, age_min, age_max FROM (VALUES {_values([(i, *r[1:]) for i, r in enumerate(_TEXTS)])}) t(id, price_type, price, age_min, age_max)")
-def price_age(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(i, r[0]) for i, r in enumerate(_TEXTS)], "id int, raw string")
-    p, a = T.price(F.col("raw")), T.age(F.col("raw"))
-    return rows.select("id", p["price_type"].alias("price_type"), p["price_from_chf"].alias("price"), a["age_min"].alias("age_min"), a["age_max"].alias("age_max"))
-
-
 # the feed
 
 
@@ -623,20 +617,21 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT s_suppkey AS id, 'registry' AS missing_in FROM supplier WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_suppkey % 5 > 0)
-UNION ALL SELECT DISTINCT l_suppkey, 'config' FROM lineitem WHERE l_suppkey % 5 > 0 AND l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 7 > 0 OR s_suppkey % 7 = 0)
+SELECT DISTINCT user_id AS id, 'registry' AS missing_in FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer) UNION ALL SELECT c_custkey, 'config' FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)
 """)
 def registry_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"))
-    b = table(spark, sf_dir, "lineitem").filter("l_suppkey % 5 > 0").select(F.col("l_suppkey").alias("id"))
-    return sync.registry_difference(a, b, "id")
+    return sync.registry_difference(table(spark, sf_dir, "events").select(F.col("user_id").alias("id")), table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), "id")
 
 
-@query("SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END, c_name) AS label, c_mktsegment AS segment FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 4 > 0) ON o_custkey = c_custkey")
+@query("""
+WITH d AS (SELECT l_orderkey AS k, min(struct_pack(n := l_linenumber, v := l_returnflag)).v AS flag, min(struct_pack(n := l_linenumber, v := l_linestatus)).v AS state FROM lineitem GROUP BY 1)
+SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END, flag) AS label, state FROM orders LEFT JOIN d ON o_orderkey = k
+""")
 def detail_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("key"), F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderpriority")).alias("label"))
-    details = table(spark, sf_dir, "customer").filter("c_custkey % 4 > 0").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("label"), F.col("c_mktsegment").alias("segment"))
-    return sync.enriched(items, details, "key", ["label"], ["segment"]).select("o_orderkey", "label", "segment")
+    """Orders with what their first line says."""
+    items = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderkey").alias("key"), F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderpriority")).alias("label"))
+    details = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("key"), "l_linenumber", F.col("l_returnflag").alias("label"), F.col("l_linestatus").alias("state"))
+    return sync.enriched(items, details, "key", ["label"], ["state"], ["l_linenumber"]).select("o_orderkey", "label", "state")
 
 
 @query("""
@@ -650,33 +645,51 @@ def coverage_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sync.coverage(nations, customers, canonical).drop("organizer_id")
 
 
+_RUNS_SQL = """
+SELECT {0} AS source_id, count(*) AS surfaces_attempted, count(*) FILTER (WHERE value >= 10) AS surfaces_succeeded, CAST(sum(CASE WHEN user_id % 4 = 0 THEN event_id % 3 ELSE 0 END) AS BIGINT) AS dom_items_visible, count(*) FILTER (WHERE user_id % 4 > 0) AS detail_urls_found,
+  count(*) FILTER (WHERE user_id % 4 > 0 AND value >= 10) AS detail_urls_fetched, CAST(sum(CASE WHEN user_id % 4 > 0 THEN event_id % 3 ELSE 0 END) AS BIGINT) AS items_extracted, count(*) FILTER (WHERE value < 5) AS items_failed, count(*) FILTER (WHERE event_id % 11 = 0) AS items_skipped,
+  bool_or(event_id % 5000 = 0) AS circuit_breaker_triggered FROM events GROUP BY 1
+"""
+
+
+def _surfaces(spark: SparkSession, sf_dir: str, source) -> DataFrame:
+    return table(spark, sf_dir, "events").select(
+        source.alias("source_id"), F.when(F.col("user_id") % 4 > 0, "detail").otherwise("listing").alias("kind"), (F.col("value") >= 10).alias("ok"), (F.col("event_id") % 3).alias("items"), (F.col("value") < 5).cast("int").alias("failed"),
+        (F.col("event_id") % 11 == 0).cast("int").alias("skipped"), (F.col("event_id") % 5000 == 0).alias("breaker_open"),
+    )
+
+
+@query(_RUNS_SQL.format("event_type"))
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sync.run_metrics(_surfaces(spark, sf_dir, F.col("event_type")))
+
+
+@query(f"""
+WITH m AS ({_RUNS_SQL.format("user_id % 30")}), s AS (SELECT DISTINCT l_suppkey % 40 AS id FROM lineitem),
+x AS (SELECT id, 's' || id AS source_id, CASE WHEN id % 7 = 0 THEN 'timeout' END AS error_message, m.* EXCLUDE (source_id) FROM s LEFT JOIN m ON s.id = m.source_id)
+SELECT substr(sha256(source_id || '|2024-01-17 12:00:00'), 1, 32) AS id, source_id, CASE WHEN error_message IS NULL THEN 'success' ELSE 'failed' END AS status, coalesce(surfaces_attempted, 0) AS surfaces_attempted, coalesce(surfaces_succeeded, 0) AS surfaces_succeeded,
+  coalesce(dom_items_visible, 0) AS dom_items_visible, coalesce(detail_urls_found, 0) AS detail_urls_found, coalesce(detail_urls_fetched, 0) AS detail_urls_fetched, coalesce(items_extracted, 0) AS items_extracted, coalesce(items_failed, 0) AS items_failed,
+  coalesce(items_skipped, 0) AS items_skipped, coalesce(circuit_breaker_triggered, false) AS circuit_breaker_triggered, error_message FROM x
+""")
+def run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs opened for every source and closed with nine metrics and the source's error."""
+    sources = table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 40).alias("id")).distinct().select("id", F.concat(F.lit("s"), F.col("id").cast("string")).alias("source_id"))
+    errors = sources.filter("id % 7 = 0").select("source_id", F.lit("timeout").alias("error_message"))
+    surfaces = _surfaces(spark, sf_dir, F.concat(F.lit("s"), (F.col("user_id") % 30).cast("string")))
+    closed = sync.close_runs(sync.open_runs(sources, clock()), surfaces, clock(), errors)
+    return closed.drop("started_at", "finished_at")
+
+
 @query("""
-SELECT event_type AS source_id, count(*) AS surfaces_attempted, count(*) FILTER (WHERE value >= 10) AS surfaces_succeeded, count(*) FILTER (WHERE user_id % 4 > 0) AS detail_urls_found,
-  count(*) FILTER (WHERE user_id % 4 > 0 AND value >= 10) AS detail_urls_fetched, CAST(sum(CASE WHEN user_id % 4 > 0 THEN event_id % 3 ELSE 0 END) AS BIGINT) AS items_extracted, bool_or(event_id % 5000 = 0) AS circuit_breaker_triggered FROM events GROUP BY 1
+SELECT c_mktsegment AS source_tier, count(*) AS rows, count(*) FILTER (WHERE c_nationkey % 5 = 0) AS missing_title, count(*) FILTER (WHERE c_acctbal < 0) AS missing_location, round(100.0 * count(*) / (SELECT count(*) FROM customer), 6)::DOUBLE AS percentage FROM customer GROUP BY 1
 """)
-def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    surfaces = table(spark, sf_dir, "events").select(
-        F.col("event_type").alias("source_id"), F.when(F.col("user_id") % 4 > 0, "detail").otherwise("listing").alias("kind"), (F.col("value") >= 10).alias("ok"), (F.col("event_id") % 3).alias("items"), F.lit(0).alias("failed"), F.lit(0).alias("skipped"),
-        (F.col("event_id") % 5000 == 0).alias("breaker_open"),
-    )
-    return sync.run_metrics(surfaces).drop("dom_items_visible", "items_failed", "items_skipped")
+def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, shares and missing fields by tier."""
+    rows = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("source_tier"), F.when(F.col("c_nationkey") % 5 > 0, F.col("c_name")).otherwise(" ").alias("title"), F.when(F.col("c_acctbal") >= 0, F.col("c_name")).alias("location"))
+    return sync.gaps(rows, ["title", "location"]).withColumn("percentage", F.round("percentage", 6))
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS DOUBLE) AS k, NULL::VARCHAR AS k_text, CAST(json_extract(props, '$.k') AS INT) AS k_whole FROM events")
 def extra_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = R.variant(F.col("props"))
     return table(spark, sf_dir, "events").select("event_id", R.number_field(v, "$.k").alias("k"), R.text_field(v, "$.k").alias("k_text"), R.whole_field(v, "$.k").alias("k_whole"))
-
-
-_JSONLD = [
-    ('{"@type":"Event","startDate":"2026-01-22T15:00","endDate":"2026-01-22T17:00","offers":{"price":"12.5"}}', "2026-01-22T15:00 | 2026-01-22T17:00", "paid", 12.5),
-    ('{"@graph":[{"@type":"WebPage"},{"@type":["Event","Thing"],"startDate":"2026-02-01","offers":[{"price":"x"},{"price":0}]}]}', "2026-02-01", "free", None),
-    ('[{"@type":"Event"},{"@type":"Event","startDate":"2026-03-01"}]', "2026-03-01", None, None), ('{"@type":"MusicEvent","startDate":"2026-03-01"}', None, None, None), ("not json", None, None, None),
-]
-
-
-@query(f"SELECT id, raw, price_type, CAST(price AS DOUBLE) AS price FROM (VALUES {_values([(i, *r[1:]) for i, r in enumerate(_JSONLD)])}) t(id, raw, price_type, price)")
-def jsonld_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(i, r[0]) for i, r in enumerate(_JSONLD)], "id int, doc string")
-    p = R.event_price(F.col("doc"))
-    return rows.select("id", T.blank_to_null(R.event_time(F.col("doc"))).alias("raw"), p["price_type"].alias("price_type"), p["price_from_chf"].alias("price"))

@@ -146,13 +146,13 @@ def source_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH src AS (SELECT n_nationkey AS id FROM nation WHERE n_nationkey % 6 > 0), c AS (SELECT c_nationkey AS id, count(*) AS n FROM customer WHERE c_nationkey % 4 > 0 GROUP BY 1)
+WITH src AS (SELECT n_nationkey AS id FROM nation WHERE n_regionkey <> 2), c AS (SELECT s_nationkey AS id, count(*) AS n FROM supplier GROUP BY 1)
 SELECT id::VARCHAR AS source_id, CASE WHEN id % 9 = 0 THEN -1 ELSE coalesce(n, 0) END AS rows, (CASE WHEN id % 9 = 0 THEN -1 ELSE coalesce(n, 0) END) = 0 AS warning FROM src LEFT JOIN c USING (id)
 """)
 def source_yield(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("n_nationkey")
-    sources = table(spark, sf_dir, "nation").select(k.cast("string").alias("source_id"), (k % 6 > 0).alias("enabled"))
-    rows = table(spark, sf_dir, "customer").filter("c_nationkey % 4 > 0").select(F.col("c_nationkey").cast("string").alias("source_id"))
+    sources = table(spark, sf_dir, "nation").select(k.cast("string").alias("source_id"), (F.col("n_regionkey") != 2).alias("enabled"))
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").cast("string").alias("source_id"))
     failed = table(spark, sf_dir, "nation").filter(k % 9 == 0).select(k.cast("string").alias("source_id"))
     return sync.source_yield(sources, rows, failed)
 
@@ -219,3 +219,152 @@ def raw_to_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sync.normalized(raw, F.col("fetched_at"))
     url = F.regexp_replace("canonical_url", "#evt-.*$", "#evt")
     return out.select("source_id", url.alias("url"), "date_precision", F.col("start_date_local").cast("string").alias("start_date"), F.date_format("last_seen_at", "yyyy-MM-dd HH:mm").alias("fetched_at"), F.col("title").cast("bigint").alias("o_orderkey"))
+
+
+@query(r"""
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN 'Titel ' || o_orderkey ELSE 'T' || o_orderkey || ' | Seite' END AS title,
+  CASE WHEN o_orderkey % 5 = 0 THEN 'Kurze Angabe ' || o_orderkey || ' aus dem Kopf der Seite' ELSE 'Beschreibung ' || o_orderkey || ' mit genug Worten, damit sie als solche gilt.' || chr(10) || chr(10) || '• Punkt' END AS description,
+  CASE o_orderkey % 4 WHEN 1 THEN 'https://x.ch/og' || o_orderkey || '.jpg' WHEN 2 THEN 'https://x.ch/ld' || o_orderkey || '.jpg' WHEN 3 THEN 'https://x.ch/bild' || o_orderkey || '.jpg' END AS image,
+  CASE WHEN o_orderkey % 7 = 0 THEN 'Amt ' || o_custkey WHEN o_orderkey % 4 = 2 THEN 'Verein ' || o_custkey WHEN o_orderkey % 4 = 1 THEN 'Kulturamt ' || o_custkey WHEN o_orderkey % 4 = 3 THEN 'Treff ' || o_custkey ELSE 'Autor ' || o_custkey END AS organizer,
+  CASE WHEN o_orderkey % 4 = 2 THEN '2026-03-01T10:00' ELSE '2026-05-0' || (o_orderkey % 9 + 1) || 'T19:00' END AS datetime_raw, CASE WHEN o_orderkey % 4 = 2 THEN 'jsonld' ELSE 'time_element' END AS method,
+  CASE WHEN o_orderkey % 4 = 2 THEN 'Saal ' || o_custkey ELSE 'Dorfgasse ' || (o_orderkey % 80) END AS location, CAST(o_custkey % 50 + 1 AS DOUBLE) AS price, CAST(o_orderkey % 9 + 1 AS INT) AS age_min,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'https://r.ch/' || o_orderkey ELSE '/anmeldung/' || o_orderkey END AS registration_url, CASE WHEN o_orderkey % 2 = 0 THEN 'hier' ELSE 'Jetzt anmelden' END AS registration_raw,
+  CASE WHEN o_orderkey % 4 = 2 THEN 'Musik' ELSE 'Sport, Kultur' END AS category, 1 AS pdfs, CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS external_links FROM orders
+""")
+def detail_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All cascades of a detail page, over pages written from orders that give each field in different places."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    four = k % 4
+    lit, only = F.lit, lambda test, *parts: F.when(test, F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])).otherwise(F.lit(""))
+    html = F.concat(
+        lit("<html><head><title>T"), k, lit(" | Seite</title>"), only(k % 5 == 0, '<meta name="description" content="Kurze Angabe ', k, ' aus dem Kopf der Seite">'), only(four == 0, '<meta name="author" content="Autor ', c, '">'),
+        only(four == 1, '<meta property="og:image" content="/og', k, '.jpg">'),
+        only(four == 2, '<script type="application/ld+json">{"@graph":[{"@type":"Event","startDate":"2026-03-01T10:00","image":[{"url":"/ld', k, '.jpg"}],"organizer":{"name":"Verein ', c, '"},"location":{"name":"Saal ', c, '"},"about":{"name":"Musik"}}]}</script>'),
+        lit("</head><body><img src='/logo.png'>"), only(four == 3, '<img src="/bild', k, '.jpg">'), only(k % 3 > 0, "<h1>Titel ", k, "</h1>"),
+        only(k % 5 > 0, '<div class="rte"><p>Beschreibung ', k, " mit genug Worten, damit sie als solche gilt.</p><ul><li>Punkt</li></ul></div>"), only(four != 2, '<p><time datetime="2026-05-0', k % 9 + 1, 'T19:00">bald</time></p>'),
+        lit("<p>Dorfgasse "), k % 80, lit(", 8708 Männedorf</p><dl><dt>Preis</dt><dd>CHF "), c % 50 + 1, lit("</dd><dt>Alter:</dt><dd>ab "), k % 9 + 1, lit(" Jahren</dd>"), only(four == 1, "<dt>Veranstalter</dt><dd>Kulturamt ", c, "</dd>"),
+        only(k % 2 == 0, '<dt>Anmeldung</dt><dd><a href="https://r.ch/', k, '">hier</a></dd>'), lit("</dl>"), only(four == 3, "<p>Veranstalter:</p><p>Treff ", c, "</p>"), only(k % 2 == 1, '<p><a href="/anmeldung/', k, '">Jetzt anmelden</a></p>'),
+        only(k % 7 == 0, "<address>Amt ", c, '<br><a href="mailto:a@b.ch">m</a></address>'), lit('<p><a href="/category/1">Sport</a> <a href="/category/2">Kultur</a> <a href="/f'), k, lit('.pdf">Flyer</a></p></body></html>'),
+    )
+    pages = table(spark, sf_dir, "orders").select("o_orderkey", html.alias("html")).select("o_orderkey", read(F.col("html")).alias("p"))
+    d = pages.select("o_orderkey", P.details(F.col("p"), F.lit("https://x.ch/e/1"), F.lit("2026-01-01").cast("timestamp")).alias("d")).select("o_orderkey", "d.*")
+    return d.select(
+        "o_orderkey", F.col("title_raw").alias("title"), F.col("description_raw").alias("description"), F.col("image_url").alias("image"), F.col("organizer_name").alias("organizer"), "time.datetime_raw", "time.method", F.col("location_raw").alias("location"),
+        F.col("price.price_from_chf").alias("price"), "age.age_min", "registration.registration_url", "registration.registration_raw", F.col("category_raw").alias("category"), F.col("surfaces.pdf_count").alias("pdfs"), F.col("surfaces.external_link_count").alias("external_links"),
+    )
+
+
+@query("""
+WITH s AS (SELECT s_suppkey AS k, s_suppkey::VARCHAR AS source_id FROM supplier), i AS (SELECT unnest([1, 2]) AS i)
+SELECT 'govis' AS platform, source_id, 'https://x.ch/a/event/' || (k * 10 + i) || '/eventdate/' || i AS item_url, 'G' || i AS title_raw FROM s, i
+UNION ALL SELECT 'ai1ec', source_id, 'https://x.ch/Veranstaltung/a/?instance_id=' || (k * 10 + i), 'A' || i FROM s, i
+UNION ALL SELECT 'contao', source_id, 'https://x.ch/e' || (k * 10 + i) || '.html', 'C' || i FROM s, i
+UNION ALL SELECT 'clubdesk', source_id, 'https://x.ch/d?id=' || (k * 10 + i), NULL FROM s, i
+UNION ALL SELECT 'eventbrite', source_id, 'https://x.ch/e/fest-tickets-' || (k * 10 + i), 'E' || i FROM s, i
+UNION ALL SELECT 'months', source_id, 'https://x.ch/m' || i || '?sucheDarstellungTitel=' || (k * 10 + i) || '&sucheZielgruppe=Kinder', 'März 2026' FROM s, i
+""")
+def platform_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings of six platforms whose items are links or handlers, each with a repeat, a link that doesn't count and a second page without news."""
+    at = lambda i: (F.col("s_suppkey") * 10 + i).cast("string")
+    forms = {
+        "govis": lambda i: [F.lit('<a href="/a/event/'), at(i), F.lit(f'/eventdate/{i}?x=1">G{i}</a><a href="/a/event/">no</a>')],
+        "ai1ec": lambda i: [F.lit('<a href="/Veranstaltung/a/?instance_id='), at(i), F.lit(f'">A{i}</a><a href="/Veranstaltung/a/">no</a>')],
+        "contao": lambda i: [F.lit('<div class="x event"><a href="/e'), at(i), F.lit(f'.html#top">C{i}</a></div><div class="y"><a href="/n.html">no</a></div>')],
+        "clubdesk": lambda i: [F.lit("<div class='cd-tile' onclick=\"window.location.href='/d?id="), at(i), F.lit("'\">t</div><a href='/n'>no</a>")],
+        "eventbrite": lambda i: [F.lit('<a href="/e/fest-tickets-'), at(i), F.lit(f'?aff=1">E{i}</a><a href="/o/fest-tickets-1">no</a>')],
+        "months": lambda i: [F.lit(f'<a href="/m{i}?sucheDarstellungTitel='), at(i), F.lit('">März 2026</a><a href="/m?sucheDarstellungTitel=9">Heute</a>')],
+    }
+    scans = platforms.SCANS | {"months": platforms.kirchenweb_months}
+    url = F.lit("https://x.ch/list?sucheZielgruppe=Kinder")
+    out = None
+    for name, form in forms.items():
+        html = F.concat(*form(1), *form(2), *form(1))
+        one = _documents(table(spark, sf_dir, "supplier"), "s_suppkey", html, url)
+        found = scans[name](one.unionByName(one.withColumn("page", F.lit(1))))
+        title = F.col("title_raw") if "title_raw" in found.columns else F.lit(None).cast("string")
+        own = found.select(F.lit(name).alias("platform"), "source_id", "item_url", title.alias("title_raw"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+@query("""
+WITH s AS (SELECT c_custkey::VARCHAR AS source_id, DATE '2026-02-01' + CAST(c_custkey % 300 AS INT) AS d, 'Film ' || c_custkey AS title_raw FROM customer)
+SELECT source_id, title_raw, strftime(d, '%Y-%m-%d') || 'T' || t AS datetime_raw FROM s, (SELECT unnest(['14:00', '16:30']) AS t) UNION ALL SELECT source_id, title_raw, strftime(d + 1, '%Y-%m-%d') FROM s
+""")
+def cinema_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cinema pages: a day with two times and one without."""
+    months = F.array(*[F.lit(m) for m in ("Jan.", "Februar", "März", "April", "Mai", "Juni", "Juli", "Aug.", "Sept.", "Oktober", "Nov.", "Dez.")])
+    day = lambda n: F.date_add(F.lit("2026-02-01").cast("date"), (F.col("c_custkey") % 300).cast("int") + n)
+    text = lambda d: F.concat(F.dayofmonth(d), F.lit(". "), F.element_at(months, F.month(d)), F.lit(" "), F.year(d))
+    html = F.concat(F.lit("<h1>Film "), F.col("c_custkey"), F.lit("</h1><p>"), text(day(0)), F.lit(" 14.00 / 16:30</p><p>bald</p><p>"), text(day(1)), F.lit("</p>"))
+    return platforms.screenings(_documents(table(spark, sf_dir, "customer"), "c_custkey", html)).select("source_id", "title_raw", "datetime_raw")
+
+
+@query("""
+SELECT s_suppkey::VARCHAR AS source_id, i AS page, 'https://x.ch/agenda/more?offset=' || (i + 1) * 20 || '&category=musik&region=' || s_suppkey AS item_url FROM supplier, (SELECT unnest([0, 1]) AS i)
+""")
+def agenda_following(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that follow agenda pages: as the button says, with the filters put back, until a page has no new rows or no button."""
+    url = F.concat(F.lit("https://x.ch/agenda?category=musik&region="), F.col("s_suppkey"))
+
+    def page(n: int, item: int, button: bool) -> DataFrame:
+        more = f'<tr class="row--result load-more"><td><button hx-get="/agenda/more?offset={(n + 1) * 20}">mehr</button></td></tr>' if button else ""
+        html = F.concat(F.lit('<table><tr class=row--result><td><a class=agenda__event href="/agenda/x-'), F.col("s_suppkey") * 10 + item, F.lit(f'/"><h1 class=agenda__event-title>F</h1></a></td></tr>{more}</table>'))
+        return _documents(table(spark, sf_dir, "supplier"), "s_suppkey", html, url).withColumn("page", F.lit(n))
+
+    return platforms.forum_following(page(0, 1, True).unionByName(page(1, 2, True)).unionByName(page(2, 2, True)).unionByName(page(3, 3, True)))
+
+
+@query("""
+WITH r AS (SELECT o_orderstatus AS source_id, CASE o_orderkey % 3 WHEN 0 THEN 'include' WHEN 1 THEN 'review' ELSE 'exclude' END AS relevance, o_orderkey AS k FROM orders),
+n AS (SELECT *, row_number() OVER (PARTITION BY source_id, relevance ORDER BY k) AS n FROM r)
+SELECT source_id, relevance, count(*) AS rows, round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY source_id), 6)::DOUBLE AS percentage, string_agg('T' || k, ',' ORDER BY k) FILTER (WHERE n <= 5) AS examples FROM n GROUP BY 1, 2
+""")
+def relevance_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import audit
+
+    k = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("source_id"), F.when(k % 3 == 0, "include").when(k % 3 == 1, "review").otherwise("exclude").alias("relevance"), k, F.concat(F.lit("T"), k).alias("title_raw"))
+    found = audit.histogram(rows, ["source_id"], "relevance", ["o_orderkey"])
+    return found.select("source_id", "relevance", "rows", F.round("percentage", 6).alias("percentage"), F.array_join("examples", ",").alias("examples"))
+
+
+@query("""
+SELECT p_partkey, p_partkey % 4 IN (0, 3) AND p_size >= 10 AS picture FROM part
+""")
+def pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images that show something: neither inline data nor decoration, and no side under 100."""
+    from ..functions import links as L
+
+    k = F.col("p_partkey")
+    src = F.when(k % 4 == 1, F.concat(F.lit("/logo"), k, F.lit(".png"))).when(k % 4 == 2, F.lit("data:image/png;base64,x")).otherwise(F.concat(F.lit("/foto"), k, F.lit(".jpg")))
+    side = F.concat((F.col("p_size") * 10).cast("string"), F.when(k % 2 == 0, "px").otherwise(""))
+    return table(spark, sf_dir, "part").select("p_partkey", L.is_picture(src, F.lit(None).cast("string"), F.lit("bild"), side, F.lit("100%")).alias("picture"))
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN round(0.5 + CASE WHEN o_custkey % 3 = 0 THEN 0.3 ELSE 0 END + CASE WHEN o_custkey % 4 = 0 THEN 0.2 ELSE 0 END, 6) ELSE round(0.5 / 3 + CASE WHEN o_custkey % 3 = 0 THEN 0.3 ELSE 0 END + CASE WHEN o_custkey % 4 = 0 THEN 0.2 ELSE 0 END, 6) END AS confidence,
+  sha256('["' || o_orderpriority || '",' || CASE WHEN o_custkey % 2 = 0 THEN '"' || o_orderstatus || '"' ELSE 'null' END || ',null,"a\\"b",null,"{}"]') AS content_hash FROM orders
+""")
+def confidence_and_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    day = lambda n: F.date_add(F.lit("2026-01-01").cast("date"), n)
+    none = F.lit(None).cast("string")
+    score = T.confidence(F.lit("Sommer Fest"), F.when(k % 2 == 0, "fest, sommer").otherwise("fest am"), F.lit("2026-01-01").cast("date"), day((c % 3).cast("int")), F.lit("Saal"), F.when(c % 4 == 0, "saal.").otherwise("x"))
+    hashed = T.content_hash(F.col("o_orderpriority"), F.when(c % 2 == 0, F.col("o_orderstatus")), none, F.lit('a"b'), none, F.lit("{}"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.round(score, 6).alias("confidence"), hashed.alias("content_hash"))
+
+
+@query("""
+SELECT event_id, 'https://x.ch/a?' || CASE WHEN event_id % 2 = 0 THEN 'q=1&' ELSE '' END || 'datumVon=' || strftime(ts, '%d.%m.%Y') || '&datumBis=' || strftime(CAST(ts AS DATE) + 30, '%d.%m.%Y') AS url,
+  CASE WHEN event_id % 3 = 0 THEN 'Fest' ELSE 'Fest ' || event_id END AS title, CASE WHEN event_id % 5 = 0 THEN false ELSE true END AS plausible FROM events
+""")
+def windows_and_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing windows, titles without their site's suffix, and organizers that may be one."""
+    from ..functions import links as L
+
+    k, day = F.col("event_id"), F.to_date("ts")
+    base = F.concat(F.lit("https://x.ch/a?"), F.when(k % 2 == 0, "q=1&").otherwise(""), F.lit("datumVon=01.01.2020&datumBis=02.01.2020"))
+    title = F.when(k % 3 == 0, "Fest | Gemeinde").otherwise(F.concat(F.lit("Fest "), k))
+    name = F.when(k % 5 == 0, "").otherwise(F.concat(F.lit("Verein "), k))
+    return table(spark, sf_dir, "events").select("event_id", L.date_window(base, day, 30).alias("url"), T.without_suffix(title, "|").alias("title"), F.coalesce(T.plausible_organizer(name), F.lit(False)).alias("plausible"))

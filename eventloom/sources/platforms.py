@@ -129,6 +129,21 @@ def forum(pages: DataFrame) -> DataFrame:
     return first.select("source_id", "page", "pos", "item_url", "title_raw", F.concat_ws("T", "day", "time").alias("datetime_raw"), "location_raw", "category_raw")
 
 
+def forum_following(pages: DataFrame, kept: tuple[str, ...] = ("category", "region")) -> DataFrame:
+    """source_id, page and item_url: the page that follows each agenda page, as its button says, with the filters of the page's own URL put back. Pages without new rows have none."""
+    url = F.col("url")
+    listed = pages.select("source_id", "page", "url", read(F.col("html")).alias("p"))
+    items = listed.select("source_id", "page", "url", F.posexplode("p.rows").alias("pos", "r")).select("source_id", "page", "pos", L.resolve(url, F.col("r.href")).alias("item_url")).filter("item_url is not null")
+    fresh = until_nothing_new(items, "item_url", "page", ["source_id"], ["pos"]).select(F.col("source_id").alias("_s"), F.col("page").alias("_p")).distinct()
+    full = L.resolve(url, F.col("p.next_page"))
+    for name in kept:
+        own = T.extract(url, rf"[?&]({name}=[^&#]*)", 1)
+        joint = F.when(F.contains(full, F.lit("?")), "&").otherwise("?")
+        full = F.when(own.isNotNull() & ~full.rlike(rf"[?&]{name}="), F.concat(full, joint, own)).otherwise(full)
+    met = listed.filter("p.next_page is not null").join(fresh, F.col("source_id").eqNullSafe(F.col("_s")) & (F.col("page") == F.col("_p")), "left_semi")
+    return met.select("source_id", "page", full.alias("item_url"))
+
+
 RSS_DESCRIPTION = r"(?s)^\s*(\d{2}/\d{2}/\d{4})\s*-\s*(\d{2}:\d{2})\s*-\s*(\d{2}:\d{2})\s*<br\s*/>\s*(.+?)\s*<br\s*/>\s*(.+?)\s*<br\s*/>\s*(.+)"
 
 

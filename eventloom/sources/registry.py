@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import astuple, dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .platforms import SCANS
 
@@ -68,14 +69,22 @@ def table(spark: SparkSession, sources: tuple[Source, ...] = SOURCES) -> DataFra
 
 
 def read(pages: DataFrame, sources: tuple[Source, ...] = SOURCES) -> DataFrame:
-    """Items of all enabled sources from their captured pages, a scan each, of at most max_items a source."""
+    """Items of all enabled sources from their captured pages, at most max_items a source.
+
+    A scan reads the pages of all sources of its platform at once, so there are as many as platforms, and one quota follows for all.
+    """
+    from functools import reduce
+
     from ..operators.ordering import quota
 
     validated(sources)
-    out = None
-    for source in sources:
-        if source.enabled:
-            own = quota(SCANS[source.adapter](pages.filter(pages["source_id"] == source.source_id)), ["source_id"], ["page", "pos"], source.max_items)
-            own = own.select("source_id", "page", "pos", "item_url", *[c for c in ("title_raw", "datetime_raw", "location_raw") if c in own.columns])
-            out = own if out is None else out.unionByName(own, allowMissingColumns=True)
-    return out
+    enabled = [s for s in sources if s.enabled]
+    columns = ("source_id", "page", "pos", "item_url", "title_raw", "datetime_raw", "location_raw")
+    found = []
+    for adapter in sorted({s.adapter for s in enabled}):
+        own = SCANS[adapter](pages.filter(pages["source_id"].isin(*[s.source_id for s in enabled if s.adapter == adapter])))
+        found.append(own.select(*[c for c in columns if c in own.columns]))
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
+    limits = F.create_map(*[F.lit(x) for s in enabled for x in (s.source_id, s.max_items)])
+    ranked = quota(every, ["source_id"], ["page", "pos"], max(s.max_items for s in enabled), keep="_n")
+    return ranked.filter(F.col("_n") <= F.element_at(limits, F.col("source_id"))).drop("_n")

@@ -29,40 +29,77 @@ def upserted(target: DataFrame, rows: DataFrame, keys: list[str], newest: list[C
 
 
 class Table:
-    """A parquet table whose versions are folders; a small pointer file names the current one, so readers never see half a write."""
+    """A parquet table whose versions are folders. A version counts once a marker with the next number names it.
+
+    Markers are made by renaming a whole file to a number that isn't taken: readers see the version before or the one after,
+    and of two writers one finds its number taken and fails, with nothing lost. Reading takes the highest number.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _pointer(self):
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/current")
+    def _at(self, name: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
 
+    def number(self) -> int:
+        """The number of the current version; 0 without one."""
+        fs, folder = self._at("versions")
+        return max((int(f.getPath().getName()) for f in fs.listStatus(folder) if f.getPath().getName().isdigit()), default=0) if fs.exists(folder) else 0
+
     def exists(self) -> bool:
-        fs, path = self._pointer()
-        return fs.exists(path)
+        return self.number() > 0
 
     def read(self) -> DataFrame:
-        version = self.spark.read.text(f"{self.path}/current", wholetext=True).first()[0].strip()
+        version = self.spark.read.text(f"{self.path}/versions/{self.number()}", wholetext=True).first()[0].strip()
         return self.spark.read.parquet(f"{self.path}/{version}")
 
-    def write(self, df: DataFrame) -> None:
-        """Writes a whole version and then points to it."""
+    def write(self, df: DataFrame, after: int | None = None) -> None:
+        """Writes a whole version and then names it as the one after number `after` (the current one); raises if another was written meanwhile."""
+        after = self.number() if after is None else after
         version = f"v-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.path}/{version}")
-        fs, path = self._pointer()
-        out = fs.create(path, True)
+        fs, folder = self._at("versions")
+        fs.mkdirs(folder)
+        _, draft = self._at(f"versions/_{version}")
+        out = fs.create(draft, False)
         out.write(bytearray(version, "ascii"))
         out.close()
+        _, marker = self._at(f"versions/{after + 1}")
+        if fs.exists(marker) or not fs.rename(draft, marker):
+            fs.delete(draft, False)
+            raise RuntimeError(f"{self.path}: version {after + 1} was written by another writer")
 
     def upsert(self, rows: DataFrame, keys: list[str], newest: list[Column], dry_run: bool = False) -> int:
-        """Upserts rows and gives the number of those that would be written; a dry run only counts."""
+        """Upserts rows and gives the number of those that would be written; a dry run only counts.
+
+        Rows with a null among their keys can't be found again, so that a repeated batch would add them twice: they raise an error before anything is written.
+        """
+        bad = F.lit(False)
+        for k in keys:
+            bad |= F.col(k).isNull()
+        if not rows.filter(bad).isEmpty():
+            raise ValueError(f"null in {keys}")
         new = latest(rows, keys, newest)
         n = new.count()
-        if not dry_run:
-            self.write(upserted(self.read(), rows, keys, newest) if self.exists() else new)
+        if not dry_run and n:
+            after = self.number()
+            self.write(upserted(self.read(), rows, keys, newest) if after else new, after)
         return n
 
+    def find(self, **key) -> DataFrame:
+        """The rows with these values, read with the condition pushed to the files."""
+        out = self.read()
+        for k, v in key.items():
+            out = out.filter(F.col(k).eqNullSafe(F.lit(v)))
+        return out
+
+    def rows(self, columns: list[str] | None = None, most: int | None = None, **equal) -> DataFrame:
+        """Chosen columns of the rows with these values, `most` of them where given; only these columns are read."""
+        found = self.find(**equal)
+        found = found.select(*columns) if columns else found
+        return found.limit(most) if most is not None else found
+
 
 def run_id(source: Column, started: Column) -> Column:
     """The id of a run follows from what it is, so that a retried task gives the same."""

@@ -28,5 +28,20 @@ def counts(events: DataFrame, window: str = "1 hour", late: str = "1 day") -> Da
 
 
 def upsert_stream(events: DataFrame, table: Table, keys: list[str], newest: list[Column], checkpoint: str):
-    """Starts a query that upserts each micro-batch; a batch that is run again gives the same table."""
-    return events.writeStream.foreachBatch(lambda batch, _: table.upsert(batch, keys, newest)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """Starts a query that upserts each micro-batch; a batch that is run again gives the same table.
+
+    Rows with a null key go to a folder of their batch beside the table, which a repeated batch replaces.
+    """
+    bad = F.lit(False)
+    for k in keys:
+        bad |= F.col(k).isNull()
+
+    def write(batch: DataFrame, number: int) -> None:
+        held = batch.persist()
+        lost = held.filter(bad)
+        if not lost.isEmpty():
+            lost.write.mode("overwrite").json(f"{table.path}-quarantine/batch={number}")
+        table.upsert(held.filter(~bad), keys, newest)
+        held.unpersist()
+
+    return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -138,3 +138,63 @@ def test_extra(value):
     assert value(R.topic_tags(v, {"kids": "kinder", "art": "kunst"}), a=row) == ["kids"]
     m = lambda **kw: F.create_map(*[x for k, v in kw.items() for x in (F.lit(k), F.lit(v).cast("int"))])
     assert value(R.merged(m(a=1, b=2), m(b=0, c=None))) == {"a": 1, "b": 0}
+
+
+# documented cases
+
+RAW_TIMES = [
+    ("27. Feb. 2026, 19.30 Uhr - 21.00 Uhr", "2026-02-27", "2026-02-27 18:30", "2026-02-27 20:00", "datetime"), ("27. Feb. 2026, 19.30 Uhr", "2026-02-27", "2026-02-27 18:30", None, "datetime"),
+    ("21. März 2026", "2026-03-21", None, None, "date"), ("heute", None, None, None, None), ("abends", None, None, None, None), ("ab 19.00 Uhr", None, None, None, None), ("22. - 24. März", None, None, None, None),
+    ("06.01.2026 - 10.02.2026", "2026-01-06", None, None, "date"), ("6. Jan. 2026 - 10. Feb. 2026, 14.00 Uhr - 14.45 Uhr", "2026-01-06", "2026-01-06 13:00", "2026-02-10 13:45", "datetime"),
+    ("2026-01-22T15:00 | 2026-01-22T17:00", "2026-01-22", "2026-01-22 14:00", "2026-01-22 16:00", "datetime"), ("Samstag, 29. März 2026, 15:00 Uhr bis 16:30 Uhr", "2026-03-29", "2026-03-29 13:00", "2026-03-29 14:30", "datetime"),
+    ("3. Mär. 2026", "2026-03-03", None, None, "date"), ("2026-07-01T08:30Z", "2026-07-01", "2026-07-01 08:30", None, "datetime"), ("Sa, 24.01.2026, 15:00", "2026-01-24", "2026-01-24 14:00", None, "datetime"),
+    ("30. Februar 2026", None, None, None, None), ("2026-03-29T02:30", "2026-03-29", "2026-03-29 01:30", None, "datetime"), ("2026-10-25T02:30", "2026-10-25", "2026-10-25 00:30", None, "datetime"), ("", None, None, None, None),
+]
+
+PRICES_AND_AGES = [
+    ("Eintritt frei", "free", None, None, None), ("Kollekte", "donation", None, None, None), ("CHF 12.50", "paid", 12.5, None, None), ("Fr. 20", "paid", 20.0, None, None), ("auf Anfrage", "paid", None, None, None),
+    ("ab 6 Jahren", "paid", None, 6, None), ("4-8 Jahre, gratis", "free", None, 4, 8), ("3 bis 5 Jahre", "paid", None, 3, 5), ("Kinder ab 2, CHF 5,50", "paid", 5.5, 2, None), ("ab 0 Jahren", "paid", None, 0, None),
+]
+
+JSONLD = [
+    ('{"@type":"Event","startDate":"2026-01-22T15:00","endDate":"2026-01-22T17:00","offers":{"price":"12.5"}}', "2026-01-22T15:00 | 2026-01-22T17:00", "paid", 12.5),
+    ('{"@graph":[{"@type":"WebPage"},{"@type":["Event","Thing"],"startDate":"2026-02-01","offers":[{"price":"x"},{"price":0}]}]}', "2026-02-01", "free", None),
+    ('[{"@type":"Event"},{"@type":"Event","startDate":"2026-03-01"}]', "2026-03-01", None, None), ('{"@type":"MusicEvent","startDate":"2026-03-01"}', None, None, None), ("not json", None, None, None),
+]
+
+
+def test_raw_times(spark):
+    at = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm")
+    t = F.col("t")
+    rows = spark.createDataFrame([(i, r[0]) for i, r in enumerate(RAW_TIMES)], "id int, raw string").select("id", D.parse_time(F.col("raw")).alias("t"))
+    found = rows.select("id", t["start_date"].cast("string").alias("d"), at(t["start_at"]).alias("s"), at(t["end_at"]).alias("e"), t["precision"].alias("p")).orderBy("id").collect()
+    assert [tuple(r)[1:] for r in found] == [r[1:] for r in RAW_TIMES]
+
+
+@pytest.mark.parametrize(
+    "raw,start,end,at",
+    [
+        ("31.02.2026 - 01.03.2026", None, None, None), ("29.02.2028 - 01.03.2028", "2028-02-29", "2028-03-01", None), ("1. Mai 2026 bis 99. Juni 2026, 10.00 Uhr", "2026-05-01", None, None), ("1. Foo 2026", None, None, None),
+        ("Am 3. Mai 2026, 25.00 Uhr", "2026-05-03", None, None), ("vorher 1. Mai 2026 / 6. Juni 2026 - 7. Juni 2026", "2026-06-06", "2026-06-07", None), ("5.1.2026 9:05", "2026-01-05", None, "2026-01-05 08:05"), (None, None, None, None), ("x\ny 4. Dez. 2026\n", "2026-12-04", None, None),
+        ("2026-13-01", None, None, None), ("2026-01-01T10:00+02:00", "2026-01-01", None, "2026-01-01 08:00"), ("١. Mai 2026", None, None, None), ("a" * 5000 + " 4. Mai 2026", "2026-05-04", None, None),
+    ],
+)
+def test_times_that_hardly_fit(value, raw, start, end, at):
+    t = value(D.parse_time(F.col("a")), a=raw)
+    assert (t is None) == (start is None)
+    if t is not None:
+        assert (str(t["start_date"]), t["end_date"] and str(t["end_date"]), t["start_at"] and t["start_at"].strftime("%Y-%m-%d %H:%M")) == (start, end, at)
+
+
+def test_prices_and_ages(spark):
+    rows = spark.createDataFrame([(i, r[0]) for i, r in enumerate(PRICES_AND_AGES)], "id int, raw string")
+    p, a = T.price(F.col("raw")), T.age(F.col("raw"))
+    found = rows.select("id", p["price_type"], p["price_from_chf"], a["age_min"], a["age_max"]).orderBy("id").collect()
+    assert [tuple(r)[1:] for r in found] == [r[1:] for r in PRICES_AND_AGES]
+
+
+def test_jsonld_shapes(spark):
+    rows = spark.createDataFrame([(i, r[0]) for i, r in enumerate(JSONLD)], "id int, doc string")
+    p = R.event_price(F.col("doc"))
+    found = rows.select("id", T.blank_to_null(R.event_time(F.col("doc"))), p["price_type"], p["price_from_chf"]).orderBy("id").collect()
+    assert [tuple(r)[1:] for r in found] == [r[1:] for r in JSONLD]

@@ -1,6 +1,7 @@
 """Operators, scans, sinks and streams on small rows."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,8 +37,39 @@ def test_near_tie_needs_review(spark):
     banned = spark.createDataFrame([("noise",)], "t string")
     pairs = linkage.scored_pairs(a, b, banned=banned)
     assert {r["happening_id"] for r in pairs.collect()} == {10, 11}
-    assert linkage.decide(pairs, margin=0.0).first()["decision"] == "merge"
-    assert linkage.decide(pairs, margin=0.5).first()["decision"] == "needs_review"
+    decisions = lambda margin: {r["source_happening_id"]: r["decision"] for r in linkage.decide(a, b, margin=margin, banned=banned).collect()}
+    assert decisions(0.0) == {1: "merge", 2: "create"} and decisions(0.3) == {1: "needs_review", 2: "create"}
+
+
+def test_every_source_is_decided(spark):
+    day = dt.date(2026, 7, 1)
+    schema = "id int, title string, start_date date, venue string"
+    a = spark.createDataFrame([(1, "sommer fest", day, "saal"), (2, "anderes", dt.date(2026, 8, 1), "x"), (3, " ", day, "x"), (4, "ohne tag", None, "x"), (5, "sommer fest am see", day, "saal")], schema)
+    b = spark.createDataFrame([(10, "Sommer Fest", day, "saal"), (11, "ohne tag", None, "x")], schema)
+    found = {r["source_happening_id"]: (r["happening_id"], r["decision"]) for r in linkage.decide(a, b).collect()}
+    assert found == {1: (10, "merge"), 2: (None, "create"), 3: (None, "needs_review"), 4: (None, "needs_review"), 5: (None, "create")}
+    links = linkage.linked(linkage.decide(a, b), F.lit(20)).collect()
+    assert [(r["source_happening_id"], r["happening_id"]) for r in links] == [(1, 10)]
+    assert {r["source_happening_id"]: r["status"] for r in linkage.statuses(linkage.decide(a, b)).collect()} == {1: "processed", 2: "processed", 3: "needs_review", 4: "needs_review", 5: "processed"}
+    assert linkage.decide(a.limit(0), b).count() == 0 and {r["decision"] for r in linkage.decide(a, b.limit(0)).collect()} == {"create", "needs_review"}
+
+
+@pytest.mark.parametrize("floor", [0.55, 0.6, 0.7, 0.85])
+def test_pairs_by_brute_force(spark, floor):
+    r = random.Random(3)
+    words = ["fest", "markt", "kinder", "am", "see", "der", "musik", "und"]
+    row = lambda i: (i, " ".join(r.choices(words, k=r.randint(0, 5))), r.choice([None, dt.date(2026, 7, 1), dt.date(2026, 7, 2)]), r.choice(["saal", "saal nord", "", None]))
+    schema = "id int, title string, start_date date, venue string"
+    left, right = [row(i) for i in range(60)], [row(i) for i in range(100, 170)]
+    like = lambda x, y: 1.0 if not x and not y else len(x & y) / len(x | y)
+    expected = set()
+    for i, t, d, v in left:
+        for j, u, e, w in right:
+            score = 0.5 * like({*t.split()}, {*u.split()}) + 0.3 * (d is not None and d == e) + 0.2 * like({*(v or "").split()}, {*(w or "").split()})
+            if score >= floor:
+                expected.add((i, j, round(score, 6)))
+    found = linkage.scored_pairs(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), floor, any_day=True).collect()
+    assert len(found) == len(expected) and {(x["source_happening_id"], x["happening_id"], round(x["score"], 6)) for x in found} == expected
 
 
 def test_precedence_and_provenance(spark):
@@ -151,14 +183,81 @@ def test_feeds_and_calendars(spark):
 def test_table_upserts(spark, tmp_path):
     t = sinks.Table(spark, str(tmp_path / "t"))
     rows = lambda *r: spark.createDataFrame(r, "k int, v string, at int")
-    assert t.upsert(rows((1, "a", 1), (1, "b", 2), (2, "c", 1)), ["k"], [F.desc("at")]) == 2
+    assert not t.exists() and t.upsert(rows((1, "a", 1), (1, "b", 2), (2, "c", 1)), ["k"], [F.desc("at")]) == 2
     t.upsert(rows((2, "d", 3), (3, "e", 3)), ["k"], [F.desc("at")])
     t.upsert(rows((9, "x", 3)), ["k"], [F.desc("at")], dry_run=True)
     assert sorted_rows(t.read().select("k", "v")) == [(1, "b"), (2, "d"), (3, "e")]
+    assert [r["v"] for r in t.find(k=2).collect()] == ["d"] and t.rows(["v"], 1, k=3).collect()[0].asDict() == {"v": "e"} and t.find(k=9).count() == 0
+    with pytest.raises(ValueError):
+        t.upsert(rows((None, "n", 1)), ["k"], [F.desc("at")])
+    # of two writers that began with the same version one fails and loses nothing
+    with pytest.raises(RuntimeError):
+        t.write(rows((7, "y", 1)), after=1)
+    assert t.number() == 2 and t.read().count() == 3
     sinks.append(rows((1, "a", 1)).withColumn("source_id", F.lit("s")), str(tmp_path / "raw"))
     assert spark.read.parquet(str(tmp_path / "raw")).count() == 1
 
 
+def test_pages_are_fetched_by_host(spark):
+    """A page that is busy once, one that is missing, one that nobody serves, and one in another character set."""
+    import json
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    from eventloom.sources import http
+
+    asked = []
+
+    class Site(BaseHTTPRequestHandler):
+        def do_GET(self):
+            asked.append(self.path)
+            status = 429 if self.path == "/always" or (self.path == "/busy" and asked.count("/busy") < 3) else 404 if self.path == "/gone" else 200
+            self.send_response(status)
+            self.send_header("Content-Type", "text/html; charset=iso-8859-1")
+            self.end_headers()
+            self.wfile.write(f"<p>für {self.path} {self.headers['User-Agent']}</p>".encode("iso-8859-1"))
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Site)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    spark.dataSource.register(http.Pages)
+    urls = [["a", f"{base}/busy"], ["a", f"{base}/gone"], [None, "http://127.0.0.1:1/"], ["b", f"{base}/always"], ["b", "no url"]]
+    found = {r["page"]: r for r in spark.read.format("eventloom_pages").option("urls", json.dumps(urls)).option("wait", "0.01").option("agent", "me").load().collect()}
+    assert (found[0]["status"], found[0]["html"], found[1]["status"], found[3]["status"]) == (200, "<p>für /busy me</p>", 404, 429)
+    assert found[2]["error"] and found[4]["error"] and asked.count("/busy") == asked.count("/always") == 3 and found[2]["source_id"] is None
+    assert spark.read.format("eventloom_pages").load().count() == 0
+    server.shutdown()
+
+
+def test_first_details_and_runs(spark):
+    items = spark.createDataFrame([(1, None), (2, "own"), (3, "")], "key int, label string")
+    details = spark.createDataFrame([(1, 2, "late", "x"), (1, 1, None, None), (1, 1, "early", "y"), (3, 1, "z", None)], "key int, at int, label string, more string")
+    got = sync.enriched(items, details, "key", ["label"], ["more"], ["at"])
+    assert sorted_rows(got.select("key", "label", "more")) == [(1, "early", "y"), (2, "own", None), (3, "z", None)]
+    start = dt.datetime(2026, 1, 1)
+    events = spark.createDataFrame([("x", "B", dt.datetime(2026, 1, 2), None), ("x", "A", start, None), ("x", "C", start, dt.datetime(2026, 1, 3))], "external_id string, title string, start_at timestamp, end_at timestamp")
+    h, o, c = sync.bridged(events, "s", F.lit("2026-01-01").cast("timestamp"))
+    assert h.first()["title"] == "C" and o.first()["start_date"] == dt.date(2026, 1, 1) and c.count() == 3
+    sources = spark.createDataFrame([("a",), ("b",)], "source_id string")
+    surfaces = spark.createDataFrame([("a", "listing", True, 3, 0, 1, False), ("a", "detail", False, 0, 1, 0, None)], "source_id string, kind string, ok boolean, items int, failed int, skipped int, breaker_open boolean")
+    runs = sync.open_runs(sources, F.lit("2026-01-01").cast("timestamp"))
+    assert {r["status"] for r in runs.collect()} == {"running"} and runs.select("id").distinct().count() == 2
+    errors = spark.createDataFrame([("b", "timeout")], "source_id string, error_message string")
+    closed = {r["source_id"]: r for r in sync.close_runs(runs, surfaces, F.lit("2026-01-02").cast("timestamp"), errors).collect()}
+    assert (closed["a"]["status"], closed["a"]["surfaces_attempted"], closed["a"]["dom_items_visible"], closed["a"]["items_failed"], closed["a"]["items_skipped"]) == ("success", 2, 3, 1, 1)
+    assert (closed["b"]["status"], closed["b"]["error_message"], closed["b"]["surfaces_attempted"], closed["b"]["circuit_breaker_triggered"]) == ("failed", "timeout", 0, False)
+
+
+def test_images_of_all_shapes(spark):
+    docs = ['{"@type":"Event","image":"/a.jpg"}', '{"@type":"Event","image":["/b.jpg"]}', '{"@type":"Event","image":{"url":"/c.jpg"}}', '{"@type":"Event","image":[{"url":"/d.jpg"},{"url":"/e.jpg"}]}']
+    rows = [(i, f'<script type="application/ld+json">{d}</script>') for i, d in enumerate(docs)]
+    got = spark.createDataFrame(rows, "i int, html string").select("i", P.image(read(F.col("html")), F.lit("https://x.ch/")).alias("u")).orderBy("i").collect()
+    assert [r["u"] for r in got] == [f"https://x.ch/{c}.jpg" for c in "abcd"]
+
+
 def test_ledger(spark):
     runs = spark.createDataFrame([("r1", "s")], "id string, source_id string")
     items = spark.createDataFrame([("s", "u", "t", None), ("s", "u", "t2", None), ("s", None, "t", "x")], "source_id string, item_url string, title_raw string, datetime_raw string")
