@@ -235,28 +235,13 @@ def _near(x: np.ndarray, ring: np.ndarray, bits: int, limit: int) -> np.ndarray:
     return left
 
 
-def similar_links(nodes: DataFrame, similarity: float, bits: int, tables: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate edges a, b between nodes (node, fp: long fingerprints) that look similar, and the rows (node, table, key) of keys of many.
-
-    Two fingerprints meet where one of `tables` keys of `bits` is equal. Rows of a key are sorted next to each other. Of
-    a few rows all pairs are compared, side by side for all keys of a batch; more rows are compared in their task, RUN at a
-    time, and give a spanning forest and each row's nearest one. Of earlier rows only those that nothing linked stay, so
-    that a task's memory is bounded by the texts of a key that are not alike. Pairs of such keys that this leaves out are
-    up to `apart_links`.
-    """
-    spark = nodes.sparkSession
+def _key_rows(nodes: DataFrame, bits: int, tables: int) -> DataFrame:
+    """table, key, node and fp: each node at each of its keys."""
     kind = nodes.schema["node"].dataType.simpleString()
-    limit, orders = differing(similarity), rings(tables, bits)
+    orders = rings(tables, bits)
     powers = (1 << np.arange(bits, dtype=np.int64))[::-1]
-    key_fields = spark.createDataFrame([], f"table int, key bigint, node {kind}, fp binary").schema
-    # an edge has no table and key; a row of a key of many has no b
-    edge_fields = spark.createDataFrame([], f"a {kind}, b {kind}, table int, key bigint").schema
-    key_arrow, edge_arrow = _arrow_schema(key_fields), _arrow_schema(edge_fields)
-
-    def edge_rows(a, b, tables, keys):
-        more = len(a) - len(tables)
-        columns = [a, b + [None] * len(tables), [None] * more + tables, [None] * more + keys]
-        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, edge_arrow)], schema=edge_arrow)
+    fields = nodes.sparkSession.createDataFrame([], f"table int, key bigint, node {kind}, fp binary").schema
+    arrow = _arrow_schema(fields)
 
     def keyed(batches):
         for batch in batches:
@@ -266,7 +251,28 @@ def similar_links(nodes: DataFrame, similarity: float, bits: int, tables: int) -
                 every = np.unpackbits(np.frombuffer(b"".join(fp.to_pylist()), np.uint8).reshape(-1, LONG // 8), axis=1)
                 for t in range(tables):
                     keys = every[:, orders[t, :bits]].astype(np.int64) @ powers
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), t, np.int32)), pa.array(keys), node, fp], schema=key_arrow)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), t, np.int32)), pa.array(keys), node, fp], schema=arrow)
+
+    return nodes.select("node", "fp").mapInArrow(keyed, fields)
+
+
+def similar_links(nodes: DataFrame, similarity: float, bits: int, tables: int) -> DataFrame:
+    """Candidate edges a, b between nodes (node, fp: long fingerprints) that look similar; those of keys of many also have their table and key.
+
+    Two fingerprints meet where one of `tables` keys of `bits` is equal. Rows of a key are sorted next to each other. Of
+    a few rows all pairs are compared, side by side for all keys of a batch; more rows are compared in their task, RUN at a
+    time, and give a spanning forest of those that look similar. Of earlier rows only those that nothing linked stay, so
+    that a task's memory is bounded by the texts of a key that are not alike; such a key of several runs is a row without a and b.
+    A forest whose edges all hold joins all that its key can; the keys of others are up to `apart_links`.
+    """
+    kind = nodes.schema["node"].dataType.simpleString()
+    limit, orders = differing(similarity), rings(tables, bits)
+    edge_fields = nodes.sparkSession.createDataFrame([], f"a {kind}, b {kind}, table int, key bigint").schema
+    edge_arrow = _arrow_schema(edge_fields)
+
+    def edge_rows(a, b, tables, keys):
+        few = len(a) - len(tables)
+        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip([a, b, [None] * few + tables, [None] * few + keys], edge_arrow)], schema=edge_arrow)
 
     def compare(batches):
         carried = None  # rows of the last key, few, whose others may follow
@@ -297,24 +303,29 @@ def similar_links(nodes: DataFrame, similarity: float, bits: int, tables: int) -
                 two.append(at + d)
             first, second = np.concatenate(one), np.concatenate(two)
             a, b = node.take(pa.array(first)).to_pylist(), node.take(pa.array(second)).to_pylist()
-            rows = []
+            of_table, of_key = [], []
             for i in np.flatnonzero(~few).tolist():
                 if carried is not None and i == len(starts) - 1:
                     break
                 here = (int(table[starts[i]]), int(key[starts[i]]))
-                rows += range(int(starts[i]), int(ends[i]))
                 names, prints = (list(large[1]), large[2]) if large is not None and large[0] == here else ([], np.zeros((0, LONG // 8), np.uint8))
                 for at in range(int(starts[i]), int(ends[i]), RUN):
                     stop = min(int(ends[i]), at + RUN)
+                    if names:  # rows that an earlier run's forest holds aren't compared with this one
+                        a.append(None)
+                        b.append(None)
+                        of_table.append(here[0])
+                        of_key.append(here[1])
                     names += node.slice(at, stop - at).to_pylist()
                     prints = np.concatenate([prints, fps[at:stop]])
                     found, roots = _forest(prints, orders[here[0]], bits, limit)
-                    found += _nearest(prints, limit)
                     a += [names[x] for x, _ in found]
                     b += [names[y] for _, y in found]
+                    of_table += [here[0]] * len(found)
+                    of_key += [here[1]] * len(found)
                     names, prints = [names[x] for x in roots], prints[roots]
                 large = (here, names, prints)
-            yield edge_rows(a + node.take(pa.array(rows, pa.int64())).to_pylist(), b, table[rows].tolist(), key[rows].tolist())
+            yield edge_rows(a, b, of_table, of_key)
         if carried is not None and carried.num_rows > 1:
             names = carried.column(2).to_pylist()
             prints = np.frombuffer(b"".join(carried.column(3).to_pylist()), np.uint8).reshape(-1, LONG // 8)
@@ -322,18 +333,15 @@ def similar_links(nodes: DataFrame, similarity: float, bits: int, tables: int) -
             found = np.argwhere(np.triu(apart <= limit, 1)).tolist()
             yield edge_rows([names[x] for x, _ in found], [names[y] for _, y in found], [], [])
 
-    rows = nodes.select("node", "fp").mapInArrow(keyed, key_fields)
-    dealt = rows.repartition("table", "key").sortWithinPartitions("table", "key", "node")
-    found = stored(dealt.mapInArrow(compare, edge_fields))
-    edges = found.filter("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return edges, found.filter("b is null").select(F.col("a").alias("node"), "table", "key")
+    dealt = _key_rows(nodes, bits, tables).repartition("table", "key").sortWithinPartitions("table", "key", "node")
+    return dealt.mapInArrow(compare, edge_fields).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "table", "key").distinct()
 
 
-def apart_links(shared: DataFrame, nodes: DataFrame, roots: DataFrame, similarity: float, bits: int, tables: int) -> DataFrame:
-    """Every pair a, b of rows of a key (shared: node, table, key) that looks similar and isn't linked by `roots` yet, in no certain order.
+def apart_links(keys: DataFrame, nodes: DataFrame, roots: DataFrame, similarity: float, bits: int, tables: int) -> DataFrame:
+    """Every pair a, b of rows of one of the keys (table, key) that looks similar and isn't linked by `roots` yet, in no certain order.
 
-    A forest's edges may fail the exact check, so all pairs between different groups are compared; those within one need no other link.
-    Only keys that hold several groups are read. A pair is given by the first key that it shares. A key's rows are dealt into blocks of
+    Where a forest's edge fails the exact check, all pairs of its key between different groups are compared; those within one need no other link.
+    A pair is given by the first key that it shares. A key's rows are dealt into blocks of
     some RUN rows and each pair of blocks is a tile of its own, so that a task holds two blocks however many rows a key has.
     """
     kind = nodes.schema["node"].dataType.simpleString()
@@ -347,7 +355,7 @@ def apart_links(shared: DataFrame, nodes: DataFrame, roots: DataFrame, similarit
     named = nodes.join(roots.select(F.col("node").alias("_node"), "root"), F.col("node") == F.col("_node"), "left").select(
         F.col("node").alias("_node"), "fp", F.coalesce("root", "node").alias("root")
     )
-    rows = stored(shared.join(named, F.col("node") == F.col("_node")).select("table", "key", "node", "fp", "root"))
+    rows = stored(_key_rows(nodes, bits, tables).select("table", "key", "node").join(keys, ["table", "key"]).join(named, F.col("node") == F.col("_node")).select("table", "key", "node", "fp", "root"))
     counted = rows.groupBy("table", "key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("n")).filter("least != most")
     several = counted.select("table", "key", F.ceil(F.col("n") / RUN).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node", "table"), F.col("blocks")).cast("int")
@@ -409,18 +417,6 @@ def _forest(prints: np.ndarray, ring: np.ndarray, bits: int, limit: int) -> tupl
     return out, roots
 
 
-def _nearest(prints: np.ndarray, limit: int) -> list[tuple[int, int]]:
-    """Each fingerprint with its nearest other one within the limit."""
-    out, wide = [], np.ascontiguousarray(prints).view(np.uint64)
-    for i in range(len(wide)):
-        apart = np.bitwise_count(wide ^ wide[i]).sum(axis=1, dtype=np.int64)
-        apart[i] = LONG + 1
-        k = int(apart.argmin())
-        if apart[k] <= limit:
-            out.append((i, k))
-    return out
-
-
 def similar_enough(edges: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, similarity: float) -> DataFrame:
     """The edges a, b of nodes whose texts' sets of n-word shingles have that Jaccard similarity or more.
 
@@ -467,11 +463,15 @@ def _similar(docs: DataFrame, n: int, similarity: float, found: float) -> tuple[
     bits = max(LEAST_BITS, nodes.count().bit_length() + 2)
     p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     tables = int(np.ceil(np.log(1 - found) / np.log1p(-((1 - p) ** bits))))
-    candidates, shared = similar_links(nodes, similarity, bits, tables)
-    edges = stored(similar_enough(stored(candidates), nodes, docs, n, similarity))
+    candidates = stored(similar_links(nodes, similarity, bits, tables))
+    pairs = candidates.filter("a is not null").select("a", "b").distinct()
+    edges = stored(similar_enough(pairs, nodes, docs, n, similarity))
     roots = components(edges)
-    if not shared.isEmpty():
-        apart = stored(apart_links(shared, nodes, roots, similarity, bits, tables))
+    held_edges = edges.select(F.col("a").alias("_a"), F.col("b").alias("_b"))
+    broken = candidates.filter("table is not null").join(held_edges, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti")
+    keys = stored(broken.select("table", "key").distinct())
+    if not keys.isEmpty():
+        apart = stored(apart_links(keys, nodes, roots, similarity, bits, tables))
         if not apart.isEmpty():
             roots = components(edges.unionByName(similar_enough(apart, nodes, docs, n, similarity)))
     rooted = checkpointed(nodes.select("digest", "least", "node").join(roots, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root")))
