@@ -62,21 +62,25 @@ def codes_of(text: str) -> np.ndarray:
 
 def fit(
     rows: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id", per_language: int = 400, languages: int = 1024,
-    gram: int = 4, least: int = 3, slot_bits: int = 21, hashes: int = 2,
+    gram: int = 4, least: int = 3, slot_bits: int = 21, hashes: int = 2, longest: int = 1 << 22,
 ) -> BloomModel:
     """Fits the filters on a bounded sample of labelled rows.
 
-    The sample is `per_language` ids of each language, those with the smallest hashes, with their whole texts, of the
-    `languages` with the most rows (ties by name). An n-gram counts for a language if `least` of its sampled rows hold it
+    The sample is `per_language` ids of each language, those with the smallest hashes, with their whole texts but for those of over
+    `longest` bytes, of the `languages` with the most ids (ties by name); these parameters bound what the driver gets. An n-gram counts for a language if `least` of its sampled rows hold it
     (fewer for a language with few rows). Rows without id, text or language teach nothing; of rows with equal id and
-    language the smallest text does. Only ids are ranked and shuffled; texts are read for the sample alone.
+    language the smallest text does. Only ids are counted and ranked, and of these only some four times as many as are wanted,
+    below a hash that follows from the language's number of ids; texts are read for the sample alone.
     """
     labelled = rows.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(id_col).isNotNull())
-    keys = labelled.select(F.col(lang).cast("string").alias("l"), F.col(id_col).alias("i"))
-    most = keys.groupBy("l").count().orderBy(F.desc("count"), "l").limit(languages).select("l")
-    order = Window.partitionBy("l").orderBy(F.xxhash64(F.col("i").cast("string"), F.lit("language sample")), "i")
-    ids = keys.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language).join(F.broadcast(most), "l", "left_semi").select("l", "i")
-    texts = labelled.select(F.col(lang).cast("string").alias("l"), F.col(id_col).alias("i"), F.col(text).alias("t")).join(F.broadcast(ids.distinct()), ["l", "i"], "left_semi")
+    keys = labelled.select(F.col(lang).cast("string").alias("l"), F.col(id_col).alias("i")).distinct()
+    most = keys.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(languages)
+    # the hash as a number from 0 to 1; of n of them some 4 k lie below 4 k / n, and fewer than k never in practice
+    share = (F.xxhash64(F.col("i").cast("string"), F.lit("language sample")) / F.lit(2.0**64)) + F.lit(0.5)
+    below = keys.withColumn("share", share).join(F.broadcast(most), "l").filter(F.col("share") * F.col("n") <= 4 * per_language + 64)
+    order = Window.partitionBy("l").orderBy("share", "i")
+    ids = below.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language).select("l", "i")
+    texts = labelled.select(F.col(lang).cast("string").alias("l"), F.col(id_col).alias("i"), F.col(text).alias("t")).join(F.broadcast(ids), ["l", "i"], "left_semi").filter(F.octet_length("t") <= longest)
     sample = texts.groupBy("l", "i").agg(F.min("t").alias("t"))
     by: dict[str, list[str]] = {}
     for row in sample.toLocalIterator():
