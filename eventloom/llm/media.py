@@ -406,22 +406,34 @@ CLIP = "struct<clip:int,start_s:double,end_s:double,frames:int,mean_level:double
 
 
 def clip_rows(df: DataFrame, key: str, media: str) -> DataFrame:
-    """The key and one timed row for each clip of the AVI file in a binary column.
+    """The key and one timed row for each clip of the AVI file in a binary column, or one row with `error` for a file that can't be read.
 
-    Null and empty files have no clips, a file of no frames none; anything else that is no AVI file raises.
-    Repeated rows give repeated clips; only the two columns are read.
+    Null and empty files have no clips, a file of no frames none. What is no AVI file, cut short or broken inside says so in `error` and
+    stops nothing else. Repeated rows give repeated clips; only the two columns are read.
     """
     kind = df.schema[key].dataType.simpleString()
 
+    def one(file):
+        try:
+            return described([file])[0]["clips"], None
+        except Exception as error:  # noqa: BLE001  whatever a broken file brings about
+            return None, f"{type(error).__name__}: {error}"
+
     def make():
         def apply(keys, files):
-            found = iter(described([f for f in files if f]))
-            return {"k": keys, "clips": [next(found)["clips"] if f else [] for f in files]}
+            some = [f for f in files if f]
+            try:
+                found = iter([(x["clips"], None) for x in described(some)])
+            except Exception:  # noqa: BLE001  one of them is broken
+                found = iter([one(f) for f in some])
+            every = [next(found) if f else ([], None) for f in files]
+            return {"k": keys, "clips": [c for c, _ in every], "error": [e for _, e in every]}
 
         return apply
 
-    rows = on_arrow(df, [F.col(key), F.col(media)], make, f"k {kind}, clips array<{CLIP}>")
-    return rows.select(F.col("k").alias(key), F.explode("clips").alias("c")).select(key, "c.*")
+    rows = on_arrow(df, [F.col(key), F.col(media)], make, f"k {kind}, clips array<{CLIP}>, error string")
+    held = rows.filter(F.col("error").isNotNull() | (F.size("clips") > 0))
+    return held.select(F.col("k").alias(key), F.explode_outer("clips").alias("c"), "error").select(key, "c.*", "error")
 
 
 def stored_media(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
