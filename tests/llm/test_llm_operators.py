@@ -187,6 +187,19 @@ def test_media_any_bytes_and_any_decoder():
         media.parse(b"RIFF____WAVE")
 
 
+def test_broken_files_stop_nothing(spark):
+    good = media.store([media.payload(b"some bytes" * 200)])[0]
+    broken = [b"RIFF____WAVE", good[: len(good) // 2], good[:300], good.replace(b"\xff\xd8", b"\x00\x00"), b"x", good.replace(b"\xff\xc0", b"\xff\xfe")]
+    rows = [(i, f, 0, "e") for i, f in enumerate([good, None, b"", *broken, good])]
+    found = media.clip_rows(spark.createDataFrame(rows, "k int, media binary, clip int, error string"), "k", "media").collect()
+    by = collections.defaultdict(list)
+    for r in found:
+        by[r["k"]].append(r)
+    last = len(rows) - 1
+    assert 1 not in by and 2 not in by and [r["error"] for r in by[0]] == [None] * len(by[0]) and [r["end_s"] for r in by[0]] == [r["end_s"] for r in by[last]]
+    assert all((r["clip"] is None) == (r["error"] is not None) for r in found) and by[3][0]["error"] and by[7][0]["error"]
+
+
 def test_shots_find_a_cut():
     dark, light = np.full(576, 30, np.uint8), np.full(576, 220, np.uint8)
     assert media.shots(media.histograms([dark] * 5 + [light] * 4)) == [(0, 5), (5, 9)]
@@ -230,6 +243,77 @@ def test_lattice_sums_all_segmentations():
     assert abs(np.exp(fitted.logs[fitted.starts, 0]).sum() - 1) < 1e-9
 
 
+def split_up(word, texts, starts, logs, stop):
+    """Every segmentation of a word: its pieces and log probability, in one class."""
+    on, off, marked = np.log1p(-stop), np.log(stop), lattice.MARK + word
+    out = []
+
+    def walk(at, pieces, log):
+        if at == len(marked):
+            out.append((pieces, log + off))
+            return
+        for end in range(at + 1, len(marked) + 1):
+            i = texts.get(marked[at:end])
+            if i is not None and starts[i] == (at == 0):
+                walk(end, [*pieces, i], log + logs[i] + (on if at else 0))
+            elif at and end == at + 1:
+                n = len(marked[at].encode())
+                walk(end, pieces, log + n * (on + np.log(lattice.BYTES / 256)))
+
+    walk(0, [], 0.0)
+    return out
+
+
+def test_score_by_brute_force(spark):
+    """All of a small corpus with plain sums: expected counts over all segmentations, discounts, and texts word by word."""
+    r, path = random.Random(17), public_tokenizers.path("piece_bpe_32k.model")
+    kinds = [["the", "of", "and", "sea", "old", "ab"], ["der", "die", "und", "ein", "äß"], ["漢字", "the", "x9", "qq"]]
+    rows = [(i, " ".join(r.choices(kinds[i % 3], k=r.randint(0, 14)))) for i in range(60)] + [(60, None), (61, "zzz THE")]
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # words that go over several batches
+    try:
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+        found = {x["doc_id"]: x["score"] for x in lattice.score(docs, path, classes=2, block=300).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    words = {i: [w.decode() for w in utf8(t).lower().split()] for i, t in rows}
+    train = [(i, t) for i, t in rows if not held(i)]
+    mixed = {x["doc_id"]: x["h"] for x in docs.selectExpr("doc_id", "xxhash64(cast(doc_id as string), 'class sample') as h").collect()}
+    classes = lattice.fit([t for i, t in sorted(train, key=lambda x: (mixed[x[0]], x[1] is not None, x[1] or ""))], 2)
+    of = {i: classes.of(t) for i, t in train}
+    number = len(classes.prior)
+    counts = [collections.Counter(w for i, _ in train if of[i] == k for w in words[i]) for k in range(number)]
+    texts_of = np.array([sum(of[i] == k for i, _ in train) for k in range(number)], float)
+    pieces = lattice.vocabulary(lattice.read_pieces(path), number)
+    index = {t: i for i, t in enumerate(pieces.texts)}
+    for _ in range(2):
+        expected = np.zeros((len(pieces.texts), number))
+        for k in range(number):
+            for w in counts[k]:
+                ways = split_up(w, index, pieces.starts, pieces.logs[:, k], pieces.stop[k])
+                total = np.logaddexp.reduce([x for _, x in ways])
+                for own, log in ways:
+                    np.add.at(expected[:, k], own, np.exp(log - total))
+        pieces = pieces.fitted(expected, np.array([len(c) for c in counts], float))
+    every = sum(counts, collections.Counter())
+    for i, own in words.items():
+        total = -np.inf
+        for k in range(number):
+            tokens, values = sum(counts[k].values()), list(counts[k].values())
+            once, twice = values.count(1), values.count(2)
+            d = min(max(once / max(once + 2 * twice, 1) if once else 0.5, 0.1), 0.9)
+            free = min(max(d * len(counts[k]) / tokens, 1e-6), 1)
+            end = (texts_of[k] + 0.5) / (tokens + texts_of[k] + 1)
+            log, drawn = np.log((texts_of[k] + 0.5) / (len(train) + 0.5 * number)) + np.log(end), collections.Counter()
+            for n, w in enumerate(own):
+                p = max(counts[k][w] - d, 0) / tokens + free * (1 - lattice.TO_LATTICE) * every[w] / sum(every.values())
+                p += free * lattice.TO_LATTICE * np.exp(np.logaddexp.reduce([x for _, x in split_up(w, index, pieces.starts, pieces.logs[:, k], pieces.stop[k])]))
+                log += np.log1p(-end) + np.log((lattice.URN * p + drawn[w]) / (lattice.URN + n))
+                drawn[w] += 1
+            total = np.logaddexp(total, log)
+        assert abs(found[i] - total / np.log(10)) < 1e-4 * (1 + len(own)), i
+
+
 # 4
 
 
@@ -484,6 +568,21 @@ def test_mixing(docs, none):
     assert mixed.columns == docs.columns
 
 
+def test_mix_comes_near_its_targets(spark):
+    """Each source's taken words at sf0.1: within 1 % of its target and within the size of its largest document."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    source = {r["doc_id"]: r["source"] for r in docs.select("doc_id", "source").collect()}
+    per = collections.defaultdict(lambda: [0, 0.0, 0])
+    for r in mixing.copies(docs).collect():
+        own = per[source[r["doc_id"]]]
+        own[0] += r["size"] * r["copies"]
+        own[1], own[2] = r["target"], max(own[2], r["size"])
+    assert len(per) == 20 and all(abs(taken - target) <= min(0.01 * target, largest) for taken, target, largest in per.values())
+    many = spark.createDataFrame([(None, f"a b c {i}", s, "x") for i in range(300) for s in ("p", "q")], "doc_id long, text string, source string, copies string")
+    taken = mixing.copies(many)
+    assert taken.count() == 600 and mixing.mixed(many).columns == many.columns
+
+
 # 7
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p><article>";</script></head><body><header><h2>Site</h2></header><nav><ul><li><a href="/a">Menu</a></li></ul></nav>
@@ -535,6 +634,32 @@ def test_filter_returns_all_languages_of_a_gram(spark):
     assert model.languages == ("x", "y") and (share("aaaa") > 0.9).all() and share("bbbb")[0] > 0.9 > 0.1 > share("bbbb")[1]
 
 
+def test_filter_against_sets(spark):
+    """Bit-sliced answers against plain sets of n-grams: no language that has one is left out, and few others are named."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("text is not null and lang is not null")
+    model = language_id.fit(docs, least=1)
+    sets = collections.defaultdict(set)
+    for r in docs.collect():
+        if clean := language_id.letters(r["text"]):
+            sets[r["lang"]].update(clean[i : i + 4] for i in range(len(clean) - 3))
+    seen = sorted(set().union(*sets.values()))[::7]
+    false = 0
+    for gram in seen:
+        where = language_id.slots(language_id.grams(language_id.codes_of(gram), 4), model.hashes, len(model.planes))
+        bits = int(np.bitwise_and.reduce([model.planes[w[0], 0] for w in where]))
+        named = {n for k, n in enumerate(model.languages) if bits >> k & 1}
+        assert {n for n in sets if gram in sets[n]} <= named
+        false += len(named) - sum(gram in s for s in sets.values())
+    assert false < 0.02 * len(seen) * len(model.languages) + 5
+
+
+def test_language_sample_is_bounded(spark):
+    rows = [(i % 900, "aaaa bbbb cccc", "x") for i in range(2000)] + [(5000 + i, "zzzz yyyy", "y") for i in range(3)] + [(9000, "wwww" * 2000, "z"), (9001, None, "v"), (None, "t", "u")]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=50, longest=1000)
+    assert model.languages == ("x", "y")
+    assert language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), languages=1).languages == ("x",)
+
+
 # 9
 
 
