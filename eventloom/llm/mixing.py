@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
-from .ranks import hash32, ranked
+from .ranks import hash32, parts_for, ranked
 
 #: Words stand between ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,7 +56,7 @@ def copies(docs: DataFrame, weights: list[float] = (3, 1, 2), share: float = 1.5
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint")
     sized = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source).cast("string").alias("source"), size.alias("size")))
     by_class = sized.withColumn("_class", size_class(F.col("size")))
-    held = by_class.groupBy("source", "_class").agg(F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_words"))
+    held = stored(by_class.groupBy("source", "_class").agg(F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_words")))
     order = Window.partitionBy("source").orderBy("_class")
     total = F.sum("_words").over(Window.partitionBy("source"))
     start = F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -64,7 +64,7 @@ def copies(docs: DataFrame, weights: list[float] = (3, 1, 2), share: float = 1.5
     shared = targets(held.groupBy("source").agg(F.sum("_words").alias("source_size")), list(weights), share, most)
     offset = hash32(F.coalesce(F.col("source"), F.lit("")), F.lit(seed)) / F.lit(float(2**32))
     places = starts.drop("source_size").withColumnRenamed("source", "_s").withColumnRenamed("_class", "_c").join(shared, F.col("_s").eqNullSafe(F.col("source"))).withColumn("_offset", offset).drop("source")
-    ranks = ranked(by_class.withColumn("_h", hash32(F.col("doc_id"))), ["source", "_class"], "_h", [F.col("doc_id")], "_rank_in")
+    ranks = ranked(by_class.withColumn("_h", hash32(F.col("doc_id"))), ["source", "_class"], "_h", [F.col("doc_id")], "_rank_in", parts_for(held.agg(F.max("_n")).first()[0]))
     placed = ranks.join(places, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_class") == F.col("_c")))
     rank = (F.col("_first") + F.col("_rank_in")).cast("double")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))

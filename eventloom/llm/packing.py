@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .common import on_arrow, stored
-from .ranks import hash32, ranked
+from .ranks import hash32, parts_for, ranked
 from .token_counts import byte_alphabet
 
 #: Words, and parts of words, whose ids a worker keeps.
@@ -288,7 +288,7 @@ def pack(df: DataFrame, tokenizer: str, length: int = 4096, end: int = 2, id_col
         starts.setdefault(s, []).append((at, a, of, place))
     kind = "size int, slots array<struct<at:bigint,a:bigint,of:bigint,place:bigint>>"
     patterns = spark.createDataFrame(sorted(starts.items()), kind)
-    ranks = ranked(sized, ["size"], "h", [F.col("doc_id"), F.col("start"), F.col("ids_crc32")], "rank")
+    ranks = ranked(sized, ["size"], "h", [F.col("doc_id"), F.col("start"), F.col("ids_crc32")], "rank", parts_for(max(histogram.values(), default=0)))
     placed = ranks.join(F.broadcast(patterns), "size")
     slot = F.element_at(F.filter("slots", lambda x: x["at"] <= F.col("rank")), -1)
     inside = F.col("rank") - F.col("slot.at")

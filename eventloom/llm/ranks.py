@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Parts into which each group is dealt; the ranks of a part are found in one task.
-PARTS = 256
+#: Parts into which each group is dealt at least, and rows of a part; the ranks of a part are found in one task.
+PARTS, ROWS = 256, 200_000
+
+
+def parts_for(rows: int | None) -> int:
+    """Parts for groups of so many rows at most."""
+    return max(PARTS, -(-(rows or 0) // ROWS))
 
 
 def ranked(df: DataFrame, group: list[str], order: str, ties: list[Column], to: str, parts: int = PARTS) -> DataFrame:
