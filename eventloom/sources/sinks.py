@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.text import item_key, sha256_hex
 
+#: The folders of a table's buckets are named by this column, which isn't read.
+BUCKET = "bucket__"
+
 
 def append(df: DataFrame, path: str, by: str = "source_id") -> None:
     """Adds rows, one folder a source."""
@@ -29,14 +34,15 @@ def upserted(target: DataFrame, rows: DataFrame, keys: list[str], newest: list[C
 
 
 class Table:
-    """A parquet table whose versions are folders. A version counts once a marker with the next number names it.
+    """A parquet table in buckets by the hash of its keys, whose versions are manifests that name a folder for each bucket.
 
-    Markers are made by renaming a whole file to a number that isn't taken: readers see the version before or the one after,
+    An upsert reads and writes only the buckets that its rows fall into; the new manifest names the others' folders again.
+    Manifests are made by renaming a whole file to a number that isn't taken: readers see the version before or the one after,
     and of two writers one finds its number taken and fails, with nothing lost. Reading takes the highest number.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
 
     def _at(self, name: str):
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
@@ -50,30 +56,49 @@ class Table:
     def exists(self) -> bool:
         return self.number() > 0
 
+    def _manifest(self, number: int) -> dict:
+        return json.loads(self.spark.read.text(f"{self.path}/versions/{number}", wholetext=True).first()[0])
+
+    def _read(self, manifest: dict, buckets: set[str] | None = None) -> DataFrame:
+        chosen = [f"{self.path}/{v}/{BUCKET}={b}" for b, v in manifest["folders"].items() if buckets is None or b in buckets]
+        fields = StructType.fromJson(manifest["schema"])
+        return self.spark.read.schema(fields).parquet(*chosen) if chosen else self.spark.createDataFrame([], fields)
+
     def read(self) -> DataFrame:
-        version = self.spark.read.text(f"{self.path}/versions/{self.number()}", wholetext=True).first()[0].strip()
-        return self.spark.read.parquet(f"{self.path}/{version}")
+        return self._read(self._manifest(self.number()))
 
-    def write(self, df: DataFrame, after: int | None = None) -> None:
-        """Writes a whole version and then names it as the one after number `after` (the current one); raises if another was written meanwhile."""
-        after = self.number() if after is None else after
+    def _written(self, df: DataFrame, keys: list[str], n: int) -> dict[str, str]:
+        """Writes rows by bucket and gives the folder of each bucket that has some."""
         version = f"v-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.path}/{version}")
+        place = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(n)).cast("int") if keys else F.lit(0)
+        df.withColumn(BUCKET, place).write.partitionBy(BUCKET).parquet(f"{self.path}/{version}")
+        fs, folder = self._at(version)
+        names = [f.getPath().getName() for f in fs.listStatus(folder)]
+        return {x.split("=")[1]: version for x in names if x.startswith(f"{BUCKET}=")}
+
+    def _publish(self, manifest: dict, after: int) -> None:
         fs, folder = self._at("versions")
         fs.mkdirs(folder)
-        _, draft = self._at(f"versions/_{version}")
+        _, draft = self._at(f"versions/_{uuid.uuid4().hex}")
         out = fs.create(draft, False)
-        out.write(bytearray(version, "ascii"))
+        out.write(bytearray(json.dumps(manifest), "utf-8"))
         out.close()
         _, marker = self._at(f"versions/{after + 1}")
         if fs.exists(marker) or not fs.rename(draft, marker):
             fs.delete(draft, False)
             raise RuntimeError(f"{self.path}: version {after + 1} was written by another writer")
 
+    def write(self, df: DataFrame, after: int | None = None, keys: list[str] | None = None) -> None:
+        """Writes a whole table and names it as the version after number `after` (the current one); raises if another was written meanwhile."""
+        after = self.number() if after is None else after
+        folders = self._written(df, keys or [], self.buckets)
+        self._publish({"keys": keys or [], "buckets": self.buckets, "folders": folders, "schema": df.schema.jsonValue()}, after)
+
     def upsert(self, rows: DataFrame, keys: list[str], newest: list[Column], dry_run: bool = False) -> int:
         """Upserts rows and gives the number of those that would be written; a dry run only counts.
 
-        Rows with a null among their keys can't be found again, so that a repeated batch would add them twice: they raise an error before anything is written.
+        Rows with a null among their keys can't be found again, so that a repeated batch would add them twice: they raise an error before
+        anything is written. A table that was written by other keys is dealt anew once.
         """
         bad = F.lit(False)
         for k in keys:
@@ -82,9 +107,19 @@ class Table:
             raise ValueError(f"null in {keys}")
         new = latest(rows, keys, newest)
         n = new.count()
-        if not dry_run and n:
-            after = self.number()
-            self.write(upserted(self.read(), rows, keys, newest) if after else new, after)
+        if dry_run or not n:
+            return n
+        after = self.number()
+        held = self._manifest(after) if after else None
+        if held is None or held["keys"] != keys:
+            self.write(upserted(self._read(held), rows, keys, newest) if held else new, after, keys)
+            return n
+        place = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(held["buckets"])).cast("int").cast("string")
+        touched = {r[0] for r in new.select(place).distinct().collect()}  # as many as there are buckets at most
+        merged = upserted(self._read(held, touched), rows, keys, newest)
+        folders = held["folders"] | self._written(merged, keys, held["buckets"])
+        fields = {f["name"]: f for f in held["schema"]["fields"]} | {f["name"]: f for f in merged.schema.jsonValue()["fields"]}
+        self._publish(held | {"folders": folders, "schema": {"type": "struct", "fields": list(fields.values())}}, after)
         return n
 
     def find(self, **key) -> DataFrame:

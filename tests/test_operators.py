@@ -194,6 +194,14 @@ def test_table_upserts(spark, tmp_path):
     with pytest.raises(RuntimeError):
         t.write(rows((7, "y", 1)), after=1)
     assert t.number() == 2 and t.read().count() == 3
+    before = t._manifest(2)["folders"]
+    t.upsert(rows((2, "f", 4)).withColumn("more", F.lit("m")), ["k"], [F.desc("at")])
+    folders = t._manifest(3)["folders"]
+    assert sum(folders[b] != before[b] for b in before) == 1 and sorted_rows(t.read().select("k", "v", "more")) == [(1, "b", None), (2, "f", "m"), (3, "e", None)]
+    t.upsert(rows((2, "f", 4)).withColumn("more", F.lit("m")), ["k"], [F.desc("at")])
+    assert sorted_rows(t.read().select("k", "v")) == [(1, "b"), (2, "f"), (3, "e")]
+    t.upsert(rows((8, "b", 5)), ["v"], [F.desc("at")])
+    assert sorted_rows(t.read().select("k", "v")) == [(2, "f"), (3, "e"), (8, "b")]
     sinks.append(rows((1, "a", 1)).withColumn("source_id", F.lit("s")), str(tmp_path / "raw"))
     assert spark.read.parquet(str(tmp_path / "raw")).count() == 1
 
