@@ -217,10 +217,17 @@ def swiss_address(lines: Column) -> Column:
     return F.when(line.isNotNull(), F.struct(part(1).alias("prefix"), part(2).alias("plz"), part(3).alias("city")))
 
 
-def known_venue(c: Column, venues: dict[str, str]) -> Column:
+#: Venues that come again and again in prose, by pattern.
+VENUES = {
+    r"\bGemeindesaal\s+Zentrum\s+Leue\b": "Gemeindesaal Zentrum Leue, Männedorf", r"\bKirchgemeindehaus\b": "Kirchgemeindehaus, Männedorf",
+    r"\bUntervogthaus\b": "Untervogthaus, Männedorf", r"\bKino\s+Wildenmann\b": "Kino Wildenmann, Männedorf",
+}
+
+
+def known_venue(c: Column, venues: dict[str, str] | None = None) -> Column:
     """The name of the first pattern that the text matches; patterns go in the given order."""
     out = F.lit(None).cast("string")
-    for pattern, name in reversed(list(venues.items())):
+    for pattern, name in reversed(list((VENUES if venues is None else venues).items())):
         out = F.when(c.rlike(f"(?iu){pattern}"), F.lit(name)).otherwise(out)
     return out
 

@@ -69,6 +69,14 @@ def orphans(df: DataFrame, column: str, parents: DataFrame, key: str) -> DataFra
     return df.filter(F.col(column).isNotNull()).join(parents.select(F.col(key).alias("_key")), F.col(column) == F.col("_key"), "left_anti")
 
 
+def after_delete(df: DataFrame, column: str, parents: DataFrame, key: str, keep: bool = False) -> DataFrame:
+    """What is left of rows once parents are gone: those without one go too, or with `keep` stay with a null in the column."""
+    left = parents.select(F.col(key).alias("_key")).distinct()
+    if not keep:
+        return df.join(left, F.col(column) == F.col("_key"), "left_semi")
+    return df.join(left, F.col(column) == F.col("_key"), "left").withColumn(column, F.col("_key").cast(df.schema[column].dataType)).drop("_key")
+
+
 def archived_in_use(happenings: DataFrame, links: DataFrame) -> DataFrame:
     """Archived happenings that still have links."""
     gone = happenings.filter(F.col("visibility_status") == "archived")

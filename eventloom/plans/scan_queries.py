@@ -368,3 +368,49 @@ def windows_and_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.when(k % 3 == 0, "Fest | Gemeinde").otherwise(F.concat(F.lit("Fest "), k))
     name = F.when(k % 5 == 0, "").otherwise(F.concat(F.lit("Verein "), k))
     return table(spark, sf_dir, "events").select("event_id", L.date_window(base, day, 30).alias("url"), T.without_suffix(title, "|").alias("title"), F.coalesce(T.plausible_organizer(name), F.lit(False)).alias("plausible"))
+
+
+@query("""
+SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'Gemeindesaal Zentrum Leue, Männedorf' WHEN 1 THEN 'Kirchgemeindehaus, Männedorf' WHEN 2 THEN 'Untervogthaus, Männedorf' WHEN 3 THEN 'Kino Wildenmann, Männedorf' END AS venue, CASE WHEN o_orderkey % 5 = 4 THEN 'Saal, Stock ' || (o_custkey % 9) END AS prose FROM orders
+""")
+def known_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Venues named in prose: known ones by pattern, others after a preposition."""
+    k = F.col("o_orderkey")
+    text = F.when(k % 5 == 0, "Treff im gemeindesaal  Zentrum Leue, Kirchgemeindehaus").when(k % 5 == 1, "beim KIRCHGEMEINDEHAUS um acht").when(k % 5 == 2, "Untervogthaus").when(k % 5 == 3, "danach Kino Wildenmann.").otherwise(F.concat(F.lit("Fest im Saal, Stock "), F.col("o_custkey") % 9))
+    return table(spark, sf_dir, "orders").select("o_orderkey", T.known_venue(text).alias("venue"), F.when(k % 5 == 4, T.prose_venue(text)).alias("prose"))
+
+
+@query("""
+WITH p AS (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)
+SELECT 'cascade' AS mode, o_orderkey, o_custkey FROM orders WHERE o_custkey IN (FROM p) UNION ALL SELECT 'set null', o_orderkey, CASE WHEN o_custkey IN (FROM p) THEN o_custkey END FROM orders
+""")
+def after_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders once customers in debt are gone: deleted with them, or without their reference."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    left = table(spark, sf_dir, "customer").filter("c_acctbal >= 0")
+    one = contracts.after_delete(rows, "o_custkey", left, "c_custkey").withColumn("mode", F.lit("cascade"))
+    return one.unionByName(contracts.after_delete(rows, "o_custkey", left, "c_custkey", keep=True).withColumn("mode", F.lit("set null"))).select("mode", "o_orderkey", "o_custkey")
+
+
+@query("WITH s AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, '{s.source_id}', {repr(s.municipality) if s.municipality else 'NULL'})" for i, s in enumerate(registry.SOURCES)) + ") t(i, source_id, municipality)) SELECT c_custkey, municipality FROM customer LEFT JOIN s ON c_custkey % 30 = i")
+def municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = F.array(*[F.lit(s.source_id) for s in registry.SOURCES])
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.get(ids, (F.col("c_custkey") % 30).cast("int")).alias("source_id"))
+    return registry.with_municipality(rows).select("c_custkey", "municipality")
+
+
+@query("""
+SELECT o_orderkey, sha256('["' || o_orderpriority || '",' || CASE WHEN o_orderkey % 2 = 0 THEN '"' || o_orderdate::DATE || '"' ELSE 'null' END || ',null,null,"https://x.ch/' || o_orderkey || '","{}"]') AS content_hash,
+  '{"title_raw":"' || o_orderpriority || '","datetime_raw":' || CASE WHEN o_orderkey % 2 = 0 THEN '"' || o_orderdate::DATE || '"' ELSE 'null' END || ',"location_raw":null,"description_raw":null,"item_url":"https://x.ch/' || o_orderkey || '","extra":"{}"}' AS raw_payload, 'ok' AS status FROM orders
+""")
+def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events as they are kept."""
+    from ..sources import sinks
+
+    k, none = F.col("o_orderkey"), F.lit(None).cast("string")
+    events = table(spark, sf_dir, "orders").select(
+        k, F.lit("s").alias("source_id"), F.lit("https://s.ch/").alias("source_url"), F.concat(F.lit("https://x.ch/"), k).alias("item_url"), F.col("o_orderpriority").alias("title_raw"), F.when(k % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("datetime_raw"),
+        none.alias("location_raw"), none.alias("description_raw"), F.lit("{}").alias("extra"), clock().alias("fetched_at"),
+    )
+    found = sinks.raw_rows(events)
+    return found.select(F.regexp_extract("item_url", r"(\d+)$", 1).cast("bigint").alias("o_orderkey"), "content_hash", "raw_payload", "status")

@@ -68,6 +68,12 @@ def table(spark: SparkSession, sources: tuple[Source, ...] = SOURCES) -> DataFra
     return spark.createDataFrame([astuple(s) for s in sources], "source_id string, adapter string, seed_url string, max_items int, municipality string, enabled boolean, timezone string").select(*[f.name for f in fields(Source)])
 
 
+def with_municipality(rows: DataFrame, sources: tuple[Source, ...] = SOURCES) -> DataFrame:
+    """Rows with their source's municipality; null for unknown sources. The configuration is small, a row a source."""
+    known = table(rows.sparkSession, sources).select(F.col("source_id").alias("_s"), "municipality")
+    return rows.join(F.broadcast(known), F.col("source_id") == F.col("_s"), "left").drop("_s")
+
+
 def read(pages: DataFrame, sources: tuple[Source, ...] = SOURCES) -> DataFrame:
     """Items of all enabled sources from their captured pages, at most max_items a source.
 

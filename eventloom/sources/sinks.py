@@ -9,12 +9,22 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.text import item_key, sha256_hex
+from ..functions.text import content_hash, item_key, sha256_hex
 
 #: The folders of a table's buckets are named by this column, which isn't read.
 BUCKET = "bucket__"
 
 
+RAW_FIELDS = ("title_raw", "datetime_raw", "location_raw", "description_raw", "item_url", "extra")
+
+
+def raw_rows(events: DataFrame) -> DataFrame:
+    """Raw events as rows of event_raw: their payload as JSON with nulls written, and its hash, which doesn't depend on source and time."""
+    payload = F.to_json(F.struct(*RAW_FIELDS), {"ignoreNullFields": "false"})
+    hashed = content_hash(*[F.col(c) for c in ("title_raw", "datetime_raw", "location_raw", "description_raw", "item_url", "extra")])
+    return events.select("source_id", "source_url", "item_url", hashed.alias("content_hash"), payload.alias("raw_payload"), "fetched_at", F.lit("ok").alias("status"), F.lit(None).cast("string").alias("error"))
+
+
 def append(df: DataFrame, path: str, by: str = "source_id") -> None:
     """Adds rows, one folder a source."""
     df.write.mode("append").partitionBy(by).parquet(path)
