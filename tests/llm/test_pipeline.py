@@ -61,6 +61,20 @@ def test_mix_and_packing(kept):
     assert max(lengths.values()) <= 4096
 
 
+def test_run_is_the_stages_and_leaves_no_tables_of_theirs(spark, kept):
+    from pathlib import Path
+
+    from eventloom.llm import common
+
+    place = Path(common.shared_dir(spark).removeprefix("file:"))
+    before = {p.name for p in place.glob("table-*")}
+    found = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    rows = lambda d: sorted((r["doc_id"], r["start"], r["length"], r["ids_crc32"]) for r in d.collect())
+    assert rows(found) == rows(kept[5])
+    # what is left: the results of four stages and the tables that the last one still reads
+    assert len({p.name for p in place.glob("table-*")} - before) <= 4 + 2
+
+
 def test_empty_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
