@@ -222,18 +222,18 @@ def raw_to_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN 'Titel ' || o_orderkey ELSE 'T' || o_orderkey || ' | Seite' END AS title,
-  CASE WHEN o_orderkey % 5 = 0 THEN 'Kurze Angabe ' || o_orderkey || ' aus dem Kopf der Seite' ELSE 'Beschreibung ' || o_orderkey || ' mit genug Worten, damit sie als solche gilt.' || chr(10) || chr(10) || '• Punkt' END AS description,
-  CASE o_orderkey % 4 WHEN 1 THEN 'https://x.ch/og' || o_orderkey || '.jpg' WHEN 2 THEN 'https://x.ch/ld' || o_orderkey || '.jpg' WHEN 3 THEN 'https://x.ch/bild' || o_orderkey || '.jpg' END AS image,
-  CASE WHEN o_orderkey % 7 = 0 THEN 'Amt ' || o_custkey WHEN o_orderkey % 4 = 2 THEN 'Verein ' || o_custkey WHEN o_orderkey % 4 = 1 THEN 'Kulturamt ' || o_custkey WHEN o_orderkey % 4 = 3 THEN 'Treff ' || o_custkey ELSE 'Autor ' || o_custkey END AS organizer,
-  CASE WHEN o_orderkey % 4 = 2 THEN '2026-03-01T10:00' ELSE '2026-05-0' || (o_orderkey % 9 + 1) || 'T19:00' END AS datetime_raw, CASE WHEN o_orderkey % 4 = 2 THEN 'jsonld' ELSE 'time_element' END AS method,
-  CASE WHEN o_orderkey % 4 = 2 THEN 'Saal ' || o_custkey ELSE 'Dorfgasse ' || (o_orderkey % 80) END AS location, CAST(o_custkey % 50 + 1 AS DOUBLE) AS price, CAST(o_orderkey % 9 + 1 AS INT) AS age_min,
-  CASE WHEN o_orderkey % 2 = 0 THEN 'https://r.ch/' || o_orderkey ELSE '/anmeldung/' || o_orderkey END AS registration_url, CASE WHEN o_orderkey % 2 = 0 THEN 'hier' ELSE 'Jetzt anmelden' END AS registration_raw,
-  CASE WHEN o_orderkey % 4 = 2 THEN 'Musik' ELSE 'Sport, Kultur' END AS category, 1 AS pdfs, CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS external_links FROM orders
+SELECT c_custkey, CASE WHEN c_custkey % 3 > 0 THEN 'Titel ' || c_custkey ELSE 'T' || c_custkey || ' | Seite' END AS title,
+  CASE WHEN c_custkey % 5 = 0 THEN 'Kurze Angabe ' || c_custkey || ' aus dem Kopf der Seite' ELSE 'Beschreibung ' || c_custkey || ' mit genug Worten, damit sie als solche gilt.' || chr(10) || chr(10) || '• Punkt' END AS description,
+  CASE c_custkey % 4 WHEN 1 THEN 'https://x.ch/og' || c_custkey || '.jpg' WHEN 2 THEN 'https://x.ch/ld' || c_custkey || '.jpg' WHEN 3 THEN 'https://x.ch/bild' || c_custkey || '.jpg' END AS image,
+  CASE WHEN c_custkey % 7 = 0 THEN 'Amt ' || c_nationkey WHEN c_custkey % 4 = 2 THEN 'Verein ' || c_nationkey WHEN c_custkey % 4 = 1 THEN 'Kulturamt ' || c_nationkey WHEN c_custkey % 4 = 3 THEN 'Treff ' || c_nationkey ELSE 'Autor ' || c_nationkey END AS organizer,
+  CASE WHEN c_custkey % 4 = 2 THEN '2026-03-01T10:00' ELSE '2026-05-0' || (c_custkey % 9 + 1) || 'T19:00' END AS datetime_raw, CASE WHEN c_custkey % 4 = 2 THEN 'jsonld' ELSE 'time_element' END AS method,
+  CASE WHEN c_custkey % 4 = 2 THEN 'Saal ' || c_nationkey ELSE 'Dorfgasse ' || (c_custkey % 80) END AS location, CAST(c_nationkey % 50 + 1 AS DOUBLE) AS price, CAST(c_custkey % 9 + 1 AS INT) AS age_min,
+  CASE WHEN c_custkey % 2 = 0 THEN 'https://r.ch/' || c_custkey ELSE '/anmeldung/' || c_custkey END AS registration_url, CASE WHEN c_custkey % 2 = 0 THEN 'hier' ELSE 'Jetzt anmelden' END AS registration_raw,
+  CASE WHEN c_custkey % 4 = 2 THEN 'Musik' ELSE 'Sport, Kultur' END AS category, 1 AS pdfs, CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS external_links FROM customer
 """)
 def detail_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All cascades of a detail page, over pages written from orders that give each field in different places."""
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    """All cascades of a detail page, over pages written from customers that give each field in different places."""
+    k, c = F.col("c_custkey"), F.col("c_nationkey")
     four = k % 4
     lit, only = F.lit, lambda test, *parts: F.when(test, F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])).otherwise(F.lit(""))
     html = F.concat(
@@ -246,10 +246,10 @@ def detail_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         only(k % 2 == 0, '<dt>Anmeldung</dt><dd><a href="https://r.ch/', k, '">hier</a></dd>'), lit("</dl>"), only(four == 3, "<p>Veranstalter:</p><p>Treff ", c, "</p>"), only(k % 2 == 1, '<p><a href="/anmeldung/', k, '">Jetzt anmelden</a></p>'),
         only(k % 7 == 0, "<address>Amt ", c, '<br><a href="mailto:a@b.ch">m</a></address>'), lit('<p><a href="/category/1">Sport</a> <a href="/category/2">Kultur</a> <a href="/f'), k, lit('.pdf">Flyer</a></p></body></html>'),
     )
-    pages = table(spark, sf_dir, "orders").select("o_orderkey", html.alias("html")).select("o_orderkey", read(F.col("html")).alias("p"))
-    d = pages.select("o_orderkey", P.details(F.col("p"), F.lit("https://x.ch/e/1"), F.lit("2026-01-01").cast("timestamp")).alias("d")).select("o_orderkey", "d.*")
+    pages = table(spark, sf_dir, "customer").select("c_custkey", html.alias("html")).select("c_custkey", read(F.col("html")).alias("p"))
+    d = pages.select("c_custkey", P.details(F.col("p"), F.lit("https://x.ch/e/1"), F.lit("2026-01-01").cast("timestamp")).alias("d")).select("c_custkey", "d.*")
     return d.select(
-        "o_orderkey", F.col("title_raw").alias("title"), F.col("description_raw").alias("description"), F.col("image_url").alias("image"), F.col("organizer_name").alias("organizer"), "time.datetime_raw", "time.method", F.col("location_raw").alias("location"),
+        "c_custkey", F.col("title_raw").alias("title"), F.col("description_raw").alias("description"), F.col("image_url").alias("image"), F.col("organizer_name").alias("organizer"), "time.datetime_raw", "time.method", F.col("location_raw").alias("location"),
         F.col("price.price_from_chf").alias("price"), "age.age_min", "registration.registration_url", "registration.registration_raw", F.col("category_raw").alias("category"), F.col("surfaces.pdf_count").alias("pdfs"), F.col("surfaces.external_link_count").alias("external_links"),
     )
 
