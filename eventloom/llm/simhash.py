@@ -402,18 +402,26 @@ def apart_links(keys: DataFrame, nodes: DataFrame, roots: DataFrame, similarity:
 
 
 def _forest(prints: np.ndarray, ring: np.ndarray, bits: int, limit: int) -> tuple[list[tuple[int, int]], list[int]]:
-    """A spanning forest of the similar fingerprints and its roots."""
-    out, roots, left = [], [], np.arange(len(prints))
+    """A spanning forest of the similar fingerprints, of least differences, and its roots.
+
+    Each tree grows by the fingerprint that is nearest to it, so that its edges hold wherever nearer ones do.
+    """
+    out, roots = [], []
+    wide = np.ascontiguousarray(prints).view(np.uint64)
+    left = np.arange(len(prints))
+    best, parent = np.full(len(prints), LONG + 1), np.full(len(prints), -1)
     while len(left):
-        front, left = [left[0]], left[1:]
-        roots.append(int(front[0]))
-        while front and len(left):
-            at = front.pop()
-            near = _near(prints[left] ^ prints[at], ring, bits, limit)
-            if len(near):
-                out += [(int(at), int(k)) for k in left[near]]
-                front += list(left[near])
-                left = np.delete(left, near)
+        k = int(best[left].argmin())
+        at = int(left[k])
+        if best[at] > limit:
+            roots.append(at)
+        else:
+            out.append((int(parent[at]), at))
+        left = np.delete(left, k)
+        near = left[_near(prints[left] ^ prints[at], ring, bits, limit)] if len(left) else left
+        apart = np.bitwise_count(wide[near] ^ wide[at]).sum(axis=1, dtype=np.int64)
+        nearer = apart < best[near]
+        best[near[nearer]], parent[near[nearer]] = apart[nearer], at
     return out, roots
 
 
