@@ -204,7 +204,7 @@ def compare_next(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
                 for some, to, flag in ((cut, part, False), (ahead, before, True)):
                     yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(to, pa.int32()), pa.array([flag] * len(to))], schema=routed_arrow)
 
-    dealt = rows.withColumn("place", place).mapInArrow(route, routed).repartition(max(parts, 1), "part").sortWithinPartitions("part", "ahead", F.asc_nulls_first("doc_id"), "text")
+    dealt = rows.withColumn("place", place).mapInArrow(route, routed).repartitionById(parts, F.col("part")).sortWithinPartitions("part", "ahead", F.asc_nulls_first("doc_id"), "text")
     schema = f"doc_id {kind}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     fields = spark.createDataFrame([], schema).schema
     arrow = _arrow_schema(fields)
