@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -308,3 +309,21 @@ def test_command_line(spark, tmp_path, capsys):
     out = capsys.readouterr().out.strip().splitlines()[-1]
     assert '"written": 1' in out and '"quarantined": 1' in out
     assert spark.read.parquet(str(next((tmp_path / "table").glob("v-*")))).count() == 1
+
+
+def test_copies_are_decided_without_pairing_them(spark):
+    # 40,000 equal rows on each side are 1.6 thousand million pairs
+    began = time.time()
+    rows = lambda first: spark.range(first, 80_000, 2).select("id", F.lit("Fest am See").alias("title"), F.lit("2026-01-01").cast("date").alias("start_date"), F.lit("Saal").alias("venue"))
+    one = spark.createDataFrame([(-2, "Konzert im Park", dt.date(2026, 1, 2), "Park"), (-4, "Konzert im Park", dt.date(2026, 1, 3), "Park"), (-6, None, None, None)], "id long, title string, start_date date, venue string")
+    happenings = rows(1).unionByName(spark.createDataFrame([(-1, "Konzert im Park", dt.date(2026, 1, 2), "Park"), (-3, "Konzert im Garten", dt.date(2026, 1, 3), "Park")], one.schema))
+    found = linkage.decide(rows(0).unionByName(one), happenings).groupBy("happening_id", "score", "margin", "decision").count().collect()
+    assert {tuple(r) for r in found} == {(1, 1.0, 0.0, "needs_review", 40_000), (-1, 1.0, None, "merge", 1), (None, None, None, "create", 1), (None, None, None, "needs_review", 1)}
+    assert time.time() - began < 100
+
+
+def test_pairs_of_copies_are_all_there(spark):
+    # groups of more rows than linkage.GROUP are dealt to several
+    rows = lambda first, n: spark.range(n).select((F.col("id") * 2 + first).alias("id"), F.lit("Fest am See").alias("title"), F.lit("2026-01-01").cast("date").alias("start_date"), F.lit("Saal").alias("venue"))
+    found = linkage.scored_pairs(rows(0, 2500), rows(1, 30), any_day=True).agg(F.count(F.lit(1)), F.countDistinct("source_happening_id", "happening_id"), F.min("score"), F.max("score")).first()
+    assert tuple(found) == (75_000, 75_000, 1.0, 1.0)
