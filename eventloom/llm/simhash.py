@@ -263,7 +263,7 @@ def similar_links(nodes: DataFrame, similarity: float, bits: int, tables: int) -
     a few rows all pairs are compared, side by side for all keys of a batch; more rows are compared in their task, RUN at a
     time, and give a spanning forest of those that look similar. Of earlier rows only those that nothing linked stay, so
     that a task's memory is bounded by the texts of a key that are not alike; such a key of several runs is a row without a and b.
-    A forest whose edges all hold joins all that its key can; the keys of others are up to `apart_links`.
+    A forest whose edges all hold joins all that its key can; the others are up to `family_links`, and keys of several runs to `apart_links` before.
     """
     kind = nodes.schema["node"].dataType.simpleString()
     limit, orders = differing(similarity), rings(tables, bits)
@@ -340,16 +340,13 @@ def similar_links(nodes: DataFrame, similarity: float, bits: int, tables: int) -
 def apart_links(keys: DataFrame, nodes: DataFrame, roots: DataFrame, similarity: float, bits: int, tables: int) -> DataFrame:
     """Every pair a, b of rows of one of the keys (table, key) that looks similar and isn't linked by `roots` yet, in no certain order.
 
-    Where a forest's edge fails the exact check, all pairs of its key between different groups are compared; those within one need no other link.
+    For keys of several runs, whose forests don't compare all rows; pairs within one group need no other link.
     A pair is given by the first key that it shares. A key's rows are dealt into blocks of
     some RUN rows and each pair of blocks is a tile of its own, so that a task holds two blocks however many rows a key has.
     """
     kind = nodes.schema["node"].dataType.simpleString()
-    limit, orders = differing(similarity), rings(tables, bits)
-    masks = np.zeros((tables, LONG), np.uint8)
-    for t in range(tables):
-        masks[t, orders[t, :bits]] = 1
-    masks = np.packbits(masks, axis=1).view(np.uint64)
+    limit = differing(similarity)
+    masks = _key_masks(bits, tables)
     edge_fields = nodes.sparkSession.createDataFrame([], f"a {kind}, b {kind}").schema
     edge_arrow = _arrow_schema(edge_fields)
     named = nodes.join(roots.select(F.col("node").alias("_node"), "root"), F.col("node") == F.col("_node"), "left").select(
@@ -425,15 +422,10 @@ def _forest(prints: np.ndarray, ring: np.ndarray, bits: int, limit: int) -> tupl
     return out, roots
 
 
-def similar_enough(edges: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, similarity: float) -> DataFrame:
-    """The edges a, b of nodes whose texts' sets of n-word shingles have that Jaccard similarity or more.
-
-    nodes names a row for each node by `least`, its doc_id and `mark`, a hash of its text; docs has doc_id and text. Sets are made for the
-    texts of edges alone, as sorted hashes of 32 bits.
-    """
-    kind = edges.schema["a"].dataType.simpleString()
-    met = edges.select(F.explode(F.array("a", "b")).alias("_node")).distinct()
-    ids = nodes.join(met, F.col("node") == F.col("_node"), "left_semi").select("node", F.col("least.doc_id").alias("_id"), F.col("least.mark").alias("_mark"))
+def _sets(met: DataFrame, nodes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """node and shingles, the sorted hashes of 32 bits of its text's set of n-word shingles, for the nodes of the one-column table `met`."""
+    kind = nodes.schema["node"].dataType.simpleString()
+    ids = nodes.join(met.toDF("_node").distinct(), F.col("node") == F.col("_node"), "left_semi").select("node", F.col("least.doc_id").alias("_id"), F.col("least.mark").alias("_mark"))
 
     def make():
         def shingled(text):
@@ -442,21 +434,105 @@ def similar_enough(edges: DataFrame, nodes: DataFrame, docs: DataFrame, n: int,
         return lambda keys, texts: {"node": keys, "shingles": [shingled(t) for t in texts]}
 
     chosen = docs.withColumn("mark", F.xxhash64("text")).join(ids, (F.col("doc_id") == F.col("_id")) & (F.col("mark") == F.col("_mark")))
-    sets = stored(on_arrow(chosen, [F.col("node"), F.col("text")], make, f"node {kind}, shingles binary").groupBy("node").agg(F.min("shingles").alias("shingles")))
+    return stored(on_arrow(chosen, [F.col("node"), F.col("text")], make, f"node {kind}, shingles binary").groupBy("node").agg(F.min("shingles").alias("shingles")))
+
+
+def _enough(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= similarity * (len(x) + len(y) - both)
+
+
+def similar_enough(edges: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, similarity: float) -> DataFrame:
+    """The edges a, b of nodes whose texts' sets of n-word shingles have that Jaccard similarity or more.
+
+    nodes names a row for each node by `least`, its doc_id and `mark`, a hash of its text; docs has doc_id and text. Sets are made for the
+    texts of edges alone, as sorted hashes of 32 bits.
+    """
+    kind = edges.schema["a"].dataType.simpleString()
+    sets = _sets(edges.select(F.explode(F.array("a", "b"))), nodes, docs, n)
     one, two = (sets.select(F.col("node").alias(f"_{c}"), F.col("shingles").alias(f"s{c}")) for c in "ab")
     both = edges.join(one, F.col("a") == F.col("_a")).join(two, F.col("b") == F.col("_b"))
 
     def check():
-        def enough(x, y):
-            x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            return both >= similarity * (len(x) + len(y) - both)
-
+        enough = lambda x, y: _enough(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32), similarity)
         return lambda a, b, x, y: {"a": a, "b": b, "same": list(map(enough, x, y))}
 
     return on_arrow(both, [F.col(c) for c in ("a", "b", "sa", "sb")], check, f"a {kind}, b {kind}, same boolean").filter("same").select("a", "b")
 
 
+#: Bytes of shingle sets that one block of a family holds, about.
+SETS = 32 << 20
+
+
+def _key_masks(bits: int, tables: int) -> np.ndarray:
+    """[tables, LONG / 64]: the bits of each table's key."""
+    masks = np.zeros((tables, LONG), np.uint8)
+    for t, order in enumerate(rings(tables, bits)):
+        masks[t, order[:bits]] = 1
+    return np.packbits(masks, axis=1).view(np.uint64)
+
+
+def family_links(families: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, similarity: float, bits: int, tables: int) -> DataFrame:
+    """Links a, b that hold, of families (node, family, root): enough of them to join all rows of a family that share a key, look similar and are.
+
+    All pairs of a family in different groups (`root`) that share a key and look similar are compared by their sets, unless links found
+    before in the same task join them. So each row of the result is a link and joins two groups, however many pairs fail. A family is dealt into
+    blocks of some RUN rows and SETS bytes, and each pair of blocks is a task's tile.
+    """
+    kind, limit, masks = nodes.schema["node"].dataType.simpleString(), differing(similarity), _key_masks(bits, tables)
+    edge_fields = nodes.sparkSession.createDataFrame([], f"a {kind}, b {kind}").schema
+    edge_arrow = _arrow_schema(edge_fields)
+    sets = _sets(families.select("node"), nodes, docs, n)
+    rows = stored(families.join(nodes.select("node", "fp"), "node").join(sets, "node").select("family", "node", "root", "fp", "shingles"))
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / RUN, F.sum(F.octet_length("shingles")) / SETS)).cast("int").alias("blocks")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    tile = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j"))))
+    dealt = rows.join(rows.groupBy("family").agg(blocks), "family").withColumn("block", block).withColumn("tile", tile).select("family", "tile.i", "tile.j", "block", "node", "root", "fp", "shingles")
+    ordered = dealt.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "block", "node")
+
+    def links(batches):
+        same = batches[0].column(1)[0] == batches[0].column(2)[0]
+        block, node, root = (pa.chunked_array([b.column(c) for b in batches]).combine_chunks() for c in (3, 4, 5))
+        prints = np.concatenate([np.frombuffer(b"".join(b.column(6).to_pylist()), np.uint64).reshape(-1, LONG // 64) for b in batches])
+        shingled = [np.frombuffer(x, np.uint32) for b in batches for x in b.column(7).to_pylist()]
+        names, block = node.to_pylist(), block.to_numpy()
+        second = 0 if same else int(np.searchsorted(block, block[-1]))
+        if not same and second == 0:
+            return  # rows of one block alone
+        group = root.dictionary_encode().indices.to_numpy().astype(np.int64)
+        found = []
+        for x in range(len(names) if same else second):
+            first = max(x + 1, second)
+            apart = np.bitwise_count(prints[first:] ^ prints[x]).sum(axis=1, dtype=np.int64)
+            near = np.flatnonzero((apart <= limit) & (group[first:] != group[x]))
+            differ = prints[first:][near] ^ prints[x]
+            near = near[((differ[:, None] & masks[None]) == 0).all(axis=2).any(axis=1)]
+            for y in (near[np.argsort(apart[near], kind="stable")] + first).tolist():
+                if group[x] != group[y] and _enough(shingled[x], shingled[y], similarity):
+                    found.append((x, y))
+                    group[group == group[y]] = group[x]
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array([names[k] for k in c], f.type) for c, f in zip(zip(*found), edge_arrow)], schema=edge_arrow)
+
+    def compare(batches):
+        held, here = [], None  # the rows of one tile
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            marks = np.stack([batch.column(c).to_numpy() for c in range(3)])
+            cut = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1
+            for start, end in zip([0, *cut.tolist()], [*cut.tolist(), batch.num_rows]):
+                if here != marks[:, start].tolist():
+                    if held:
+                        yield from links(held)
+                    held, here = [], marks[:, start].tolist()
+                held.append(batch.slice(start, end - start))
+        if held:
+            yield from links(held)
+
+    return ordered.mapInArrow(compare, edge_fields).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def _similar(docs: DataFrame, n: int, similarity: float, found: float) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, mark, digest) of docs (doc_id, text) with ids, and for each digest (_digest) `kept`, the least doc_id and mark of its group."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -475,13 +551,23 @@ def _similar(docs: DataFrame, n: int, similarity: float, found: float) -> tuple[
     pairs = candidates.filter("a is not null").select("a", "b").distinct()
     edges = stored(similar_enough(pairs, nodes, docs, n, similarity))
     roots = components(edges)
-    held_edges = edges.select(F.col("a").alias("_a"), F.col("b").alias("_b"))
-    broken = candidates.filter("table is not null").join(held_edges, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti")
-    keys = stored(broken.select("table", "key").distinct())
+    # keys of several runs: rows that a run's forest held weren't compared with later runs
+    keys = stored(candidates.filter("a is null").select("table", "key").distinct())
+    forests = candidates.filter("table is not null and a is not null").select("a", "b")
     if not keys.isEmpty():
         apart = stored(apart_links(keys, nodes, roots, similarity, bits, tables))
-        if not apart.isEmpty():
-            roots = components(edges.unionByName(similar_enough(apart, nodes, docs, n, similarity)))
+        pairs, forests = pairs.unionByName(apart), forests.unionByName(apart)
+    # a family is what candidates join, whether they hold or not; one with a forest's failed edge between two groups is compared in whole
+    at = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+    ends = forests.join(at("a"), "a", "left").join(at("b"), "b", "left").filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b"))
+    lost = stored(ends.select("a").distinct())
+    if not lost.isEmpty():
+        families = components(pairs).withColumnRenamed("root", "family")
+        broken = lost.join(families, F.col("a") == F.col("node")).select("family").distinct()
+        own = families.join(broken, "family", "left_semi").join(roots, "node", "left").select("node", "family", F.coalesce("root", "node").alias("root"))
+        more = stored(family_links(own, nodes, docs, n, similarity, bits, tables))
+        if not more.isEmpty():
+            roots = components(edges.unionByName(more))
     rooted = checkpointed(nodes.select("digest", "least", "node").join(roots, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root")))
     least = rooted.groupBy("root").agg(F.min("least").alias("kept"))
     return held.select("doc_id", "mark", "digest"), rooted.join(least, "root").select(F.col("digest").alias("_digest"), "kept")

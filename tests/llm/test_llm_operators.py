@@ -792,3 +792,28 @@ def test_column_generation_meets_the_bound():
     # first-fit needs 3 sequences for each two of this kind; columns must be generated
     hard = {1366: 3000, 1365: 3000, 683: 3000, 682: 3000}
     assert sum(t for _, t in packing.plan(hard, 4096)) <= 1.01 * sum(s * n for s, n in hard.items()) / 4096 + 4
+
+
+def test_failing_pairs_of_a_family_are_not_listed(spark, monkeypatch):
+    # 300 versions of which most pairs look similar and few are: only the forests' edges become rows
+    r = random.Random(5)
+    base = [f"w{i}" for i in range(400)]
+    texts = []
+    for v in range(300):
+        own = list(base)
+        for at in r.sample(range(400), 5):
+            own[at] = f"v{v}x{at}"
+        texts.append(" ".join(own))
+    sets = [set(simhash.shingles(t.encode().split(), 5)) for t in texts]
+    like = [(i, j) for i in range(300) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    checked, plain = [], simhash.similar_enough
+    monkeypatch.setattr(simhash, "FEW", 2)
+    monkeypatch.setattr(simhash, "similar_enough", lambda edges, *more: checked.append(edges.count()) or plain(edges, *more))
+    found = dict(simhash.similar_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
+    # a pair of 0.8 shares a key with probability 0.91
+    assert len(like) > 20 and sum(found[i] == found[j] for i, j in like) >= 0.8 * len(like)
+    root = list(range(300))
+    for i, j in like:
+        root = [min(root[i], root[j]) if x in (root[i], root[j]) else x for x in root]
+    assert all(root[i] == root[g] for i, g in found.items())
+    assert sum(checked) < 0.6 * 300 * 299 / 2
