@@ -246,7 +246,10 @@ def detail_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         only(k % 2 == 0, '<dt>Anmeldung</dt><dd><a href="https://r.ch/', k, '">hier</a></dd>'), lit("</dl>"), only(four == 3, "<p>Veranstalter:</p><p>Treff ", c, "</p>"), only(k % 2 == 1, '<p><a href="/anmeldung/', k, '">Jetzt anmelden</a></p>'),
         only(k % 7 == 0, "<address>Amt ", c, '<br><a href="mailto:a@b.ch">m</a></address>'), lit('<p><a href="/category/1">Sport</a> <a href="/category/2">Kultur</a> <a href="/f'), k, lit('.pdf">Flyer</a></p></body></html>'),
     )
-    pages = table(spark, sf_dir, "customer").select("c_custkey", html.alias("html")).select("c_custkey", read(F.col("html")).alias("p"))
+    # customers are a small file, so one task, but their pages take long to parse
+    parts = 4 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    dealt = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey").repartition(parts, "c_custkey")
+    pages = dealt.select("c_custkey", html.alias("html")).select("c_custkey", read(F.col("html")).alias("p"))
     d = pages.select("c_custkey", P.details(F.col("p"), F.lit("https://x.ch/e/1"), F.lit("2026-01-01").cast("timestamp")).alias("d")).select("c_custkey", "d.*")
     return d.select(
         "c_custkey", F.col("title_raw").alias("title"), F.col("description_raw").alias("description"), F.col("image_url").alias("image"), F.col("organizer_name").alias("organizer"), "time.datetime_raw", "time.method", F.col("location_raw").alias("location"),

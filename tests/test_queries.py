@@ -5,6 +5,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 from eventloom.plans import queries as _, scan_queries as __  # noqa: F401
@@ -40,3 +41,8 @@ def test_query_against_sql(spark, duck, name):
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_detail_pages_are_parsed_by_many_tasks(spark):
+    # the file of customers is small and one task's, its pages aren't
+    assert QUERIES["detail_fields"](spark, str(DATA)).select(F.spark_partition_id()).distinct().count() >= 4
