@@ -25,7 +25,25 @@ class Classes:
     weights: np.ndarray  # [BINS, classes], logs
 
     def of(self, text: str | None) -> int:
-        return int(np.argmax(self.prior + features(text) @ self.weights))
+        return self.of_features(features(text))
+
+    def of_features(self, x: np.ndarray) -> int:
+        return int(np.argmax(self.prior + x @ self.weights))
+
+    def add(self, texts: list[str | None], sums: np.ndarray) -> None:
+        """Adds to sums [BINS + 1, classes] the features of each text's class and, in the last row, its number of texts."""
+        for text in texts:
+            x = features(text)
+            k = self.of_features(x)
+            sums[:-1, k] += x
+            sums[-1, k] += 1
+
+    @staticmethod
+    def counted(sums: np.ndarray) -> Classes:
+        """The classes that such sums, of all texts, give."""
+        prior = np.log((sums[-1] + 1e-3) / (sums[-1].sum() + 1e-3 * sums.shape[1]))
+        weights = np.log((sums[:-1] + 0.05) / (sums[:-1] + 0.05).sum(axis=0))
+        return Classes(prior, weights)
 
 
 def fit(texts: list[str], classes: int = 6, rounds: int = 15) -> Classes:

@@ -5,8 +5,8 @@ of an existing vocabulary; its scores, ranks of a merge list, give the first wei
 counts over the corpus's words gives the final ones. A word seen in training is also a piece of its own: it keeps its
 count less a discount, and what the discounts free goes to the lattice, so that all words' probabilities sum to one at most.
 
-Weights differ by class of text. Classes are found without labels, by a mixture fitted on a bounded sample; counts by class
-come from all training texts. A text's probability is the sum over classes of the class's share times the text's probability
+Weights differ by class of text. Classes are found without labels: a mixture fitted on a bounded sample is only their start, and passes over
+all training texts count them, as they do all words by class. A text's probability is the sum over classes of the class's share times the text's probability
 in it, in which words that the text has used become likelier, as in an urn that gets each drawn word back twice.
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SLICE, _arrow_schema, stored, utf8
-from .classes import Classes, fit
+from .classes import BINS, Classes, fit
 from .language_id import remainder
 
 #: The vocabulary's mark for the start of a word.
@@ -389,13 +389,37 @@ class Model:
         return float(np.logaddexp.reduce(total)) / math.log(10)
 
 
-def score(df: DataFrame, vocabulary_path: str, folds: int = 7, held_fold: int = 2, classes: int = 6, sample: int = 1000, rounds: int = 2, block: int = BLOCK) -> DataFrame:
+def refined(texts: DataFrame, classes: Classes, rounds: int) -> Classes:
+    """Classes counted anew, `rounds` times, over all rows of the one-column table `texts`, each in the class that it is likeliest in. Counts are whole numbers, so reruns agree."""
+    spark = texts.sparkSession
+    fields = spark.createDataFrame([], "bin int, class int, value bigint").schema
+    arrow = _arrow_schema(fields)
+    for _ in range(rounds):
+        shared = spark.sparkContext.broadcast(classes)
+
+        def count(batches, shared=shared):
+            found = shared.value
+            sums = np.zeros((BINS + 1, len(found.prior)))
+            for batch in batches:
+                for at in range(0, batch.num_rows, SLICE):
+                    found.add(batch.column(0).slice(at, SLICE).to_pylist(), sums)
+            place, kind = np.nonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(kind.astype(np.int32)), pa.array(sums[place, kind].astype(np.int64))], schema=arrow)
+
+        sums = np.zeros((BINS + 1, len(classes.prior)))
+        for r in texts.mapInArrow(count, fields).groupBy("bin", "class").agg(F.sum("value").alias("value")).collect():  # a row for each bin and class at most
+            sums[r["bin"], r["class"]] = r["value"]
+        classes = Classes.counted(sums)
+    return classes
+
+
+def score(df: DataFrame, vocabulary_path: str, folds: int = 7, held_fold: int = 2, classes: int = 6, sample: int = 1000, rounds: int = 2, block: int = BLOCK, passes: int = 3) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of each whole text.
 
     The rows outside the held fold teach. Null texts are empty: the end alone. Null ids count as the empty text for the
     fold. Repeated rows count as often as they are there. Without training rows no token is known and the lattice has
-    the first weights. An empty table gives none. Other columns aren't read. `sample` bounds the training texts, those with
-    the least hashes, on which `classes` classes are fitted; counts come from all of them. Pieces are weighed in `rounds` passes, one or more.
+    the first weights. An empty table gives none. Other columns aren't read. `classes` classes start from a fit on `sample` training texts, those with
+    the least hashes, and are then counted in `passes` passes over all of them, as all other counts are. Pieces are weighed in `rounds` passes, one or more.
 
     Texts are dealt into blocks by a hash; the words of a block are gathered in one task and counted by word over all
     blocks. Each distinct word's lattice is built once, and its values go back to the blocks that hold the word. What a
@@ -409,6 +433,7 @@ def score(df: DataFrame, vocabulary_path: str, folds: int = 7, held_fold: int =
     least = df.filter(remainder("doc_id", folds) != held_fold).select("doc_id").orderBy(mixed, "doc_id").limit(sample)
     chosen = df.select("doc_id", "text").join(F.broadcast(least.distinct()), "doc_id", "left_semi").orderBy(mixed, "text").limit(sample)
     found = fit([r["text"] for r in chosen.collect()], classes)
+    found = refined(rows.filter(~F.col("held_out")).select("text"), found, passes)
     number = len(found.prior)
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64)), F.lit(blocks)).cast("int"))
     words = stored(_block_words(dealt.repartitionById(blocks, F.col("block")), found))

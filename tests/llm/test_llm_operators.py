@@ -817,3 +817,18 @@ def test_failing_pairs_of_a_family_are_not_listed(spark, monkeypatch):
         root = [min(root[i], root[j]) if x in (root[i], root[j]) else x for x in root]
     assert all(root[i] == root[g] for i, g in found.items())
     assert sum(checked) < 0.6 * 300 * 299 / 2
+
+
+def test_classes_are_counted_over_all_training_texts(spark):
+    r = random.Random(8)
+    kind = lambda letters, n: [" ".join("".join(r.choices(letters, k=5)) for _ in range(60)) for _ in range(n)]
+    start = lattice.fit(kind("abcde", 3) + kind("vwxyz", 3), 2)
+    texts = kind("abcdefg", 40) + kind("uvwxyz", 30) + ["", None]
+    found = lattice.refined(spark.createDataFrame([(t,) for t in texts], "text string").repartition(5), start, 2)
+    expected = start
+    for _ in range(2):
+        sums = np.zeros((lattice.BINS + 1, 2))
+        expected.add(texts, sums)
+        expected = lattice.Classes.counted(sums)
+    assert np.array_equal(found.prior, expected.prior) and np.array_equal(found.weights, expected.weights)
+    assert not np.allclose(found.weights, start.weights) and sorted(np.round(np.exp(found.prior) * 72)) in ([30, 42], [31, 41], [32, 40])
