@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE, on_arrow, stored, utf8
+from .common import SLICE, mapped, on_arrow, stored, utf8
 
 #: Chunk sizes in bytes. One byte in 2^CUT_BITS is a candidate, and a cut if there is none within the LEAST bytes before it; MOST ends a chunk.
 LEAST, CUT_BITS, MOST = 16, 5, 112
@@ -301,4 +301,4 @@ def remove(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 keep = pa.array([not (c and not t.strip()) for t, c in zip(new, changed)], pa.bool_())
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns)).filter(keep)
 
-    return joined.select(*schema.names, "__found").mapInArrow(cut, schema)
+    return mapped(joined.select(*schema.names, "__found"), cut, schema)

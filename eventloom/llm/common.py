@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -61,10 +63,48 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             folder.getFileSystem(conf).delete(folder, True)
 
 
-def on_arrow(df: DataFrame, columns: list[Column], make: Callable[[], Callable[[list[list]], dict[str, list] | pa.RecordBatch]], schema: str) -> DataFrame:
+#: The functions of `per_worker`, in a worker process.
+_kept: list[Callable] = []
+
+
+def per_worker(make: Callable) -> Callable:
+    """`make`, whose last result a worker process keeps for its next tasks, until a task comes that doesn't name it in `keep`."""
+    held = functools.lru_cache(maxsize=1)(make)
+    _kept.append(held)
+    return held
+
+
+def give_back() -> None:
+    """Returns memory that this process has freed to the system, which allocators else keep for later."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, keep: Callable | None = None) -> DataFrame:
+    """df.mapInArrow(run, schema), in workers that hold between tasks no more than they need.
+
+    Workers live on from task to task, and several of them, some idle, share an executor's memory with its heap. So a task first drops what
+    tasks of other operators have kept (all of `per_worker` but `keep`), and at its end gives back what it has freed.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if others := [f for f in _kept if f is not keep and f.cache_info().currsize]:
+            for f in others:
+                f.cache_clear()
+            give_back()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(whole, schema)
+
+
+def on_arrow(df: DataFrame, columns: list[Column], make: Callable[[], Callable[[list[list]], dict[str, list] | pa.RecordBatch]], schema: str, keep: Callable | None = None) -> DataFrame:
     """Applies, on Arrow batches, a function of lists of values to slices of the given columns.
 
-    `make` is called once in each task and gives that function; it returns lists or arrays by output column.
+    `make` is called once in each task and gives that function; it returns lists or arrays by output column. `keep` is as for `mapped`.
     """
     chosen = df.select(*[c.alias(f"c{i}") for i, c in enumerate(columns)])
     fields = df.sparkSession.createDataFrame([], schema).schema
@@ -78,7 +118,7 @@ def on_arrow(df: DataFrame, columns: list[Column], make: Callable[[], Callable[[
                 out = apply(*[c.to_pylist() for c in part.columns])
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 
-    return chosen.mapInArrow(run, fields)
+    return mapped(chosen, run, fields, keep)
 
 
 def _arrow_schema(fields) -> pa.Schema:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SLICE, on_arrow
+from .common import SLICE, mapped, on_arrow
 
 #: A word bound is one space; anything but letters is a bound.
 NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -181,4 +181,4 @@ def keep_identified(docs: DataFrame, folds: int = 4, held_fold: int = 2, least_s
                 found = [decide(held, t) for t in part.column(part.schema.get_field_index("text")).to_pylist()]
                 yield part.filter(pa.array([x != "und" and s > least_share for x, s in found], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return mapped(docs, keep, docs.schema)

@@ -8,19 +8,19 @@ filled first-fit by decreasing size, and pieces take their places in the pattern
 
 from __future__ import annotations
 
-import functools
 import os
 import zlib
 from bisect import bisect_left
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import on_arrow, stored
+from .common import give_back, on_arrow, per_worker, stored
 from .ranks import hash32, parts_for, ranked
 from .token_counts import byte_alphabet
 
@@ -230,10 +230,12 @@ class Ids:
         return b"".join(found)
 
 
-@functools.lru_cache(maxsize=2)
+@per_worker
 def _ids(content: str) -> Ids:
-    """One for each worker process, so that what it has learned serves all of the worker's tasks."""
-    return Ids(content)
+    """One for each worker process, so that what it has learned serves all of the worker's tasks of packing."""
+    out = Ids(content)
+    give_back()  # what reading the vocabulary took
+    return out
 
 
 def pieces(df: DataFrame, tokenizer: str, length: int, end: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -257,7 +259,7 @@ def pieces(df: DataFrame, tokenizer: str, length: int, end: int, id_col: str = "
         return apply
 
     kind = df.schema[id_col].dataType.simpleString()
-    return on_arrow(df, [F.col(id_col), F.col(text)], make, f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint")
+    return on_arrow(df, [F.col(id_col), F.col(text)], make, f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint", _ids)
 
 
 def pack(df: DataFrame, tokenizer: str, length: int = 4096, end: int = 2, id_col: str = "doc_id", text: str = "text", gap: float = 5e-4) -> DataFrame:
@@ -287,7 +289,10 @@ def pack(df: DataFrame, tokenizer: str, length: int = 4096, end: int = 2, id_col
     for s, at, a, of, place in rows:
         starts.setdefault(s, []).append((at, a, of, place))
     kind = "size int, slots array<struct<at:bigint,a:bigint,of:bigint,place:bigint>>"
-    patterns = spark.createDataFrame(sorted(starts.items()), kind)
+    names = ("at", "a", "of", "place")
+    slots = [[dict(zip(names, x)) for x in starts[s]] for s in sorted(starts)]
+    # by Arrow: of a list Spark makes a table in Python workers of another kind, which an executor holds beside the others
+    patterns = spark.createDataFrame(pa.table({"size": pa.array(sorted(starts), pa.int32()), "slots": pa.array(slots, pa.list_(pa.struct([(x, pa.int64()) for x in names])))}), kind)
     ranks = ranked(sized, ["size"], "h", [F.col("doc_id"), F.col("start"), F.col("ids_crc32")], "rank", parts_for(max(histogram.values(), default=0)))
     placed = ranks.join(F.broadcast(patterns), "size")
     slot = F.element_at(F.filter("slots", lambda x: x["at"] <= F.col("rank")), -1)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import _arrow_schema, checkpointed, on_arrow, stored, utf8
+from .common import _arrow_schema, checkpointed, mapped, on_arrow, stored, utf8
 from .components import components
 
 SEED = 42
@@ -253,7 +253,7 @@ def _key_rows(nodes: DataFrame, bits: int, tables: int) -> DataFrame:
                     keys = every[:, orders[t, :bits]].astype(np.int64) @ powers
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), t, np.int32)), pa.array(keys), node, fp], schema=arrow)
 
-    return nodes.select("node", "fp").mapInArrow(keyed, fields)
+    return mapped(nodes.select("node", "fp"), keyed, fields)
 
 
 def similar_links(nodes: DataFrame, similarity: float, bits: int, tables: int) -> DataFrame:
@@ -334,7 +334,7 @@ def similar_links(nodes: DataFrame, similarity: float, bits: int, tables: int) -
             yield edge_rows([names[x] for x, _ in found], [names[y] for _, y in found], [], [])
 
     dealt = _key_rows(nodes, bits, tables).repartition("table", "key").sortWithinPartitions("table", "key", "node")
-    return dealt.mapInArrow(compare, edge_fields).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "table", "key").distinct()
+    return mapped(dealt, compare, edge_fields).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "table", "key").distinct()
 
 
 def apart_links(keys: DataFrame, nodes: DataFrame, roots: DataFrame, similarity: float, bits: int, tables: int) -> DataFrame:
@@ -395,7 +395,7 @@ def apart_links(keys: DataFrame, nodes: DataFrame, roots: DataFrame, similarity:
         if held and (held[0].column(2)[0] == held[0].column(3)[0] or held[0].column(4)[0] != held[-1].column(4)[-1]):
             yield from pairs(held)
 
-    return dealt.mapInArrow(compare, edge_fields).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return mapped(dealt, compare, edge_fields).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _forest(prints: np.ndarray, ring: np.ndarray, bits: int, limit: int) -> tuple[list[tuple[int, int]], list[int]]:
@@ -530,7 +530,7 @@ def family_links(families: DataFrame, nodes: DataFrame, docs: DataFrame, n: int,
         if held:
             yield from links(held)
 
-    return ordered.mapInArrow(compare, edge_fields).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return mapped(ordered, compare, edge_fields).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def _similar(docs: DataFrame, n: int, similarity: float, found: float) -> tuple[DataFrame, DataFrame]:

@@ -8,7 +8,6 @@ the others go through the merges. Distinct segments are counted once for each sl
 from __future__ import annotations
 
 from collections import Counter
-import functools
 import os
 from pathlib import Path
 
@@ -17,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import on_arrow, utf8
+from .common import on_arrow, per_worker, utf8
 
 #: Fixed value: the pre-token pattern of byte-level BPE vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -129,12 +128,12 @@ def count(df: DataFrame, tokenizer: str, keys: list[Column], names: list[str], t
 
     kinds = df.select(*[k.alias(n) for k, n in zip(keys, names)]).schema
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds) + ", n_bytes bigint, n_tokens bigint, over_limit boolean"
-    return on_arrow(df, [*keys, F.col(text)], make, schema)
+    return on_arrow(df, [*keys, F.col(text)], make, schema, _counts)
 
 
-@functools.lru_cache(maxsize=2)
+@per_worker
 def _counts(content: str, proven: frozenset[str]) -> Counts:
-    """One for each worker process, so that what it has learned serves all of the worker's tasks."""
+    """One for each worker process, so that what it has learned serves all of the worker's tasks of counting."""
     return Counts(plain(content), proven)
 
 

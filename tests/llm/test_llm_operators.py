@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from eventloom.llm import chunks, components, html_text, language_id, lattice, media, merkle, mixing, packing, simhash, token_counts
-from eventloom.llm.common import utf8
+from eventloom.llm.common import on_arrow, utf8
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fingerprint string, size int, score double, spans string, _id long, component_id long, copies int"
 WORDS = ["the", "of", "river", "stone", "green", "walks", "under", "bright", "seven", "cloud", "mill", "paper", "old", "north", "garden", "silver", "bread", "window", "slow", "letter"]
@@ -832,3 +832,32 @@ def test_classes_are_counted_over_all_training_texts(spark):
         expected = lattice.Classes.counted(sums)
     assert np.array_equal(found.prior, expected.prior) and np.array_equal(found.weights, expected.weights)
     assert not np.allclose(found.weights, start.weights) and sorted(np.round(np.exp(found.prior) * 72)) in ([30, 42], [31, 41], [32, 40])
+
+
+def test_workers_drop_what_other_operators_learned(spark):
+    """Python workers live on between the pipeline's stages and share an executor's memory; packing's and counting's tables went on for good in them."""
+    rows = spark.createDataFrame([(i, f"word{i} and more {i}") for i in range(64)], "doc_id bigint, text string").repartition(8)
+
+    def make():
+        return lambda keys: {"n": [packing._ids.cache_info().currsize + token_counts._counts.cache_info().currsize for _ in keys]}
+
+    def held():
+        return {r["n"] for r in on_arrow(rows, [rows.doc_id], make, "n int").collect()}
+
+    assert packing.pieces(rows, public_tokenizers.path("word_bpe_49k.json"), 16, 2).collect()
+    assert held() == {0}
+    token_counts.count(rows, public_tokenizers.path("byte_bpe_50k.json"), [rows.doc_id], ["doc_id"]).collect()
+    assert held() == {0}
+
+
+def test_patterns_need_no_other_python_workers(spark):
+    """A table made of a list would start a second kind of Python workers on the executors, which Arrow doesn't."""
+    rows = spark.createDataFrame([(i, "some words " * i) for i in range(40)], "doc_id bigint, text string")
+    packed = packing.pack(rows, public_tokenizers.path("word_bpe_49k.json"), length=64)
+    assert "ExistingRDD" not in packed._jdf.queryExecution().sparkPlan().toString()
+    by = collections.defaultdict(list)
+    for r in packed.collect():
+        by[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in by.values():
+        ends = [0, *[at + n for at, n in sorted(parts)]]
+        assert [at for at, _ in sorted(parts)] == ends[:-1] and ends[-1] <= 64
