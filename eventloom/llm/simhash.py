@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import _arrow_schema, checkpointed, mapped, on_arrow, stored, utf8
-from .components import components
+from .components import components, thinned
 
 SEED = 42
 BITS, SEGMENTS, WIDTH = 64, 4, 16
@@ -548,9 +548,10 @@ def _similar(docs: DataFrame, n: int, similarity: float, found: float) -> tuple[
     p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     tables = int(np.ceil(np.log(1 - found) / np.log1p(-((1 - p) ** bits))))
     candidates = stored(similar_links(nodes, similarity, bits, tables))
-    pairs = candidates.filter("a is not null").select("a", "b").distinct()
-    edges = stored(similar_enough(pairs, nodes, docs, n, similarity))
-    roots = components(edges)
+    pairs = candidates.filter("a is not null").select("a", "b")
+    # forests of all tables' keys hold many edges a node, of which few are needed to know who is joined
+    edges = stored(similar_enough(pairs.distinct(), nodes, docs, n, similarity))
+    roots = components(thinned(edges))
     # keys of several runs: rows that a run's forest held weren't compared with later runs
     keys = stored(candidates.filter("a is null").select("table", "key").distinct())
     forests = candidates.filter("table is not null and a is not null").select("a", "b")
@@ -562,12 +563,12 @@ def _similar(docs: DataFrame, n: int, similarity: float, found: float) -> tuple[
     ends = forests.join(at("a"), "a", "left").join(at("b"), "b", "left").filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b"))
     lost = stored(ends.select("a").distinct())
     if not lost.isEmpty():
-        families = components(pairs).withColumnRenamed("root", "family")
+        families = components(thinned(pairs)).withColumnRenamed("root", "family")
         broken = lost.join(families, F.col("a") == F.col("node")).select("family").distinct()
         own = families.join(broken, "family", "left_semi").join(roots, "node", "left").select("node", "family", F.coalesce("root", "node").alias("root"))
         more = stored(family_links(own, nodes, docs, n, similarity, bits, tables))
         if not more.isEmpty():
-            roots = components(edges.unionByName(more))
+            roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     rooted = checkpointed(nodes.select("digest", "least", "node").join(roots, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root")))
     least = rooted.groupBy("root").agg(F.min("least").alias("kept"))
     return held.select("doc_id", "mark", "digest"), rooted.join(least, "root").select(F.col("digest").alias("_digest"), "kept")

@@ -861,3 +861,32 @@ def test_patterns_need_no_other_python_workers(spark):
     for parts in by.values():
         ends = [0, *[at + n for at, n in sorted(parts)]]
         assert [at for at, _ in sorted(parts)] == ends[:-1] and ends[-1] <= 64
+
+
+def test_thinned_edges_join_the_same_nodes(spark, monkeypatch):
+    r = random.Random(9)
+    dense = [(r.randrange(300), r.randrange(300)) for _ in range(20_000)]
+    edges = dense + [(1000 + i, 1001 + i) for i in range(0, 80, 2)] + [(2000, 2001 + i) for i in range(200)] + [(5000, 5000), (None, 1), (2, None), (3, 4), (4, 3)]
+    table = spark.createDataFrame(edges, "x long, y long")
+    plain = sorted(components.components(table, "x", "y").collect())
+    left = components.thinned(table, "x", "y")
+    assert sorted(components.components(left).collect()) == plain
+    assert left.count() <= components.PARTS * len({x for e in edges for x in e if x is not None})
+    # tasks that begin anew lose nothing
+    monkeypatch.setattr(components, "HELD", 8)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        assert sorted(components.components(components.thinned(table, "x", "y")).collect()) == plain
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_components_get_few_edges_a_node(spark, monkeypatch):
+    """The forests of all tables' keys have some ten edges a node of a family; components' joins made a row of each, twice a round."""
+    texts = versions(13, 200, 300, 2)
+    given, plain = [], simhash.components
+    monkeypatch.setattr(simhash, "FEW", 2)
+    monkeypatch.setattr(simhash, "components", lambda edges, *more: given.append(edges.count()) or plain(edges, *more))
+    found = dict(simhash.similar_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
+    assert len(set(found.values())) < 20
+    assert given and max(given) <= 4 * len(texts)
