@@ -34,6 +34,8 @@ BYTES = 1e-4
 BLOCK = 24 << 20
 #: Words whose lattices are built side by side.
 WORDS = 8192
+#: Words of texts that are scored side by side, but for longer texts.
+SIDE = 16384
 #: Share of what discounts free that goes to the lattice; the rest goes by counts over all classes.
 TO_LATTICE = 0.9
 #: Words that the urn of a text holds to begin with.
@@ -122,9 +124,14 @@ class Lattice:
     def _found(self, h: np.ndarray) -> np.ndarray:
         none = len(self.pieces.texts)
         at = self._slots(h, 0)
-        out = np.where(self.keys[0, at] == h, self.ids[0, at], none)
-        at = self._slots(h, 1)
-        return np.where(self.keys[1, at] == h, self.ids[1, at], out)
+        out = self.ids[0, at]
+        # few places of the first table are taken; only what finds another's there can be in the second
+        other = np.flatnonzero(out < none)
+        other = other[self.keys[0, at[other]] != h[other]]
+        if len(other):
+            at = self._slots(h[other], 1)
+            out[other] = np.where(self.keys[1, at] == h[other], self.ids[1, at], none)
+        return out
 
     def _group(self, codes: np.ndarray, expected: np.ndarray | None, weight: np.ndarray | None) -> np.ndarray:
         """codes: [words, length] code points, the mark first. Adds weighted expected counts of pieces to `expected`."""
@@ -143,12 +150,13 @@ class Lattice:
         for j in range(1, length + 1):
             for i in range(max(0, j - self.longest), j):
                 ids = self._found(prefix[j] - prefix[i] * powers[j - i])
-                has = ids < none
+                rows = np.flatnonzero(ids < none)
                 # a piece with the mark starts a word and no other does
-                has &= pieces.starts[np.minimum(ids, none - 1)] == (i == 0)
-                rows = np.flatnonzero(has)
+                rows = rows[pieces.starts[ids[rows]] == (i == 0)]
                 value = pieces.logs[ids[rows]] + (on if i else 0.0)
                 if j - i == 1 and i and len(rows) < n:
+                    has = np.zeros(n, bool)
+                    has[rows] = True
                     bare = np.flatnonzero(~has)
                     rows = np.concatenate([rows, bare])
                     value = np.concatenate([value, on * width[bare, i][:, None] + (spelled * width[bare, i])[:, None]])
@@ -375,18 +383,26 @@ class Model:
 
     def text(self, ids: np.ndarray, values: np.ndarray) -> float:
         """The log10 probability of a text of words `ids`, with the end after them, over all classes."""
-        n = len(ids)
-        total = self.prior + np.log(self.end) + n * np.log1p(-self.end)
-        if n:
-            ordered = np.sort(ids)
-            new = np.append(True, ordered[1:] != ordered[:-1])
+        return float(self.texts(ids, np.array([len(ids)]), values)[0])
+
+    def texts(self, ids: np.ndarray, sizes: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """`text` of several texts side by side: ids has their words one after another, sizes how many each has."""
+        total = self.prior + np.log(self.end) + sizes[:, None] * np.log1p(-self.end)
+        if len(ids):
+            # the words of a text sorted; each is drawn as often as it has stood before
+            place = np.sort(np.repeat(np.arange(len(sizes)), sizes) * len(values) + ids)
+            new = np.append(True, place[1:] != place[:-1])
             first = np.flatnonzero(new)
-            drawn = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
-            fresh = values[ordered[first]].sum(axis=0, dtype=float) + len(first) * math.log(URN)
-            again = ordered[~new]
-            more = np.log(URN * np.exp(values[again].astype(float)) + drawn[~new][:, None]).sum(axis=0) if len(again) else 0.0
-            total = total + fresh + more - np.log(URN + np.arange(n)).sum()
-        return float(np.logaddexp.reduce(total)) / math.log(10)
+            drawn = np.arange(len(ids)) - np.repeat(first, np.diff(np.append(first, len(ids))))
+            of, word = np.divmod(place, len(values))
+            logs = values[word].astype(float)
+            again = np.flatnonzero(~new)
+            logs[first] += math.log(URN)
+            logs[again] = np.log(URN * np.exp(logs[again]) + drawn[again, None])
+            logs -= np.log(URN + np.arange(sizes.max()))[np.arange(len(ids)) - (np.cumsum(sizes) - sizes)[of], None]
+            some = np.flatnonzero(sizes)
+            total[some] += np.add.reduceat(logs, (np.cumsum(sizes) - sizes)[some], axis=0)
+        return np.logaddexp.reduce(total, axis=1) / math.log(10)
 
 
 def refined(texts: DataFrame, classes: Classes, rounds: int) -> Classes:
@@ -500,11 +516,21 @@ def score(df: DataFrame, vocabulary_path: str, folds: int = 7, held_fold: int =
             base, known, values = table
             for cut in range(first, batch.num_rows, SLICE):
                 part = batch.slice(cut, min(SLICE, batch.num_rows - cut))
-                out = []
-                for data, key, held in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), part.column(3).to_pylist()):
-                    own = data.lower().split()
+                out, met = [], []
+                data, key, held = (part.column(c).to_pylist() for c in (1, 2, 3))
+                for text in data:
+                    own = text.lower().split()
                     ids = np.fromiter(map(of.__getitem__, own), np.int64, len(own))
-                    out.append((key, held, len(own) + 1, int(known[ids].sum()) + (trained > 0), tokens, float(base[ids].sum()) + end_base, model.text(ids, values)))
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
+                    met.append(ids)
+                    out.append((len(own) + 1, int(known[ids].sum()) + (trained > 0), tokens, float(base[ids].sum()) + end_base))
+                scores, at = [], 0
+                while at < len(met):  # some texts side by side, as many as have SIDE words
+                    stop, words_in = at + 1, len(met[at])
+                    while stop < len(met) and words_in + len(met[stop]) <= SIDE:
+                        words_in += len(met[stop])
+                        stop += 1
+                    scores += model.texts(np.concatenate(met[at:stop]), np.array([len(x) for x in met[at:stop]]), values).tolist()
+                    at = stop
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip([key, held, *zip(*out), scores], arrow)], schema=arrow)
 
     return both.select("is_word", "data", "doc_id", "held_out").mapInArrow(finish, fields)

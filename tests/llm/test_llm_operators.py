@@ -890,3 +890,34 @@ def test_components_get_few_edges_a_node(spark, monkeypatch):
     found = dict(simhash.similar_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
     assert len(set(found.values())) < 20
     assert given and max(given) <= 4 * len(texts)
+
+
+def test_lattices_ask_the_second_table_seldom(monkeypatch):
+    """Every substring was looked up in both tables; only what finds another's place in the first can be in the second."""
+    words = [f"{w}{i}" for i, w in enumerate(WORDS * 20)]
+    asked, plain = [0, 0], lattice.Lattice._slots
+    found = lattice.Lattice(lattice.vocabulary(lattice.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))))
+
+    def counted(self, h, k):
+        asked[k] += len(h)
+        return plain(self, h, k)
+
+    monkeypatch.setattr(lattice.Lattice, "_slots", counted)
+    found.logs_of(words)
+    assert asked[0] > 1000 and asked[1] < 0.2 * asked[0]
+    hashes = np.array([lattice._hashed(t) for t in found.pieces.texts], np.uint64)
+    assert np.array_equal(found._found(hashes), np.arange(len(hashes)))
+
+
+def test_texts_scored_side_by_side_equal_single_ones():
+    r, kinds = np.random.default_rng(4), 3
+    values = r.normal(-6, 2, (50, kinds)).astype(np.float32)
+    model = lattice.Model(np.log(np.full(kinds, 1 / 3)), np.array([0.1, 0.2, 0.05]), np.ones(kinds), np.ones(kinds), np.ones(kinds), 1.0)
+    texts = [r.integers(0, 50, n) for n in (0, 7, 1, 0, 200, 30, 0)]
+    for ids, got in zip(texts, model.texts(np.concatenate(texts), np.array([len(x) for x in texts]), values)):
+        total, seen = model.prior + np.log(model.end) + len(ids) * np.log1p(-model.end), collections.Counter()
+        for k, x in enumerate(ids.tolist()):
+            total = total + np.log((lattice.URN * np.exp(values[x].astype(float)) + seen[x]) / (lattice.URN + k))
+            seen[x] += 1
+        assert abs(got - np.logaddexp.reduce(total) / np.log(10)) < 1e-9 * (1 + len(ids)) and abs(got - model.text(ids, values)) < 1e-9 * (1 + len(ids))
+    assert model.texts(np.array([], np.int64), np.array([0]), values).shape == (1,)
